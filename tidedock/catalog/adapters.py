@@ -124,7 +124,11 @@ def test_split(spark: SparkSession, sf: str) -> DataFrame:
 
 def predictions(spark: SparkSession, sf: str) -> DataFrame:
     """Two models over every feature row: the previous value and the one-hour mean."""
-    rows = features(spark, sf).select(
+    return predictions_of(features(spark, sf))
+
+
+def predictions_of(rows: DataFrame) -> DataFrame:
+    rows = rows.select(
         "station_id",
         "timestamp",
         F.explode(
@@ -145,11 +149,20 @@ def predictions(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def baselines(spark: SparkSession, sf: str) -> DataFrame:
+def drift_splits(spark: SparkSession, sf: str) -> DataFrame:
+    """Splits with the rolling features at nine decimals.
+
+    Equal windows can differ in the last digit of their deviation, which would count as different values.
+    """
+    cols = ["bikes_rolling_mean_1h", "bikes_rolling_std_1h"]
+    return splits(spark, sf).withColumns({c: F.round(c, 9) for c in cols})
+
+
+def baselines_of(rows: DataFrame) -> DataFrame:
     """Baseline MAE per model from the train split."""
     from tidedock.operators.metrics import regression_metrics
 
-    train = splits(spark, sf).where(F.col("split") == "train")
+    train = rows.where(F.col("split") == "train")
     long = train.select("y", F.col("bikes_lag_1").alias("naive"), F.col("bikes_rolling_mean_1h").alias("mean"))
     long = long.unpivot(["y"], ["naive", "mean"], "model", "prediction")
     return regression_metrics(long, "y", "prediction", ["model"])

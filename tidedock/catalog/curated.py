@@ -70,7 +70,7 @@ def validate_required(spark, sf):
 @query(
     "coerce_status",
     with_(DOCUMENTS, """SELECT station_id, CAST(sum(num_bikes_disabled) AS BIGINT) AS bikes_disabled,
-      CAST(sum(num_docks_disabled) AS BIGINT) AS docks_disabled, count_if(is_renting) AS renting,
+      CAST(sum(num_docks_disabled) AS BIGINT) AS docks_disabled, count(*) FILTER (WHERE is_renting) AS renting,
       min(last_reported) AS first_reported FROM docs WHERE NOT broken AND status IS NOT NULL GROUP BY 1"""),
 )
 def coerce_status(spark, sf):
@@ -419,12 +419,12 @@ def dq_summary(spark, sf):
     "dq_exploratory",
     with_(f"{STATUS}, {INFO}", """SELECT name, violation_count, CASE WHEN violation_count = 0 THEN 'OK'
       WHEN name IN ('zero_capacity', 'orphan_ids') THEN 'NOTE' ELSE 'ANOMALY' END AS verdict FROM (
-        SELECT 'negative_bikes' AS name, count_if(num_bikes_available < 0) AS violation_count FROM status
-        UNION ALL SELECT 'negative_docks', count_if(num_docks_available < 0) FROM status
-        UNION ALL SELECT 'future_reports', count_if(last_reported > TIMESTAMP '2024-01-30 00:05:00') FROM status
+        SELECT 'negative_bikes' AS name, count(*) FILTER (WHERE num_bikes_available < 0) AS violation_count FROM status
+        UNION ALL SELECT 'negative_docks', count(*) FILTER (WHERE num_docks_available < 0) FROM status
+        UNION ALL SELECT 'future_reports', count(*) FILTER (WHERE last_reported > TIMESTAMP '2024-01-30 00:05:00') FROM status
         UNION ALL SELECT 'orphan_ids', count(DISTINCT station_id) FROM status
           WHERE station_id NOT IN (SELECT station_id FROM station_information)
-        UNION ALL SELECT 'zero_capacity', count_if(capacity = 0) FROM station_information)"""),
+        UNION ALL SELECT 'zero_capacity', count(*) FILTER (WHERE capacity = 0) FROM station_information)"""),
 )
 def dq_exploratory(spark, sf):
     as_of = F.lit("2024-01-30 00:00:00").cast("timestamp_ntz")
@@ -438,10 +438,10 @@ NULL_FIELDS = ["station_id", "num_bikes_available", "num_docks_available", "last
 @query(
     "null_profile",
     with_(f"{STATUS}, {INFO}", " UNION ALL ".join(
-        [f"SELECT '{c}' AS field, 'required' AS kind, count_if(r.{c} IS NULL) AS null_count, 'OK' AS verdict "
+        [f"SELECT '{c}' AS field, 'required' AS kind, count(*) FILTER (WHERE r.{c} IS NULL) AS null_count, 'OK' AS verdict "
          "FROM status r" for c in NULL_FIELDS]
-        + ["""SELECT 'capacity', 'bonus', count_if(i.station_id IS NULL),
-              CASE WHEN count_if(i.station_id IS NULL) = 0 THEN 'OK' ELSE 'WARNING' END
+        + ["""SELECT 'capacity', 'bonus', count(*) FILTER (WHERE i.station_id IS NULL),
+              CASE WHEN count(*) FILTER (WHERE i.station_id IS NULL) = 0 THEN 'OK' ELSE 'WARNING' END
               FROM status r LEFT JOIN station_information i ON i.station_id = r.station_id""",
            "SELECT 'vehicle_types_available', 'missing', NULL, 'NOT FOUND'"])),
 )

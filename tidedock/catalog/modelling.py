@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidedock import schemas
 from tidedock.catalog import adapters as a
 from tidedock.catalog.oracles import (
-    PREDICTIONS, STUCK, INFO, drift_ctes, feature_ctes, feature_long, metrics, series_ctes, split_ctes, with_,
+    PREDICTIONS, STUCK, drift_ctes, feature_ctes, feature_long, metrics, series_ctes, split_ctes, with_,
 )
 from tidedock.catalog.registry import query
 from tidedock.functions import labels
@@ -23,10 +23,6 @@ PLACE = ["lat", "lon"]
 TEST = "test AS (SELECT *, bikes_lag_1 AS naive, bikes_rolling_mean_1h AS mean FROM splits WHERE split = 'test')"
 
 
-def _part(spark, sf, name):
-    return a.splits(spark, sf).where(F.col("split") == name)
-
-
 def _naive(df):
     return models.score(models.NaiveBaseline(), df)
 
@@ -107,7 +103,7 @@ def easiest_stations(spark, sf):
 
 @query(
     "predict_latest",
-    with_(f"{split_ctes()}, {TEST}, {INFO}", """SELECT i.station_id, p.predicted_bikes,
+    with_(f"{split_ctes()}, {TEST}", """SELECT i.station_id, p.predicted_bikes,
       p.predicted_bikes IS NOT NULL AS known, TIMESTAMP '2024-01-31 00:15:00' AS target_time, 'naive' AS model_name
       FROM station_information i LEFT JOIN (SELECT station_id,
         greatest(0.0, round_even(arg_max(naive, "timestamp"), 2)) AS predicted_bikes FROM test GROUP BY 1) p
@@ -122,9 +118,7 @@ def predict_latest(spark, sf):
 
 
 def _staged_splits(spark, sf):
-    from tidedock.staging import stage
-
-    rows = stage(a.splits(spark, sf), "splits", partition_by=["split"])
+    rows = a.splits(spark, sf)
     return {s: rows.where(F.col("split") == s) for s in ("train", "val", "test")}
 
 
@@ -193,7 +187,7 @@ VERDICT = """SELECT *, psi > 0.2 OR ks_p_value < 0.05 AS drifted,
 
 
 def _split_long(spark, sf):
-    return drift.two_sides(_part(spark, sf, "train"), _part(spark, sf, "test"), schemas.FEATURE_COLS)
+    return drift.split_sides(a.drift_splits(spark, sf), schemas.FEATURE_COLS)
 
 
 @query(
@@ -216,18 +210,18 @@ def ks_p_value(spark, sf):
 
 @query("feature_drift", with_(FEATURE_DRIFT, VERDICT, DRIFT))
 def feature_drift(spark, sf):
-    return drift.ranked(drift.split_feature_drift(a.splits(spark, sf)))
+    return drift.ranked(drift.split_feature_drift(a.drift_splits(spark, sf)))
 
 
 @query(
     "drift_summary",
     with_(FEATURE_DRIFT, f"""SELECT *, CASE WHEN drift_score * 100 < 20 THEN 'low' WHEN drift_score * 100 < 50
-      THEN 'medium' ELSE 'high' END AS severity FROM (SELECT count_if(drifted) / count(*) AS drift_score,
-        count(*) AS n_features, count_if(drifted) AS n_drifted, avg(psi) AS avg_psi, max(psi) AS max_psi
+      THEN 'medium' ELSE 'high' END AS severity FROM (SELECT count(*) FILTER (WHERE drifted) / count(*) AS drift_score,
+        count(*) AS n_features, count(*) FILTER (WHERE drifted) AS n_drifted, avg(psi) AS avg_psi, max(psi) AS max_psi
         FROM ({VERDICT}))""", ["drift_score", "avg_psi", "max_psi"]),
 )
 def drift_summary(spark, sf):
-    return drift.drift_summary(drift.split_feature_drift(a.splits(spark, sf)))
+    return drift.drift_summary(drift.split_feature_drift(a.drift_splits(spark, sf)))
 
 
 @query(
@@ -236,8 +230,9 @@ def drift_summary(spark, sf):
           VERDICT, DRIFT),
 )
 def data_drift_table(spark, sf):
-    cols = schemas.FEATURE_COLS
-    return drift.data_drift_table(_part(spark, sf, "train").select(*cols), _part(spark, sf, "val").select(*cols))
+    rows = a.drift_splits(spark, sf)
+    side = lambda s: rows.where(F.col("split") == s).select(*schemas.FEATURE_COLS)
+    return drift.data_drift_table(side("train"), side("val"))
 
 
 @query(
@@ -248,7 +243,8 @@ def data_drift_table(spark, sf):
           [*ERRORS, "mean_error", "error_std"]),
 )
 def regression_quality_table(spark, sf):
-    side = lambda s: _part(spark, sf, s).select(F.col("y").alias("target"), F.col("bikes_lag_1").alias("prediction"))
+    rows = a.splits(spark, sf).withColumnsRenamed({"y": "target", "bikes_lag_1": "prediction"})
+    side = lambda s: rows.where(F.col("split") == s)
     return drift.regression_quality_table(side("train"), side("test"))
 
 
@@ -273,8 +269,9 @@ REPORT_DOUBLES = ["current_mae", "baseline_mae", "psi_score", "ks_statistic", "k
       FROM errors JOIN baselines USING (model_name) JOIN drift USING (model_name)""", REPORT_DOUBLES),
 )
 def drift_report(spark, sf):
-    pairs = monitoring.recent_pairs(a.predictions(spark, sf), a.as_of(), 7)
-    return drift.drift_report(pairs, a.baselines(spark, sf))
+    rows = a.splits(spark, sf)
+    pairs = monitoring.recent_pairs(a.predictions_of(rows), a.as_of(), 7)
+    return drift.drift_report(pairs, a.baselines_of(rows))
 
 
 @query(
@@ -284,8 +281,10 @@ def drift_report(spark, sf):
       (SELECT avg(abs(y - bikes_lag_1)) AS base FROM splits WHERE split = 'train')""", ["current_mae"]),
 )
 def mae_alert(spark, sf):
-    base = m.regression_metrics(_naive(_part(spark, sf, "train")), "y", "prediction").select("mae").scalar()
-    per_station = m.metrics_by_station(_naive(a.test_split(spark, sf)))
+    rows = _naive(a.splits(spark, sf))
+    side = lambda s: rows.where(F.col("split") == s)
+    base = m.regression_metrics(side("train"), "y", "prediction").select("mae").scalar()
+    per_station = m.metrics_by_station(side("test"))
     return per_station.select(
         "station_id", F.col("mae").alias("current_mae"), mae_alert_expr(F.col("mae"), base).alias("alert")
     )
@@ -301,11 +300,12 @@ def mae_alert(spark, sf):
           ["current_mae"]),
 )
 def monitoring_status(spark, sf):
-    predictions = a.predictions(spark, sf)
+    rows = a.splits(spark, sf)
+    predictions = a.predictions_of(rows)
     asked = predictions.select("model_name").unionByName(
         a.table(spark, sf, "events").select(F.col("event_type").alias("model_name"))
     )
-    return monitoring.monitoring_status(predictions, a.baselines(spark, sf), asked, a.as_of(), 7)
+    return monitoring.monitoring_status(predictions, a.baselines_of(rows), asked, a.as_of(), 7)
 
 
 ROLL = "CASE WHEN count(*) OVER w = 96 THEN avg(abs(y - bikes_lag_1)) OVER w END AS rolling_mae"
@@ -385,7 +385,7 @@ ACTIVITY = ["avg_bikes", "std_bikes", "zero_pct", "change_rate", "avg_docks", "c
     with_(STUCK_SERIES, """SELECT station_id, avg(num_bikes_available) AS avg_bikes,
       stddev_pop(num_bikes_available) AS std_bikes, avg(CASE WHEN num_bikes_available = 0 THEN 1.0 ELSE 0.0 END)
         AS zero_pct,
-      CASE WHEN count(*) > 1 THEN count_if(num_bikes_available <> prev) / (count(*) - 1) ELSE 0.0 END AS change_rate,
+      CASE WHEN count(*) > 1 THEN count(*) FILTER (WHERE num_bikes_available <> prev) / (count(*) - 1) ELSE 0.0 END AS change_rate,
       avg(num_docks_available) AS avg_docks, CAST(arg_min(capacity, "timestamp") AS DOUBLE) AS capacity
       FROM moves GROUP BY 1""", ACTIVITY),
 )
@@ -396,11 +396,11 @@ def station_activity(spark, sf):
 @query(
     "activity_histogram",
     with_(f"""{STUCK_SERIES}, act AS (SELECT station_id,
-      count_if(num_bikes_available <> prev) / (count(*) - 1) AS change_rate FROM moves GROUP BY 1)""",
+      count(*) FILTER (WHERE num_bikes_available <> prev) / (count(*) - 1) AS change_rate FROM moves GROUP BY 1)""",
           """SELECT CAST(b AS INTEGER) AS bin, lo + b * w AS bin_low, lo + (b + 1) * w AS bin_high,
       coalesce(c.n, 0) AS n FROM range(0, 30) s(b),
       (SELECT min(change_rate) AS lo, (max(change_rate) - min(change_rate)) / 30.0 AS w FROM act) l
-      LEFT JOIN (SELECT len(list_filter(range(1, 30), i -> change_rate >= lo + i * w)) AS bin, count(*) AS n
+      LEFT JOIN (SELECT len([i FOR i IN range(1, 30) IF change_rate >= lo + i * w]) AS bin, count(*) AS n
         FROM act, (SELECT min(change_rate) AS lo, (max(change_rate) - min(change_rate)) / 30.0 AS w FROM act)
         GROUP BY ALL) c ON c.bin = b""", ["bin_low", "bin_high"]),
 )

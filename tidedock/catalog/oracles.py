@@ -119,7 +119,7 @@ def drift_ctes(group: str, long: str, n_bins: int = 10) -> str:
 lim AS (SELECT {group}, min(value) AS lo, max(value) AS hi, sum(ref) AS nr, sum(cur) AS nc
   FROM long GROUP BY 1),
 binned AS (
-  SELECT l.{group}, len(list_filter(range(1, {n_bins}), i -> value >= lo + i * ((hi - lo) / {n_bins}.0))) AS bin,
+  SELECT l.{group}, len([i FOR i IN range(1, {n_bins}) IF value >= lo + i * ((hi - lo) / {n_bins}.0)]) AS bin,
     ref, cur FROM long l JOIN lim USING ({group})),
 bin_counts AS (SELECT {group}, bin, sum(ref) AS r, sum(cur) AS c FROM binned GROUP BY 1, 2),
 psi AS (
@@ -143,7 +143,8 @@ drift AS (
 
 
 def feature_long(reference: str = "split = 'train'", current: str = "split = 'test'") -> str:
-    cols = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in FEATURES)
+    rolled = ("bikes_rolling_mean_1h", "bikes_rolling_std_1h")
+    cols = ", ".join(f"round({c}, 9) AS {c}" if c in rolled else f"CAST({c} AS DOUBLE) AS {c}" for c in FEATURES)
     return f"""SELECT feature, value, CASE WHEN side THEN 1.0 ELSE 0.0 END AS ref,
     CASE WHEN side THEN 0.0 ELSE 1.0 END AS cur
   FROM (SELECT {reference} AS side, {cols} FROM splits WHERE {reference} OR {current})

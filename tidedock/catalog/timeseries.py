@@ -153,12 +153,12 @@ def rows_per_interval(spark, sf):
           b.bikes_lag_4 AS e4, b.y AS ey FROM splits s JOIN built b ON b.station_id = s.station_id
           AND b."timestamp" = s."timestamp")""",
         """SELECT "check", violations, violations = 0 AS passed FROM (
-      SELECT 'bikes_lag_1' AS "check", count_if(bikes_lag_1 IS DISTINCT FROM e1) AS violations FROM checked
-      UNION ALL SELECT 'bikes_lag_2', count_if(bikes_lag_2 IS DISTINCT FROM e2) FROM checked
-      UNION ALL SELECT 'bikes_lag_3', count_if(bikes_lag_3 IS DISTINCT FROM e3) FROM checked
-      UNION ALL SELECT 'bikes_lag_4', count_if(bikes_lag_4 IS DISTINCT FROM e4) FROM checked
-      UNION ALL SELECT 'target', count_if(y IS DISTINCT FROM ey) FROM checked
-      UNION ALL SELECT 'nulls', count_if(y IS NULL OR lat IS NULL OR bikes_rolling_std_1h IS NULL) FROM checked
+      SELECT 'bikes_lag_1' AS "check", count(*) FILTER (WHERE bikes_lag_1 IS DISTINCT FROM e1) AS violations FROM checked
+      UNION ALL SELECT 'bikes_lag_2', count(*) FILTER (WHERE bikes_lag_2 IS DISTINCT FROM e2) FROM checked
+      UNION ALL SELECT 'bikes_lag_3', count(*) FILTER (WHERE bikes_lag_3 IS DISTINCT FROM e3) FROM checked
+      UNION ALL SELECT 'bikes_lag_4', count(*) FILTER (WHERE bikes_lag_4 IS DISTINCT FROM e4) FROM checked
+      UNION ALL SELECT 'target', count(*) FILTER (WHERE y IS DISTINCT FROM ey) FROM checked
+      UNION ALL SELECT 'nulls', count(*) FILTER (WHERE y IS NULL OR lat IS NULL OR bikes_rolling_std_1h IS NULL) FROM checked
       UNION ALL SELECT 'train_val_overlap', CAST(max("timestamp") FILTER (WHERE split = 'train')
         >= min("timestamp") FILTER (WHERE split = 'val') AS BIGINT) FROM checked
       UNION ALL SELECT 'val_test_overlap', CAST(max("timestamp") FILTER (WHERE split = 'val')
@@ -258,8 +258,8 @@ def station_means_in_range(spark, sf):
 
 @query(
     "snapshot_totals",
-    with_(f"{STATUS}, {LATEST}", """SELECT count(*) AS total_stations, count_if(is_renting) AS renting,
-      count_if(is_returning) AS returning, count_if(NOT is_renting) AS not_renting,
+    with_(f"{STATUS}, {LATEST}", """SELECT count(*) AS total_stations, count(*) FILTER (WHERE is_renting) AS renting,
+      count(*) FILTER (WHERE is_returning) AS returning, count(*) FILTER (WHERE NOT is_renting) AS not_renting,
       CAST(sum(num_bikes_available) AS BIGINT) AS total_bikes, CAST(sum(num_docks_available) AS BIGINT) AS total_docks,
       sum(num_bikes_available) / CAST(sum(num_bikes_available + num_docks_available) AS DOUBLE) * 100 AS occupancy_pct
       FROM latest""", ["occupancy_pct"]),
@@ -277,7 +277,7 @@ def _histogram(src: str, value: str, n_bins: int, by: str = "") -> str:
     return f"""SELECT {f'g.{by}, ' if by else ''}CAST(b AS INTEGER) AS bin, lo + b * w AS bin_low, lo + (b + 1) * w AS bin_high,
       coalesce(c.n, 0) AS n FROM {groups} g, range(0, {n_bins}) s(b),
       (SELECT min({value}) AS lo, (max({value}) - min({value})) / {n_bins}.0 AS w FROM {src}) l
-      LEFT JOIN (SELECT {keys}len(list_filter(range(1, {n_bins}), i -> {value} >= lo + i * w)) AS bin, count(*) AS n
+      LEFT JOIN (SELECT {keys}len([i FOR i IN range(1, {n_bins}) IF {value} >= lo + i * w]) AS bin, count(*) AS n
         FROM {src}, (SELECT min({value}) AS lo, (max({value}) - min({value})) / {n_bins}.0 AS w FROM {src})
         GROUP BY ALL) c ON c.bin = b {match}"""
 

@@ -117,16 +117,17 @@ def histogram(df: DataFrame, value: str, n_bins: int = 30, by: str | None = None
     once; only the counts meet the range.
     """
     rows = df.where(F.col(value).isNotNull()).withColumn("_v", F.col(value).cast("double"))
-    r = value_range(rows, "_v").scalar()
-    lo, hi = r["lo"], r["hi"]
     keys = [by] if by else []
-    counted = rows.groupBy(*keys, bin_index(F.col("_v"), lo, hi, n_bins).alias("bin")).agg(
-        F.count("*").alias("n")
-    )
+    # The range travels as one constant column: a single subquery, however often it is used.
+    ranged = rows.select(*keys, "_v", value_range(rows, "_v").scalar().alias("_r"))
+    index = bin_index(F.col("_v"), F.col("_r.lo"), F.col("_r.hi"), n_bins)
+    counted = ranged.groupBy(*keys, index.alias("bin")).agg(F.count("*").alias("n"), F.first("_r").alias("_r"))
     # The per-group bin counts are a map of at most n_bins entries.
-    packed = counted.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("m"))
-    bins = packed.select(*keys, "m", F.explode(F.sequence(F.lit(0), F.lit(n_bins - 1))).alias("bin"))
-    width = (hi - lo) / F.lit(float(n_bins))
+    packed = counted.groupBy(*keys).agg(
+        F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("m"), F.first("_r").alias("_r")
+    )
+    bins = packed.select(*keys, "m", "_r", F.explode(F.sequence(F.lit(0), F.lit(n_bins - 1))).alias("bin"))
+    lo, width = F.col("_r.lo"), (F.col("_r.hi") - F.col("_r.lo")) / F.lit(float(n_bins))
     return bins.select(
         *keys,
         "bin",

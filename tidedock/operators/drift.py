@@ -142,17 +142,23 @@ def feature_drift(
     return _with_verdict(compared, psi_threshold, ks_alpha)
 
 
-def split_feature_drift(
-    splits: DataFrame, features: list[str] = schemas.FEATURE_COLS, reference: str = "train", current: str = "test"
+def split_sides(
+    splits: DataFrame, features: list[str], reference: str = "train", current: str = "test"
 ) -> DataFrame:
-    """Feature drift between two values of a ``split`` column, reading the table once."""
+    """Long form of two values of a ``split`` column, reading the table once."""
     rows = splits.where(F.col("split").isin(reference, current))
     wide = rows.select(
         (F.col("split") == reference).cast("int").alias("ref"),
         (F.col("split") == current).cast("int").alias("cur"),
         *[labels.null_if_nan(F.col(c).cast("double")).alias(c) for c in features],
     )
-    long = wide.unpivot(["ref", "cur"], features, "feature", "value").where(F.col("value").isNotNull())
+    return wide.unpivot(["ref", "cur"], features, "feature", "value").where(F.col("value").isNotNull())
+
+
+def split_feature_drift(
+    splits: DataFrame, features: list[str] = schemas.FEATURE_COLS, reference: str = "train", current: str = "test"
+) -> DataFrame:
+    long = split_sides(splits, features, reference, current)
     return _with_verdict(compare_distributions(long), PSI_THRESHOLD, KS_ALPHA)
 
 

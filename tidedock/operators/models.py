@@ -72,7 +72,7 @@ def fit_boosted(
         rows = rows.withColumn("is_val", F.lit(False)).unionByName(
             val.select(*cols).withColumn("is_val", F.lit(True))
         )
-        trees = trees.setValidationIndicatorCol("is_val").setValidationTol(0.0)
+        trees = trees.setParams(validationIndicatorCol="is_val", validationTol=0.0)
     return Pipeline(stages=[_assembler(), trees]).fit(_numeric(rows))
 
 

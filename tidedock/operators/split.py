@@ -48,13 +48,20 @@ def split_cuts(
 def time_based_split(
     df: DataFrame, train_frac: float = TRAIN_FRAC, val_frac: float = VAL_FRAC, time_col: str = "timestamp"
 ) -> DataFrame:
-    """The input with a ``split`` column. The cuts are a scalar subquery: no join, one pass to label."""
-    cuts = split_cuts(df, train_frac, val_frac, time_col).select(F.struct("val_from", "test_from").alias("c"))
+    """The input with a ``split`` column.
+
+    The two cuts are read first and enter the plan as literals, so that a later filter on ``split``
+    becomes a plain time range that reaches the files. Pass a written table: it is read twice.
+    """
+    kind = dict(df.dtypes)[time_col]
+    cuts = split_cuts(df, train_frac, val_frac, time_col)
+    val_from, test_from = cuts.select(F.col("val_from").cast("string"), F.col("test_from").cast("string")).first()
     t = F.col(time_col)
-    cut = cuts.scalar()
     return df.withColumn(
         "split",
-        F.when(t >= cut["test_from"], "test").when(t >= cut["val_from"], "val").otherwise("train"),
+        F.when(t >= F.lit(test_from).cast(kind), "test")
+        .when(t >= F.lit(val_from).cast(kind), "val")
+        .otherwise("train"),
     )
 
 

@@ -33,12 +33,12 @@ def feature_table(
 
 
 def split_table(status: DataFrame, information: DataFrame, freq: str = GRID, min_days: int | None = None) -> DataFrame:
-    return time_based_split(feature_table(status, information, freq, min_days))
+    """The labelled feature table. Features are written once; cuts, labels and later passes read them."""
+    return time_based_split(stage(feature_table(status, information, freq, min_days), "features"))
 
 
 def build_dataset(
     status: DataFrame, information: DataFrame, path: str, freq: str = GRID, min_days: int | None = 7
 ) -> None:
-    """Write the split dataset. Features are written once; the cuts and the labels read them back."""
-    features = stage(feature_table(status, information, freq, min_days), "features")
-    write_dataset(time_based_split(features), path)
+    """Write the split dataset, long-lived stations only."""
+    write_dataset(split_table(status, information, freq, min_days), path)
