@@ -18,11 +18,13 @@ from tidedock.sources.writers import append_status
 LATENESS = "1 hour"
 
 
-def read_document_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+def read_document_stream(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
+    """Landed files, at most ``files_per_trigger`` per micro-batch.
+
+    A feed document lists a station once, so this also bounds the rows of a station in a micro-batch.
+    """
     reader = spark.readStream.format("text").option("wholetext", True)
-    if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.load(path).select(F.col("value").alias("document"))
+    return reader.option("maxFilesPerTrigger", files_per_trigger).load(path).select(F.col("value").alias("document"))
 
 
 def status_stream(documents: DataFrame) -> DataFrame:
@@ -45,15 +47,17 @@ def append_stream(status: DataFrame, table: str, checkpoint: str, available_now:
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def binned_stream(status: DataFrame, freq: str = GRID, lateness: str = LATENESS) -> DataFrame:
+def binned_stream(status: DataFrame, freq: str = GRID, lateness: str | None = LATENESS) -> DataFrame:
     """Closed grid bins of each station, emitted once the watermark has passed them.
 
-    Feed the written bins to ``regularise.fill_forward``.
+    Pass ``lateness=None`` after :func:`deduplicate`, which has set the watermark already. Feed the
+    written bins to ``regularise.fill_forward``.
     """
     t = F.col("last_reported")
+    if lateness is not None:
+        status = status.withWatermark("last_reported", lateness)
     binned = (
-        status.withWatermark("last_reported", lateness)
-        .groupBy("station_id", F.window(t, freq).alias("_bin"))
+        status.groupBy("station_id", F.window(t, freq).alias("_bin"))
         .agg(
             *[F.avg(c).alias(c) for c in schemas.COUNT_COLS],
             *[F.max_by(c, F.when(F.col(c).isNotNull(), t)).alias(c) for c in schemas.FLAG_COLS],
