@@ -129,12 +129,17 @@ def load_splits(spark, sf):
     return tables.union_splits(*parts).select("station_id", "timestamp", "num_bikes_available", "hour", "y", "split")
 
 
+@query("split_counts", with_(split_ctes(), "SELECT split, count(*) AS n_rows FROM splits GROUP BY 1"))
+def split_counts(spark, sf):
+    return a.splits(spark, sf).groupBy("split").agg(F.count("*").alias("n_rows"))
+
+
 @query(
-    "split_counts",
+    "split_summary",
     with_(split_ctes(), """SELECT split, count(*) AS n_rows, min("timestamp") AS first_timestamp,
       max("timestamp") AS last_timestamp, count(DISTINCT station_id) AS n_stations FROM splits GROUP BY 1"""),
 )
-def split_counts(spark, sf):
+def split_summary(spark, sf):
     return split.split_summary(a.splits(spark, sf))
 
 
