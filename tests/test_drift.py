@@ -117,7 +117,22 @@ def test_global_index_with_one_crowded_timestamp(spark):
 
 def test_block_must_hold_a_window(spark):
     with pytest.raises(ValueError):
-        blocked_window(spark.range(3).withColumnRenamed("id", "idx"), 5, lambda w: {}, 4)
+        blocked_window(spark.range(3).withColumnRenamed("id", "idx"), 4, 0, lambda w: {}, block_rows=4)
+
+
+def test_rolling_mae_in_blocks_equals_plain_windows(spark, activity):
+    rng = np.random.default_rng(3)
+    df = activity({"hot": list(rng.integers(0, 9, 90)), "a": [1] * 7, "b": list(rng.integers(0, 9, 20))}).withColumn("p", F.lit(4.0))
+    args = (df, "num_bikes_available", "p", "timestamp", 6)
+    key = lambda out: sorted((r.station_id, r.timestamp, r.rolling_mae or -1) for r in out.collect())
+    assert key(drift.rolling_mae_by_station(*args, block_rows=11)) == key(drift.rolling_mae_by_station(*args))
+
+
+def test_alert_lines_and_delta(spark):
+    df = spark.sql("SELECT 0.5D current_mae, 0.4D baseline_mae")
+    assert drift.mae_delta(df).first().mae_delta == pytest.approx(0.1)
+    row = drift.with_alert_lines(spark.range(1), F.lit(0.5)).first()
+    assert (row.baseline_mae, row.alert_mae) == (0.5, 0.6)
 
 
 @pytest.mark.parametrize("seed", [0, 1])

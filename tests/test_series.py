@@ -111,6 +111,30 @@ def test_build_features_has_no_nulls_and_drops_unknown_stations(spark, activity)
     assert {r.station_id for r in out.collect()} == {"a"} and out.count() == 12 - 4 - 1
 
 
+@pytest.mark.parametrize("block_rows", [6, 9, 64])
+def test_blocked_features_equal_plain_windows(spark, activity, block_rows):
+    rng = random.Random(block_rows)
+    data = {"hot": [rng.randrange(15) for _ in range(70)], "b": list(range(11)), "c": [3] * 5, "d": [2]}
+    df = activity(data)
+    key = lambda out: sorted(tuple(r) for r in features.feature_frame(out).collect())
+    plain = key(features.build_features(df))
+    assert len(plain) == 65 + 6 and key(features.build_features(df, block_rows=block_rows)) == plain
+
+
+def test_staged_tables_are_released(spark):
+    from pathlib import Path
+
+    from tidedock import staging
+
+    staged = staging.stage(spark.range(3), "gone")
+    path = Path(staged.inputFiles()[0].removeprefix("file://")).parent
+    assert staged.count() == 3 and path.exists()
+    keep = list(staging._written[:-1])
+    staging._written[:] = staging._written[-1:]
+    assert staging.release_staged(spark) == 1 and not path.exists()
+    staging._written[:] = keep
+
+
 def test_feature_chain_needs_one_exchange(spark, activity):
     df = activity({"a": list(range(12))})
     plan = features.build_features(df)._jdf.queryExecution().executedPlan().toString()

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -138,47 +141,26 @@ def histogram(df: DataFrame, value: str, n_bins: int = 30, by: str | None = None
 
 
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Pearson correlation of every unordered pair, in one pass. Constant columns give null."""
+    """Pearson correlation of every unordered pair. Constant columns give null.
+
+    One distributed pass accumulates the centred cross products; only the finished matrix, whose size is
+    the square of the column count, reaches the driver. Rows with a null are left out.
+    """
     columns = columns or [*schemas.FEATURE_COLS, schemas.TARGET_COL]
-    pairs = list(combinations(columns, 2))
-    d = lambda c: F.col(c).cast("double")
-    moments = df.agg(
-        *[F.stddev_pop(d(c)).alias(f"s_{c}") for c in columns],
-        *[F.covar_pop(d(a), d(b)).alias(f"c_{a}__{b}") for a, b in pairs],
-    )
-    entries = [
-        F.struct(
-            F.lit(a).alias("column_a"),
-            F.lit(b).alias("column_b"),
-            # A deviation below rounding noise is a constant column.
-            F.when(
-                (F.col(f"s_{a}") > 1e-12) & (F.col(f"s_{b}") > 1e-12),
-                F.col(f"c_{a}__{b}") / (F.col(f"s_{a}") * F.col(f"s_{b}")),
-            ).alias("correlation"),
-        )
-        for a, b in pairs
+    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    vectors = VectorAssembler(inputCols=columns, outputCol="_x", handleInvalid="skip").transform(doubles)
+    matrix = Correlation.corr(vectors, "_x").first()[0].toArray()
+    rows = [
+        (columns[i], columns[j], None if math.isnan(matrix[i, j]) else float(matrix[i, j]))
+        for i, j in combinations(range(len(columns)), 2)
     ]
-    return moments.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    return df.sparkSession.createDataFrame(rows, "column_a string, column_b string, correlation double")
 
 
 def target_correlation(df: DataFrame, target: str = schemas.TARGET_COL) -> DataFrame:
     """Correlation of each feature with the target, strongest positive first."""
-    d = lambda c: F.col(c).cast("double")
-    moments = df.agg(
-        F.stddev_pop(d(target)).alias("st"),
-        *[F.stddev_pop(d(c)).alias(f"s_{c}") for c in schemas.FEATURE_COLS],
-        *[F.covar_pop(d(c), d(target)).alias(f"c_{c}") for c in schemas.FEATURE_COLS],
-    )
-    entries = [
-        F.struct(
-            F.lit(c).alias("feature"),
-            F.when(
-                (F.col(f"s_{c}") > 1e-12) & (F.col("st") > 1e-12), F.col(f"c_{c}") / (F.col(f"s_{c}") * F.col("st"))
-            ).alias("correlation"),
-        )
-        for c in schemas.FEATURE_COLS
-    ]
-    rows = moments.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    pairs = correlation_matrix(df, [*schemas.FEATURE_COLS, target]).where(F.col("column_b") == target)
+    rows = pairs.select(F.col("column_a").alias("feature"), "correlation")
     return rows.orderBy(F.col("correlation").desc_nulls_last(), "feature")
 
 

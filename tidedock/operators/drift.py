@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -17,7 +17,7 @@ from tidedock import schemas
 from tidedock.functions import labels
 from tidedock.functions.stats import bin_index, ks_p_value, mae_alert, psi_term
 from tidedock.operators.metrics import regression_metrics
-from tidedock.operators.ordered import blocked_window, bucket_bounds, bucket_of, global_index
+from tidedock.operators.ordered import blocked_window, bucket_bounds, bucket_of, global_index, keyed_windows
 
 PSI_BINS = 10
 KS_ALPHA = 0.05
@@ -26,14 +26,27 @@ ROLLING_ROWS = 96  # fixed value: 24 hours of 15-minute rows
 MIN_PREDICTIONS = 96
 
 
+def _rolling_mae(order: WindowSpec, window: int) -> dict[str, Column]:
+    """Trailing mean of ``_error``; null until the window is full."""
+    frame = order.rowsBetween(-(window - 1), 0)
+    return {"rolling_mae": F.when(F.count("_error").over(frame) == window, F.avg("_error").over(frame))}
+
+
 def rolling_mae_by_station(
-    df: DataFrame, actual: str, predicted: str, time_col: str, window: int = ROLLING_ROWS, by: list[str] | None = None
+    df: DataFrame, actual: str, predicted: str, time_col: str, window: int = ROLLING_ROWS,
+    by: list[str] | None = None, block_rows: int | None = None,
 ) -> DataFrame:
-    """Trailing MAE over ``window`` rows of each station; null until the window is full."""
-    error = F.abs(F.col(actual) - F.col(predicted))
-    frame = W.partitionBy(*(by or ["station_id"])).orderBy(time_col).rowsBetween(-(window - 1), 0)
-    full = F.count(error).over(frame) == window
-    return df.withColumn("rolling_mae", F.when(full, F.avg(error).over(frame)))
+    """Trailing MAE over ``window`` rows of each station (or other group).
+
+    On the grid a station is bounded by time. ``block_rows`` spreads groups of any size over blocks.
+    """
+    by = by or ["station_id"]
+    rows = df.withColumn("_error", F.abs(F.col(actual) - F.col(predicted)))
+    if block_rows is None:
+        out = rows.withColumns(_rolling_mae(W.partitionBy(*by).orderBy(time_col), window))
+    else:
+        out = keyed_windows(rows, by, [time_col], window - 1, 0, lambda o: _rolling_mae(o, window), block_rows)
+    return out.drop("_error")
 
 
 def rolling_mae_global(
@@ -43,12 +56,15 @@ def rolling_mae_global(
     """Trailing MAE over the whole frame in ``order_by`` order, with the row position ``idx``."""
     rows = df.select(*order_by, F.abs(F.col(actual) - F.col(predicted)).alias("_error"))
     indexed = global_index(rows, order_by, "rolling-mae")
+    out = blocked_window(indexed, window - 1, 0, lambda o: _rolling_mae(o, window), block_rows=block_rows)
+    return out.drop("_error")
 
-    def mae(frame) -> dict[str, Column]:
-        full = F.count("_error").over(frame) == window
-        return {"rolling_mae": F.when(full, F.avg("_error").over(frame))}
 
-    return blocked_window(indexed, window, mae, block_rows).drop("_error")
+def with_alert_lines(rolling: DataFrame, baseline_mae: Column) -> DataFrame:
+    """Baseline and alert level next to the rolling error."""
+    return rolling.withColumns(
+        {"baseline_mae": baseline_mae, "alert_mae": baseline_mae * F.lit(labels.MAE_ALERT_FACTOR)}
+    )
 
 
 def two_sides(reference: DataFrame, current: DataFrame, features: list[str]) -> DataFrame:
@@ -231,6 +247,12 @@ def drift_report(
     )
 
 
+def mae_delta(report: DataFrame) -> DataFrame:
+    """Change of the error against the baseline; none without a baseline."""
+    delta = F.when(F.col("baseline_mae") != 0, F.col("current_mae") - F.col("baseline_mae")).otherwise(0.0)
+    return report.withColumn("mae_delta", delta)
+
+
 def rounded_report(report: DataFrame) -> DataFrame:
     """The serialised form: measures with six decimals."""
     measures = ["current_mae", "baseline_mae", "psi_score", "ks_statistic", "ks_p_value"]

@@ -1,33 +1,33 @@
 """Leakage-free features: lags, past-only rolling statistics, calendar fields and the lead target.
 
 All windows share one partitioning and order, so the whole chain costs a single exchange and sort.
-Rows per station are bounded by the grid (see ``regularise``). Lags count rows, so they cross gaps;
+On the grid the rows of a station are bounded by time (see ``regularise``); other frames can be evaluated
+in blocks. Lags count rows, so they cross gaps;
 ``max_gap`` nulls values that would reach further back than that.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidedock import schemas
 from tidedock.functions.timefns import calendar_fields
+from tidedock.operators.ordered import keyed_windows
 
 LAGS = (1, 2, 3, 4)  # fixed values: 15 to 60 minutes
 WINDOW = 4
 
 
-def _order(key: str, time_col: str):
+def station_order(key: str = "station_id", time_col: str = "timestamp") -> WindowSpec:
     return W.partitionBy(key).orderBy(time_col)
 
 
 def lag_columns(
-    value: str = "num_bikes_available", lags=LAGS, key: str = "station_id", time_col: str = "timestamp",
+    order: WindowSpec, value: str = "num_bikes_available", lags=LAGS, time_col: str = "timestamp",
     max_gap: str | None = None,
 ) -> dict[str, Column]:
-    order = _order(key, time_col)
-
     def lagged(n: int) -> Column:
         v = F.lag(value, n).over(order)
         if max_gap is None:
@@ -38,11 +38,9 @@ def lag_columns(
     return {f"bikes_lag_{n}": lagged(n) for n in lags}
 
 
-def rolling_columns(
-    value: str = "num_bikes_available", window: int = WINDOW, key: str = "station_id", time_col: str = "timestamp"
-) -> dict[str, Column]:
+def rolling_columns(order: WindowSpec, value: str = "num_bikes_available", window: int = WINDOW) -> dict[str, Column]:
     """Mean and sample deviation of the previous ``window`` rows; null until that many exist."""
-    past = _order(key, time_col).rowsBetween(-window, -1)
+    past = order.rowsBetween(-window, -1)
     full = F.count(value).over(past) == window
     return {
         "bikes_rolling_mean_1h": F.when(full, F.avg(value).over(past)),
@@ -50,18 +48,16 @@ def rolling_columns(
     }
 
 
-def target_column(
-    value: str = "num_bikes_available", horizon: int = 1, key: str = "station_id", time_col: str = "timestamp"
-) -> dict[str, Column]:
-    return {schemas.TARGET_COL: F.lead(value, horizon).over(_order(key, time_col))}
+def target_column(order: WindowSpec, value: str = "num_bikes_available", horizon: int = 1) -> dict[str, Column]:
+    return {schemas.TARGET_COL: F.lead(value, horizon).over(order)}
 
 
 def add_lag_features(df: DataFrame, **options) -> DataFrame:
-    return df.withColumns(lag_columns(**options))
+    return df.withColumns(lag_columns(station_order(), **options))
 
 
 def add_rolling_features(df: DataFrame, **options) -> DataFrame:
-    return df.withColumns(rolling_columns(**options))
+    return df.withColumns(rolling_columns(station_order(), **options))
 
 
 def add_temporal_features(df: DataFrame, time_col: str = "timestamp") -> DataFrame:
@@ -73,19 +69,31 @@ def add_station_features(df: DataFrame) -> DataFrame:
 
 
 def add_target(df: DataFrame, **options) -> DataFrame:
-    return df.withColumns(target_column(**options))
+    return df.withColumns(target_column(station_order(), **options))
 
 
-def build_features(df: DataFrame, horizon: int = 1, max_gap: str | None = None) -> DataFrame:
-    """Feature table without nulls in any column, so stations unknown to the dimension drop out."""
+def build_features(
+    df: DataFrame, horizon: int = 1, max_gap: str | None = None, block_rows: int | None = None
+) -> DataFrame:
+    """Feature table without nulls in any column, so stations unknown to the dimension drop out.
+
+    ``block_rows`` evaluates the windows in blocks of that many rows, for frames that are not on a grid
+    and in which one station may hold any share of the rows.
+    """
     add_station_features(df)
-    built = df.withColumns(
-        {
-            **lag_columns(max_gap=max_gap),
-            **rolling_columns(),
-            **target_column(horizon=horizon),
+
+    def columns(order: WindowSpec) -> dict[str, Column]:
+        return {
+            **lag_columns(order, max_gap=max_gap),
+            **rolling_columns(order),
+            **target_column(order, horizon=horizon),
         }
-    )
+
+    if block_rows is None:
+        built = df.withColumns(columns(station_order()))
+    else:
+        reach = max(max(LAGS), WINDOW)
+        built = keyed_windows(df, ["station_id"], ["timestamp"], reach, horizon, columns, block_rows)
     return add_temporal_features(built).na.drop("any")
 
 

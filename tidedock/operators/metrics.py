@@ -43,3 +43,8 @@ def extreme_stations(per_station: DataFrame, n: int = 10, hardest: bool = True)
 
 def residuals(df: DataFrame, actual: str = "y", predicted: str = "prediction") -> DataFrame:
     return df.withColumn("residual", F.col(actual) - F.col(predicted))
+
+
+def display_metrics(metrics: DataFrame) -> DataFrame:
+    """Presentation names."""
+    return metrics.withColumnsRenamed({"model": "Model", "mae": "MAE", "rmse": "RMSE", "r2": "R2"})

@@ -3,14 +3,14 @@
 ``value_buckets`` splits sorted values into buckets of similar size; equal values have been merged
 into one counted row before, so a value that holds a third of all rows is one row here.
 ``global_index`` numbers rows by a range-partitioned sort that is written once. ``blocked_window``
-evaluates a trailing row window in fixed blocks that carry the rows they need from the block before.
+evaluates row windows in fixed blocks that carry the rows they need from their neighbours.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -101,18 +101,46 @@ def global_index(df: DataFrame, order_by: list[str], name: str = "ordered") -> D
 
 
 def blocked_window(
-    indexed: DataFrame, size: int, columns: Callable[[object], dict[str, Column]], block_rows: int = 100_000
+    indexed: DataFrame,
+    before: int,
+    after: int,
+    columns: Callable[[WindowSpec], dict[str, Column]],
+    keys: list[str] | None = None,
+    block_rows: int = 100_000,
 ) -> DataFrame:
-    """Trailing window of ``size`` rows over ``idx``, equal to one unpartitioned window.
+    """Row windows over ``idx`` in blocks of fixed size, equal to windows over whole groups.
 
-    The last ``size - 1`` rows of a block are copied into the next one and dropped after use.
+    Each block also receives the ``before`` rows ahead of it and the ``after`` rows behind it, which are
+    dropped after use. With ``keys`` (the leading columns of the order that gave ``idx``) a window never
+    leaves its group, and a group of any size is spread over as many blocks as it fills.
     """
-    if block_rows < size:
-        raise ValueError("a block must hold at least one full window")
+    if block_rows <= before + after:
+        raise ValueError("a block must be larger than the window")
     block = (F.col("idx") / block_rows).cast("long")
-    into_next = F.pmod("idx", F.lit(block_rows)) >= block_rows - (size - 1)
-    spread = indexed.withColumn("_own", block).withColumn(
-        "_block", F.explode(F.when(into_next, F.array(block, block + 1)).otherwise(F.array(block)))
+    place = F.pmod("idx", F.lit(block_rows))
+    own = F.col("_own")
+    targets = F.filter(
+        F.array(
+            F.when(place < after, own - 1),
+            own,
+            F.when(place >= block_rows - before, own + 1),
+        ),
+        lambda b: b.isNotNull(),
     )
-    frame = W.partitionBy("_block").orderBy("idx").rowsBetween(-(size - 1), 0)
-    return spread.withColumns(columns(frame)).where(F.col("_own") == F.col("_block")).drop("_own", "_block")
+    spread = indexed.withColumn("_own", block).withColumn("_block", F.explode(targets))
+    order = W.partitionBy("_block", *(keys or [])).orderBy("idx")
+    return spread.withColumns(columns(order)).where(F.col("_own") == F.col("_block")).drop("_own", "_block")
+
+
+def keyed_windows(
+    df: DataFrame,
+    keys: list[str],
+    order_by: list[str],
+    before: int,
+    after: int,
+    columns: Callable[[WindowSpec], dict[str, Column]],
+    block_rows: int = 100_000,
+) -> DataFrame:
+    """Row windows per key for frames in which a single key may hold any share of the rows."""
+    indexed = global_index(df, [*keys, *order_by], "keyed")
+    return blocked_window(indexed, before, after, columns, keys, block_rows).drop("idx")

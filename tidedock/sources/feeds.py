@@ -97,15 +97,17 @@ def _typed_information() -> dict[str, Column]:
     }
 
 
-def _typed(exploded: DataFrame, required: list[str], typed: dict[str, Column], nullable: set[str]) -> DataFrame:
+def _carried(exploded: DataFrame) -> list[str]:
+    return [c for c in exploded.columns if c not in ("record", "bad_envelope")]
+
+
+def _checked(exploded: DataFrame, required: list[str], typed: dict[str, Column], nullable: set[str]) -> DataFrame:
     """Typed columns plus ``reject_reason``: null for good records, else what was wrong."""
-    missing = missing_fields(required)
-    carried = [c for c in exploded.columns if c not in ("record", "bad_envelope")]
     rows = exploded.select(
-        *carried,
+        *_carried(exploded),
         "bad_envelope",
         F.col("record.station_id").alias("raw_station_id"),
-        missing.alias("_missing"),
+        missing_fields(required).alias("_missing"),
         *[c.alias(n) for n, c in typed.items()],
     )
     uncast = F.filter(
@@ -120,19 +122,27 @@ def _typed(exploded: DataFrame, required: list[str], typed: dict[str, Column], n
     return rows.withColumn("reject_reason", reason).drop("bad_envelope", "_missing")
 
 
+def _accepted(exploded: DataFrame, typed: dict[str, Column], nullable: set[str]) -> DataFrame:
+    """The records without a reject reason: every column that must have a value got one.
+
+    A missing, null or malformed field and a bad envelope all leave a null here, so no reason text is built.
+    """
+    rows = exploded.select(*_carried(exploded), *[c.alias(n) for n, c in typed.items()])
+    return rows.na.drop("any", subset=[n for n in typed if n not in nullable])
+
+
+INFORMATION_NULLABLE = {"address"}
+
+
 def check_station_status(documents: DataFrame, column: str = "document", strict: bool = False) -> DataFrame:
     """All status records with their ``reject_reason``; split it to keep the rejects."""
     exploded = explode_members(documents, schemas.STATUS_FEED, "stations", column, strict)
-    return _typed(exploded, schemas.REQUIRED_STATUS, _typed_status(), set())
+    return _checked(exploded, schemas.REQUIRED_STATUS, _typed_status(), set())
 
 
 def check_station_information(documents: DataFrame, column: str = "document", strict: bool = False) -> DataFrame:
     exploded = explode_members(documents, schemas.INFORMATION_FEED, "stations", column, strict)
-    return _typed(exploded, schemas.REQUIRED_INFORMATION, _typed_information(), {"address"})
-
-
-def _accepted(checked: DataFrame) -> DataFrame:
-    return checked.where(F.col("reject_reason").isNull()).drop("reject_reason", "raw_station_id")
+    return _checked(exploded, schemas.REQUIRED_INFORMATION, _typed_information(), INFORMATION_NULLABLE)
 
 
 def rejected(checked: DataFrame) -> DataFrame:
@@ -144,12 +154,13 @@ def parse_station_status(
     documents: DataFrame, ingested_at: Column, column: str = "document", strict: bool = False
 ) -> DataFrame:
     """Valid status records with one ingestion time; ``seq`` keeps the order inside a document."""
-    checked = check_station_status(documents, column, strict)
-    return _accepted(checked).withColumn("ingestion_timestamp", ingested_at)
+    exploded = explode_members(documents, schemas.STATUS_FEED, "stations", column, strict)
+    return _accepted(exploded, _typed_status(), set()).withColumn("ingestion_timestamp", ingested_at)
 
 
 def parse_station_information(documents: DataFrame, column: str = "document", strict: bool = False) -> DataFrame:
-    return _accepted(check_station_information(documents, column, strict))
+    exploded = explode_members(documents, schemas.INFORMATION_FEED, "stations", column, strict)
+    return _accepted(exploded, _typed_information(), INFORMATION_NULLABLE)
 
 
 def feed_metadata(documents: DataFrame, envelope=schemas.DISCOVERY_FEED, column: str = "document") -> DataFrame:

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidedock import schemas
+from tidedock.functions.labels import null_if_nan
 from tidedock.sources.feeds import parse_station_information, read_documents
 
 ENRICHED_SCAN = ["station_id", "last_reported", *schemas.COUNT_COLS, *schemas.FLAG_COLS, *schemas.STATIC_COLS]
@@ -15,16 +17,12 @@ def read_status(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(_with_day(schemas.STATUS)).parquet(path)
 
 
-def _with_day(schema):
-    from pyspark.sql import types as T
-
+def _with_day(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField("reported_on", T.DateType(), True)])
 
 
 def read_snapshot(spark: SparkSession, path: str, schema=schemas.INFORMATION) -> DataFrame:
     """Newest version of a versioned snapshot (see ``writers.write_snapshot``)."""
-    from pyspark.sql import types as T
-
     table = spark.read.schema(T.StructType([*schema.fields, T.StructField("version", T.LongType(), True)])).parquet(
         path
     )
@@ -32,16 +30,22 @@ def read_snapshot(spark: SparkSession, path: str, schema=schemas.INFORMATION) ->
     return table.where(F.col("version") == newest.scalar()).drop("version")
 
 
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """NaN read from files written by dataframe libraries means a missing value."""
+    doubles = [c for c, t in df.dtypes if t in ("double", "float")]
+    return df.withColumns({c: null_if_nan(F.col(c)) for c in doubles}) if doubles else df
+
+
 def load_raw_status(enriched: DataFrame, min_days: int = 7) -> DataFrame:
     """The 11 columns of the enriched history that the dataset needs, long-lived stations only."""
     from tidedock.operators.regularise import min_history
 
-    return min_history(enriched.select(*ENRICHED_SCAN), min_days)
+    return min_history(nan_to_null(enriched.select(*ENRICHED_SCAN)), min_days)
 
 
 def load_splits(spark: SparkSession, path: str) -> DataFrame:
     """All splits with their ``split`` column; a filter on it prunes directories."""
-    return spark.read.parquet(path)
+    return nan_to_null(spark.read.parquet(path))
 
 
 def union_splits(train: DataFrame, val: DataFrame, test: DataFrame) -> DataFrame:
@@ -77,7 +81,8 @@ def station_count(information: DataFrame) -> DataFrame:
 
 def load_predictions(predictions: DataFrame, model_name: str, since: Column | None = None) -> DataFrame:
     """Complete prediction/actual pairs of one model, optionally from ``since`` on."""
-    rows = predictions.where((F.col("model_name") == model_name) & F.col("actual_value").isNotNull())
+    complete = F.col("actual_value").isNotNull() & ~F.isnan("actual_value")
+    rows = predictions.where((F.col("model_name") == model_name) & complete)
     if since is not None:
         rows = rows.where(F.col("target_time") >= since)
     return rows.select("station_id", "target_time", "predicted_value", "actual_value")

@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dir: str | None = None
+_written: list[str] = []
 
 
 def staging_dir(spark: SparkSession) -> str:
@@ -37,4 +38,15 @@ def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> Da
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release_staged(spark: SparkSession) -> int:
+    """Delete the tables this process has staged, once nothing reads them any more."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    count = 0
+    while _written:
+        target = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        count += bool(target.getFileSystem(conf).delete(target, True))
+    return count
