@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidedock.operators.merge import first_per_key
 from tidedock.plans import dataset
+from tidedock.staging import stage
 
 AS_OF = "2024-01-31 00:00:00"
 
@@ -114,6 +115,11 @@ def features(spark: SparkSession, sf: str, freq: str = "15 minutes") -> DataFram
     return dataset.feature_table(status(spark, sf), information(spark, sf), freq)
 
 
+def staged_features(spark: SparkSession, sf: str) -> DataFrame:
+    """Features as a written table, for operators that read their input more than once."""
+    return stage(features(spark, sf), "features")
+
+
 def splits(spark: SparkSession, sf: str) -> DataFrame:
     return dataset.split_table(status(spark, sf), information(spark, sf))
 

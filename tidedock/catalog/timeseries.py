@@ -10,6 +10,7 @@ from tidedock.catalog.oracles import (
 )
 from tidedock.catalog.registry import query
 from tidedock.operators import aggregates, features, regularise, split
+from tidedock.operators.drift import split_sides
 from tidedock.sources import tables
 
 PLACE = ["lat", "lon"]
@@ -330,7 +331,7 @@ _ALL = [*FEATURES, "y"]
     ), ["correlation"]),
 )
 def feature_correlation(spark, sf):
-    return aggregates.correlation_matrix(a.features(spark, sf))
+    return aggregates.correlation_matrix(a.staged_features(spark, sf))
 
 
 @query(
@@ -340,7 +341,7 @@ def feature_correlation(spark, sf):
     ), ["correlation"]),
 )
 def target_correlation(spark, sf):
-    return aggregates.target_correlation(a.features(spark, sf))
+    return aggregates.target_correlation(a.staged_features(spark, sf))
 
 
 SUMMARY_FEATURES = ["num_bikes_available", "bikes_rolling_mean_1h", "bikes_rolling_std_1h", "hour", "lat"]
@@ -363,9 +364,7 @@ _STATS = {
           ["reference", "current", "delta"]),
 )
 def feature_summary_delta(spark, sf):
-    rows = a.splits(spark, sf)
-    part = lambda s: rows.where(F.col("split") == s)
-    return aggregates.feature_summary_delta(part("train"), part("test"), SUMMARY_FEATURES)
+    return aggregates.summary_delta(split_sides(a.splits(spark, sf), SUMMARY_FEATURES))
 
 
 @query("hash_sample")

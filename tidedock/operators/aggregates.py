@@ -14,6 +14,7 @@ from tidedock import schemas
 from tidedock.functions import labels
 from tidedock.functions.stats import bin_index
 from tidedock.functions.timefns import in_date_range
+from tidedock.operators.ordered import count_quantiles, value_counts
 
 VALUE = "num_bikes_available"
 
@@ -143,8 +144,9 @@ def histogram(df: DataFrame, value: str, n_bins: int = 30, by: str | None = None
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Pearson correlation of every unordered pair. Constant columns give null.
 
-    One distributed pass accumulates the centred cross products; only the finished matrix, whose size is
-    the square of the column count, reaches the driver. Rows with a null are left out.
+    Means and centred cross products are accumulated on the executors; only the finished matrix, whose
+    size is the square of the column count, reaches the driver. Rows with a null are left out. The rows
+    are read a few times: pass a written table.
     """
     columns = columns or [*schemas.FEATURE_COLS, schemas.TARGET_COL]
     doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
@@ -165,29 +167,39 @@ def target_correlation(df: DataFrame, target: str = schemas.TARGET_COL) -> DataF
 
 
 def feature_summary(long: DataFrame, by: list[str]) -> DataFrame:
-    """Count, mean, sample deviation, extremes and exact quartiles of ``value`` per group."""
-    from tidedock.operators.ordered import exact_quantiles
-
-    basic = long.groupBy(*by).agg(
-        F.count("value").alias("n"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+    """Count, mean, sample deviation, extremes and exact quartiles of ``value`` per group.
+
+    The rows are read once and counted per value; all statistics come from the written counts.
+    """
+    counts = value_counts(long, "value", by)
+    n, v = F.col("n"), F.col("v")
+    centre = counts.groupBy(*by).agg(
+        F.sum("n").alias("rows"), (F.sum(v * n) / F.sum("n")).alias("mean"), F.min("v").alias("min"), F.max("v").alias("max")
+    )
+    # One row per group of the report.
+    squares = counts.join(F.broadcast(centre), by).groupBy(*by).agg(
+        F.sum(n * (v - F.col("mean")) * (v - F.col("mean"))).alias("m2")
     )
-    quartiles = exact_quantiles(long, "value", [0.25, 0.5, 0.75], by)
+    quartiles = count_quantiles(counts, [0.25, 0.5, 0.75], by)
     named = quartiles.withColumnsRenamed({"q0": "q25", "q1": "median", "q2": "q75"})
-    return basic.join(named, by)
+    std = F.sqrt(F.try_divide(F.col("m2"), F.col("rows") - 1))
+    return centre.join(squares, by).join(named, by).select(
+        *by, F.col("rows").alias("n"), "mean", std.alias("std"), "min", "q25", "median", "q75", "max"
+    )
 
 
 def feature_summary_delta(reference: DataFrame, current: DataFrame, features: list[str]) -> DataFrame:
     """Statistics of both sides and their difference, one row per feature and statistic."""
     from tidedock.operators.drift import two_sides
 
+    return summary_delta(two_sides(reference, current, features))
+
+
+def summary_delta(long: DataFrame) -> DataFrame:
+    """The same from long rows ``(feature, value, ref, cur)``."""
     side = F.when(F.col("ref") == 1, "reference").otherwise("current").alias("side")
-    long = two_sides(reference, current, features).select("feature", "value", side)
     stats = ["mean", "std", "min", "q25", "median", "q75", "max"]
-    summary = feature_summary(long, ["feature", "side"])
+    summary = feature_summary(long.select("feature", "value", side), ["feature", "side"])
     rows = summary.unpivot(["feature", "side"], stats, "metric", "value")
     pick = lambda name: F.max(F.when(F.col("side") == name, F.col("value")))
     out = rows.groupBy("feature", "metric").agg(pick("reference").alias("reference"), pick("current").alias("current"))

@@ -29,15 +29,22 @@ def bucket_of(value: Column, bounds: Column) -> Column:
     return F.size(F.filter(bounds, lambda b: b < value))
 
 
-def exact_quantiles(df: DataFrame, value: str, probabilities: list[float], by: list[str] | None = None) -> DataFrame:
-    """Interpolated quantiles as columns ``q0``, ``q1``, ... in the order of ``probabilities``.
+def value_counts(df: DataFrame, value: str, by: list[str]) -> DataFrame:
+    """Written table ``(by..., v, n)`` of the non-null values and how often each occurs."""
+    rows = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("v"))
+    return stage(rows.groupBy(*by, "v").agg(F.count("*").alias("n")), "value-counts")
 
-    Values are counted once and written; buckets, running counts and the pick read that table.
-    """
+
+def exact_quantiles(df: DataFrame, value: str, probabilities: list[float], by: list[str] | None = None) -> DataFrame:
+    """Interpolated quantiles as columns ``q0``, ``q1``, ... in the order of ``probabilities``."""
     keys = by or ["_all"]
     rows = df if by else df.withColumn("_all", F.lit(1))
-    rows = rows.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("v"))
-    counts = stage(rows.groupBy(*keys, "v").agg(F.count("*").alias("n")), "value-counts")
+    found = count_quantiles(value_counts(rows, value, keys), probabilities, keys)
+    return found if by else found.drop("_all")
+
+
+def count_quantiles(counts: DataFrame, probabilities: list[float], keys: list[str]) -> DataFrame:
+    """Quantiles of a written ``value_counts`` table; buckets, running counts and the pick all read it."""
     bounds = stage(counts.groupBy(*keys).agg(bucket_bounds("v").alias("bounds")), "value-bounds")
     # One row per group of the report (features and sides), so the hint is bounded by its columns.
     bucketed = counts.join(F.broadcast(bounds), keys).withColumn("b", bucket_of(F.col("v"), F.col("bounds")))
@@ -64,9 +71,8 @@ def exact_quantiles(df: DataFrame, value: str, probabilities: list[float], by: l
             at(F.ceil(position)).alias(f"_hi{i}"),
             F.max(position - F.floor(position)).alias(f"_f{i}"),
         ]
-    found = ranked.groupBy(*keys).agg(*picks)
-    return found.select(
-        *(by or []),
+    return ranked.groupBy(*keys).agg(*picks).select(
+        *keys,
         *[
             (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}")).alias(f"q{i}")
             for i in range(len(probabilities))

@@ -94,19 +94,12 @@ def dense_grid(bins: DataFrame, freq: str = GRID, key: str = "station_id") -> Da
     return spine.join(bins, [key, "timestamp"], "left")
 
 
-def ffill_limited(
-    grid: DataFrame, columns: list[str], steps: int = FILL_STEPS, key: str = "station_id", freq: str = GRID
-) -> DataFrame:
-    """Per column forward fill over at most ``steps`` consecutive nulls of a dense grid.
-
-    The frame only ever grows, so every row costs one comparison whatever ``steps`` is.
-    """
-    frame = W.partitionBy(key).orderBy("timestamp").rowsBetween(W.unboundedPreceding, 0)
-    oldest = F.col("timestamp") - F.expr(f"{steps} * INTERVAL '{freq}'")
-    seen = {f"_{c}": F.when(F.col(c).isNotNull(), F.struct("timestamp", F.col(c).alias("v"))) for c in columns}
-    last = {f"_{c}": F.last(f"_{c}", ignorenulls=True).over(frame) for c in columns}
-    filled = {c: F.when(F.col(f"_{c}.timestamp") >= oldest, F.col(f"_{c}.v")) for c in columns}
-    return grid.withColumns(seen).withColumns(last).withColumns(filled).drop(*seen)
+def ffill_limited(grid: DataFrame, columns: list[str], steps: int = FILL_STEPS, key: str = "station_id") -> DataFrame:
+    """Per column forward fill over at most ``steps`` consecutive nulls of a dense grid."""
+    order = W.partitionBy(key).orderBy("timestamp")
+    return grid.withColumns(
+        {c: F.coalesce(F.col(c), *[F.lag(c, n).over(order) for n in range(1, steps + 1)]) for c in columns}
+    )
 
 
 def attach_statics(resampled: DataFrame, information: DataFrame, how: str = "left") -> DataFrame:
