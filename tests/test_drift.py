@@ -117,15 +117,17 @@ def test_global_index_with_one_crowded_timestamp(spark):
 
 def test_block_must_hold_a_window(spark):
     with pytest.raises(ValueError):
-        blocked_window(spark.range(3).withColumnRenamed("id", "idx"), 4, 0, lambda w: {}, block_rows=4)
+        blocked_window(spark.range(3).withColumnRenamed("id", "idx"), 4, 0, lambda rows, order: rows, block_rows=4)
 
 
 def test_rolling_mae_in_blocks_equals_plain_windows(spark, activity):
     rng = np.random.default_rng(3)
     df = activity({"hot": list(rng.integers(0, 9, 90)), "a": [1] * 7, "b": list(rng.integers(0, 9, 20))}).withColumn("p", F.lit(4.0))
     args = (df, "num_bikes_available", "p", "timestamp", 6)
-    key = lambda out: sorted((r.station_id, r.timestamp, r.rolling_mae or -1) for r in out.collect())
-    assert key(drift.rolling_mae_by_station(*args, block_rows=11)) == key(drift.rolling_mae_by_station(*args))
+    key = lambda out: {(r.station_id, r.timestamp): r.rolling_mae for r in out.collect()}
+    plain = key(drift.rolling_mae_by_station(*args))
+    assert sum(v is not None for v in plain.values()) == 85 + 2 + 15
+    assert key(drift.rolling_mae_by_station(*args, block_rows=11)) == pytest.approx(plain)
 
 
 def test_alert_lines_and_delta(spark):

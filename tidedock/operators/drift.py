@@ -26,10 +26,17 @@ ROLLING_ROWS = 96  # fixed value: 24 hours of 15-minute rows
 MIN_PREDICTIONS = 96
 
 
-def _rolling_mae(order: WindowSpec, window: int) -> dict[str, Column]:
-    """Trailing mean of ``_error``; null until the window is full."""
-    frame = order.rowsBetween(-(window - 1), 0)
-    return {"rolling_mae": F.when(F.count("_error").over(frame) == window, F.avg("_error").over(frame))}
+def _rolling_mae(rows: DataFrame, order: WindowSpec, window: int) -> DataFrame:
+    """Trailing mean of ``_error``; null until the window is full.
+
+    The difference of two running sums: the cost per row does not grow with the window.
+    """
+    running = order.rowsBetween(W.unboundedPreceding, 0)
+    summed = rows.withColumns({"_sum": F.sum("_error").over(running), "_n": F.count("_error").over(running)})
+    earlier = lambda c: F.coalesce(F.lag(c, window).over(order), F.lit(0))
+    total, n = F.col("_sum") - earlier("_sum"), F.col("_n") - earlier("_n")
+    mean = F.greatest(total, F.lit(0.0)) / F.lit(float(window))
+    return summed.withColumn("rolling_mae", F.when(n == window, mean)).drop("_sum", "_n")
 
 
 def rolling_mae_by_station(
@@ -43,9 +50,9 @@ def rolling_mae_by_station(
     by = by or ["station_id"]
     rows = df.withColumn("_error", F.abs(F.col(actual) - F.col(predicted)))
     if block_rows is None:
-        out = rows.withColumns(_rolling_mae(W.partitionBy(*by).orderBy(time_col), window))
+        out = _rolling_mae(rows, W.partitionBy(*by).orderBy(time_col), window)
     else:
-        out = keyed_windows(rows, by, [time_col], window - 1, 0, lambda o: _rolling_mae(o, window), block_rows)
+        out = keyed_windows(rows, by, [time_col], window - 1, 0, lambda r, o: _rolling_mae(r, o, window), block_rows)
     return out.drop("_error")
 
 
@@ -56,7 +63,7 @@ def rolling_mae_global(
     """Trailing MAE over the whole frame in ``order_by`` order, with the row position ``idx``."""
     rows = df.select(*order_by, F.abs(F.col(actual) - F.col(predicted)).alias("_error"))
     indexed = global_index(rows, order_by, "rolling-mae")
-    out = blocked_window(indexed, window - 1, 0, lambda o: _rolling_mae(o, window), block_rows=block_rows)
+    out = blocked_window(indexed, window - 1, 0, lambda r, o: _rolling_mae(r, o, window), block_rows=block_rows)
     return out.drop("_error")
 
 

@@ -8,6 +8,9 @@ in blocks. Lags count rows, so they cross gaps;
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -38,13 +41,22 @@ def lag_columns(
     return {f"bikes_lag_{n}": lagged(n) for n in lags}
 
 
-def rolling_columns(order: WindowSpec, value: str = "num_bikes_available", window: int = WINDOW) -> dict[str, Column]:
-    """Mean and sample deviation of the previous ``window`` rows; null until that many exist."""
-    past = order.rowsBetween(-window, -1)
-    full = F.count(value).over(past) == window
+def past_columns(order: WindowSpec, value: str = "num_bikes_available", window: int = WINDOW) -> dict[str, Column]:
+    """The previous ``window`` values, newest first, as helper columns of :func:`rolling_columns`."""
+    return {f"_past_{n}": F.lag(value, n).over(order) for n in range(1, window + 1)}
+
+
+def rolling_columns(window: int = WINDOW) -> dict[str, Column]:
+    """Mean and sample deviation of the previous ``window`` rows; null until that many exist.
+
+    Plain arithmetic over the lagged values instead of sliding aggregates, so it stays in generated code.
+    """
+    past = [F.col(f"_past_{n}") for n in range(window, 0, -1)]
+    mean = reduce(add, past) / F.lit(float(window))
+    squares = reduce(add, [(p - mean) * (p - mean) for p in past])
     return {
-        "bikes_rolling_mean_1h": F.when(full, F.avg(value).over(past)),
-        "bikes_rolling_std_1h": F.when(full, F.stddev_samp(value).over(past)),
+        "bikes_rolling_mean_1h": mean,
+        "bikes_rolling_std_1h": F.sqrt(squares / F.lit(float(window - 1))),
     }
 
 
@@ -56,8 +68,9 @@ def add_lag_features(df: DataFrame, **options) -> DataFrame:
     return df.withColumns(lag_columns(station_order(), **options))
 
 
-def add_rolling_features(df: DataFrame, **options) -> DataFrame:
-    return df.withColumns(rolling_columns(station_order(), **options))
+def add_rolling_features(df: DataFrame, window: int = WINDOW, **options) -> DataFrame:
+    past = past_columns(station_order(), window=window, **options)
+    return df.withColumns(past).withColumns(rolling_columns(window)).drop(*past)
 
 
 def add_temporal_features(df: DataFrame, time_col: str = "timestamp") -> DataFrame:
@@ -82,19 +95,22 @@ def build_features(
     """
     add_station_features(df)
 
-    def columns(order: WindowSpec) -> dict[str, Column]:
-        return {
-            **lag_columns(order, max_gap=max_gap),
-            **rolling_columns(order),
-            **target_column(order, horizon=horizon),
-        }
+    def windows(rows: DataFrame, order: WindowSpec) -> DataFrame:
+        return rows.withColumns(
+            {
+                **lag_columns(order, max_gap=max_gap),
+                **past_columns(order),
+                **target_column(order, horizon=horizon),
+            }
+        )
 
     if block_rows is None:
-        built = df.withColumns(columns(station_order()))
+        built = windows(df, station_order())
     else:
         reach = max(max(LAGS), WINDOW)
-        built = keyed_windows(df, ["station_id"], ["timestamp"], reach, horizon, columns, block_rows)
-    return add_temporal_features(built).na.drop("any")
+        built = keyed_windows(df, ["station_id"], ["timestamp"], reach, horizon, windows, block_rows)
+    rolled = built.withColumns(rolling_columns()).drop(*[c for c in built.columns if c.startswith("_past_")])
+    return add_temporal_features(rolled).na.drop("any")
 
 
 def feature_frame(df: DataFrame) -> DataFrame:

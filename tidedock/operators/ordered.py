@@ -110,13 +110,13 @@ def blocked_window(
     indexed: DataFrame,
     before: int,
     after: int,
-    columns: Callable[[WindowSpec], dict[str, Column]],
+    windows: Callable[[DataFrame, WindowSpec], DataFrame],
     keys: list[str] | None = None,
     block_rows: int = 100_000,
 ) -> DataFrame:
     """Row windows over ``idx`` in blocks of fixed size, equal to windows over whole groups.
 
-    Each block also receives the ``before`` rows ahead of it and the ``after`` rows behind it, which are
+    ``windows`` adds its columns to the rows using the given order. Each block also receives the ``before`` rows ahead of it and the ``after`` rows behind it, which are
     dropped after use. With ``keys`` (the leading columns of the order that gave ``idx``) a window never
     leaves its group, and a group of any size is spread over as many blocks as it fills.
     """
@@ -135,7 +135,7 @@ def blocked_window(
     )
     spread = indexed.withColumn("_own", block).withColumn("_block", F.explode(targets))
     order = W.partitionBy("_block", *(keys or [])).orderBy("idx")
-    return spread.withColumns(columns(order)).where(F.col("_own") == F.col("_block")).drop("_own", "_block")
+    return windows(spread, order).where(F.col("_own") == F.col("_block")).drop("_own", "_block")
 
 
 def keyed_windows(
@@ -144,9 +144,9 @@ def keyed_windows(
     order_by: list[str],
     before: int,
     after: int,
-    columns: Callable[[WindowSpec], dict[str, Column]],
+    windows: Callable[[DataFrame, WindowSpec], DataFrame],
     block_rows: int = 100_000,
 ) -> DataFrame:
     """Row windows per key for frames in which a single key may hold any share of the rows."""
     indexed = global_index(df, [*keys, *order_by], "keyed")
-    return blocked_window(indexed, before, after, columns, keys, block_rows).drop("idx")
+    return blocked_window(indexed, before, after, windows, keys, block_rows).drop("idx")
