@@ -42,12 +42,13 @@ def test_activity_values(activity):
     assert rows["busy"].avg_docks == pytest.approx(15.5) and rows["busy"].capacity == 20.0
 
 
-def test_days_chain_into_whole_series(activity):
-    """Two levels (day, station) equal one pass over the sorted series, also with changes at midnight."""
+@pytest.mark.parametrize("slice_width", ["1 day", "1 hour", "7 days"])
+def test_slices_chain_into_whole_series(activity, slice_width):
+    """Two levels (slice, station) equal one pass over the sorted series, also with changes at midnight."""
     rng = np.random.default_rng(9)
     data = {f"s{i}": list(rng.choice([3, 3, 3, 4, 0], 300)) for i in range(6)}
     data["midnight"] = [2] * 64 + [6] * 30
-    rows = {r.station_id: r for r in anomaly.station_profiles(activity(data)).collect()}
+    rows = {r.station_id: r for r in anomaly.station_profiles(activity(data), slice_width).collect()}
     for sid, values in data.items():
         x = np.array(values, dtype=float)
         moved = np.flatnonzero(np.diff(x) != 0)

@@ -15,6 +15,7 @@ from tidedock.functions import labels
 from tidedock.functions.stats import bin_index
 from tidedock.functions.timefns import in_date_range
 from tidedock.operators.ordered import count_quantiles, value_counts
+from tidedock.staging import stage_small
 
 VALUE = "num_bikes_available"
 
@@ -173,11 +174,16 @@ def feature_summary(long: DataFrame, by: list[str]) -> DataFrame:
     """
     counts = value_counts(long, "value", by)
     n, v = F.col("n"), F.col("v")
-    centre = counts.groupBy(*by).agg(
-        F.sum("n").alias("rows"), (F.sum(v * n) / F.sum("n")).alias("mean"), F.min("v").alias("min"), F.max("v").alias("max")
+    centre = stage_small(
+        counts.groupBy(*by).agg(
+            F.sum("n").alias("rows"),
+            (F.sum(v * n) / F.sum("n")).alias("mean"),
+            F.min("v").alias("min"),
+            F.max("v").alias("max"),
+        ),
+        "value-centres",
     )
-    # One row per group of the report.
-    squares = counts.join(F.broadcast(centre), by).groupBy(*by).agg(
+    squares = counts.join(centre, by).groupBy(*by).agg(
         F.sum(n * (v - F.col("mean")) * (v - F.col("mean"))).alias("m2")
     )
     quartiles = count_quantiles(counts, [0.25, 0.5, 0.75], by)

@@ -1,8 +1,9 @@
 """Stuck stations, activity profiles and their combination with isolation-forest outliers.
 
-Both station aggregates run in two levels. Rows are reduced per (station, day), where change detection
-needs only the order inside the day; the day summaries are then chained per station. A station that
-holds a third of the rows is spread over its days, and no window ever sees more than one day of it.
+Both station aggregates run in two levels. Rows are reduced per (station, time slice), where change
+detection needs only the order inside the slice; the slice summaries are then chained per station. A station
+that holds a third of the rows is spread over its slices. Reports carry whole seconds and are unique per
+station and time, so a day holds at most 86,400 of them; a shorter ``slice_width`` lowers that further.
 """
 
 from __future__ import annotations
@@ -15,8 +16,10 @@ from tidedock import schemas
 from tidedock.functions import labels
 from tidedock.functions.timefns import hours_between
 
+# Defaults of both detectors.
 STUCK_HOURS = 2.0
 CONTAMINATION = 0.05
+SLICE = "1 day"
 VALUE = "num_bikes_available"
 
 
@@ -28,12 +31,13 @@ def check_thresholds(stuck_hours: float, contamination: float) -> None:
         raise ValueError("contamination must lie between 0.01 and 0.5")
 
 
-def day_summaries(df: DataFrame) -> DataFrame:
-    """One row per (station, day) with everything both detectors need; one shuffle of the input."""
+def slice_summaries(df: DataFrame, slice_width: str = SLICE) -> DataFrame:
+    """One row per (station, slice) with everything both detectors need; one shuffle of the input."""
     schemas.require_columns(df, ["station_id", "timestamp", VALUE])
     optional = [c for c in ("num_docks_available", "capacity", "is_renting") if c in df.columns]
-    rows = df.select("station_id", "timestamp", VALUE, *optional, F.to_date("timestamp").alias("day"))
-    order = W.partitionBy("station_id", "day").orderBy("timestamp")
+    part = F.window("timestamp", slice_width).getField("start").alias("slice")
+    rows = df.select("station_id", "timestamp", VALUE, *optional, part)
+    order = W.partitionBy("station_id", "slice").orderBy("timestamp")
     rows = rows.withColumn("_changed", F.col(VALUE) != F.lag(VALUE).over(order))
     t = F.col("timestamp")
     aggs = [
@@ -54,18 +58,18 @@ def day_summaries(df: DataFrame) -> DataFrame:
         aggs.append(F.min_by("capacity", t).alias("capacity"))
     if "is_renting" in optional:
         aggs.append(F.max_by("is_renting", t).alias("is_renting"))
-    return rows.groupBy("station_id", "day").agg(*aggs)
+    return rows.groupBy("station_id", "slice").agg(*aggs)
 
 
-def station_profiles(df: DataFrame) -> DataFrame:
-    """Day summaries chained per station: a first value unlike the day before is a change too."""
-    days = day_summaries(df)
-    chain = W.partitionBy("station_id").orderBy("day")
+def station_profiles(df: DataFrame, slice_width: str = SLICE) -> DataFrame:
+    """Slices chained per station: a first value unlike the last one before it is a change too."""
+    slices = slice_summaries(df, slice_width)
+    chain = W.partitionBy("station_id").orderBy("slice")
     station = W.partitionBy("station_id")
-    days = days.withColumn(
+    slices = slices.withColumn(
         "_turned", F.coalesce(F.col("first_value") != F.lag("last_value").over(chain), F.lit(False))
     )
-    days = days.withColumn("_mean", F.sum("total").over(station) / F.sum("n").over(station))
+    slices = slices.withColumn("_mean", F.sum("total").over(station) / F.sum("n").over(station))
     shift = F.col("total") / F.col("n") - F.col("_mean")
     last_change = F.greatest(F.col("last_change"), F.when(F.col("_turned"), F.col("first_ts")))
     aggs = [
@@ -77,15 +81,15 @@ def station_profiles(df: DataFrame) -> DataFrame:
         F.max(last_change).alias("last_change"),
         F.min("first_ts").alias("first_ts"),
         F.max("last_ts").alias("last_ts"),
-        F.max_by("last_value", "day").alias("last_bikes"),
+        F.max_by("last_value", "slice").alias("last_bikes"),
     ]
-    if "docks" in days.columns:
+    if "docks" in slices.columns:
         aggs.append(F.try_divide(F.sum("docks"), F.sum("n_docks")).alias("avg_docks"))
-    if "capacity" in days.columns:
-        aggs.append(F.min_by("capacity", "day").cast("double").alias("capacity"))
-    if "is_renting" in days.columns:
-        aggs.append(F.max_by("is_renting", "day").alias("is_renting"))
-    return days.groupBy("station_id").agg(*aggs)
+    if "capacity" in slices.columns:
+        aggs.append(F.min_by("capacity", "slice").cast("double").alias("capacity"))
+    if "is_renting" in slices.columns:
+        aggs.append(F.max_by("is_renting", "slice").alias("is_renting"))
+    return slices.groupBy("station_id").agg(*aggs)
 
 
 def _stuck(profiles: DataFrame, threshold_hours: float) -> DataFrame:

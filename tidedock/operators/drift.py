@@ -18,11 +18,13 @@ from tidedock.functions import labels
 from tidedock.functions.stats import bin_index, ks_p_value, mae_alert, psi_term
 from tidedock.operators.metrics import regression_metrics
 from tidedock.operators.ordered import blocked_window, bucket_bounds, bucket_of, global_index, keyed_windows
+from tidedock.staging import stage, stage_small
 
+# Defaults of the drift measures. 96 rows are 24 hours on the 15-minute grid.
 PSI_BINS = 10
 KS_ALPHA = 0.05
 PSI_THRESHOLD = 0.2
-ROLLING_ROWS = 96  # fixed value: 24 hours of 15-minute rows
+ROLLING_ROWS = 96
 MIN_PREDICTIONS = 96
 
 
@@ -89,11 +91,15 @@ def two_sides(reference: DataFrame, current: DataFrame, features: list[str]) ->
 def compare_distributions(long: DataFrame, group: str = "feature", n_bins: int = PSI_BINS) -> DataFrame:
     """PSI and KS statistic per group from ``(group, value, ref, cur)`` rows.
 
+    The rows are read once; the counted values are written and everything else reads those.
+
     The KS difference inside a bucket is kept as its largest and smallest value relative to the bucket
     start; adding the difference at that start gives the supremum over all values. The result does not
     depend on where the buckets were cut.
     """
-    counts = long.groupBy(group, "value").agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur"))
+    counts = stage(
+        long.groupBy(group, "value").agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur")), "value-sides"
+    )
     profile = counts.groupBy(group).agg(
         F.min("value").alias("lo"),
         F.max("value").alias("hi"),
@@ -101,9 +107,8 @@ def compare_distributions(long: DataFrame, group: str = "feature", n_bins: int =
         F.sum("cur").alias("n_cur"),
         bucket_bounds("value").alias("bounds"),
     )
-    profile = profile.where((F.col("n_ref") >= 2) & (F.col("n_cur") >= 2))
-    # One row per feature or model of the report.
-    rows = counts.join(F.broadcast(profile), group).select(
+    profile = stage_small(profile.where((F.col("n_ref") >= 2) & (F.col("n_cur") >= 2)), "value-profile")
+    rows = counts.join(profile, group).select(
         group,
         "value",
         "ref",

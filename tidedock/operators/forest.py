@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from tidedock.operators.ordered import exact_quantiles
 from tidedock.staging import stage
 
+# Size of the forest and of a subsample, smallest fleet that is scored.
 TREES = 100
 SUBSAMPLE = 256
 MIN_STATIONS = 5

@@ -25,6 +25,7 @@ PRESETS = {
     "lgbm": {**BOOSTING, "maxDepth": math.ceil(math.log2(31)), "maxBins": 64},
     "xgb": {**BOOSTING, "maxDepth": 6, "maxBins": 32},
 }
+# Searched ranges; the learning rate is drawn on a log scale.
 SEARCH_SPACE = {
     "num_leaves": (20, 100),
     "learning_rate": (0.01, 0.3),

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidedock.staging import stage
+from tidedock.staging import stage, stage_small
 
 BUCKETS = 128
 
@@ -45,9 +45,8 @@ def exact_quantiles(df: DataFrame, value: str, probabilities: list[float], by: l
 
 def count_quantiles(counts: DataFrame, probabilities: list[float], keys: list[str]) -> DataFrame:
     """Quantiles of a written ``value_counts`` table; buckets, running counts and the pick all read it."""
-    bounds = stage(counts.groupBy(*keys).agg(bucket_bounds("v").alias("bounds")), "value-bounds")
-    # One row per group of the report (features and sides), so the hint is bounded by its columns.
-    bucketed = counts.join(F.broadcast(bounds), keys).withColumn("b", bucket_of(F.col("v"), F.col("bounds")))
+    bounds = stage_small(counts.groupBy(*keys).agg(bucket_bounds("v").alias("bounds")), "value-bounds")
+    bucketed = counts.join(bounds, keys).withColumn("b", bucket_of(F.col("v"), F.col("bounds")))
     bucketed = bucketed.drop("bounds")
     totals = bucketed.groupBy(*keys, "b").agg(F.sum("n").alias("bn"))
     ahead = W.partitionBy(*keys).orderBy("b").rowsBetween(W.unboundedPreceding, -1)

@@ -11,6 +11,9 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 10_000
 
 _local_dir: str | None = None
 _written: list[str] = []
@@ -42,6 +45,12 @@ def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> Da
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_small(df: DataFrame, name: str, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Write ``df`` and mark it for broadcast only if its counted size allows that."""
+    written = stage(df, name)
+    return F.broadcast(written) if written.count() <= limit else written
+
+
 def release_staged(spark: SparkSession) -> int:
     """Delete the tables this process has staged, once nothing reads them any more."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,15 +80,17 @@ def _follow(threshold_hours: float) -> Callable:
     def follow(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         value, first_ts, change_ts, last_ts = state.get if state.exists else (None, None, None, None)
         # Micro-batch rows of a station arrive in several frames; the newest report must be seen last.
-        rows = pd.concat(frames).sort_values("ts")
-        for ts, bikes in zip(rows["ts"], rows["num_bikes_available"].astype(float)):
-            if last_ts is not None and ts <= last_ts:
-                continue
-            if value is None:
-                first_ts = ts
-            elif bikes != value:
-                change_ts = ts
-            value, last_ts = bikes, ts
+        rows = pd.concat(frames).drop_duplicates("ts").sort_values("ts")
+        if last_ts is not None:
+            rows = rows[rows["ts"] > last_ts]
+        if len(rows):
+            ts = rows["ts"].to_numpy()
+            bikes = rows["num_bikes_available"].to_numpy(dtype=float)
+            moved = np.flatnonzero(np.diff(bikes, prepend=bikes[0] if value is None else value) != 0)
+            if len(moved):
+                change_ts = float(ts[moved[-1]])
+            first_ts = float(ts[0]) if first_ts is None else first_ts
+            value, last_ts = float(bikes[-1]), float(ts[-1])
         state.update((value, first_ts, change_ts, last_ts))
         hours = (last_ts - (change_ts if change_ts is not None else first_ts)) / 3600.0
         yield pd.DataFrame(
