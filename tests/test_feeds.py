@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from tidedock import schemas
 from tidedock.sources import feeds, tables, writers
 from tidedock.plans.ingestion import ingest
 
@@ -133,3 +134,21 @@ def test_prediction_and_anomaly_sinks(spark, tmp_path):
     anomalies = str(tmp_path / "anomalies")
     assert writers.append_anomalies(results, anomalies, _now()) == 1
     assert writers.append_anomalies(results, anomalies, _now()) == 0
+
+
+def test_append_reads_only_the_days_of_its_batch(spark, raw_status, tmp_path):
+    path = str(tmp_path / "status")
+    day = 24 * 60
+    cols = schemas.STATUS.fieldNames()
+    old = raw_status([("a", d * day, d) for d in range(10)]).select(*cols)
+    late = raw_status([("a", 3 * day, 99), ("b", 3 * day, 1)]).select(*cols)
+    assert writers.append_status(old, path) == 10
+    assert writers.append_status(late, path) == 1
+    stored = tables.read_status(spark, path)
+    assert stored.where("station_id = 'a' AND num_bikes_available = 99").count() == 0 and stored.count() == 11
+    batch = late.withColumn("reported_on", F.to_date("last_reported"))
+    scan = writers._overlapping(stored, batch, "reported_on").select("station_id")
+    assert scan.count() == 2
+    plan = scan._jdf.queryExecution().executedPlan().toString()
+    partition_filters = plan[plan.index("PartitionFilters"):plan.index("PushedFilters")]
+    assert "reported_on" in partition_filters and "Subquery" in partition_filters
