@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterable
 
@@ -10,6 +11,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+_MULTIPLIERS = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F)
 _OTHER = re.compile(r"[\W\d_]+")
 
 
@@ -26,6 +28,23 @@ def document_frequency(texts: Iterable[str]) -> Counter:
     return found
 
 
+def distinct_texts(texts: list[str]) -> list[int]:
+    """Positions of texts without later near copies, so that a passage copied often counts once.
+
+    A text is a near copy if two of four least hashes of its word triples occurred at an earlier text.
+    """
+    seen: set[tuple[int, int]] = set()
+    out = []
+    for at, text in enumerate(texts):
+        words = text.split()
+        triples = [zlib.crc32(" ".join(words[i : i + 3]).encode()) for i in range(max(1, len(words) - 2))]
+        marks = {(k, min((t * m + k) & 0xFFFFFFFF for t in triples)) for k, m in enumerate(_MULTIPLIERS)}
+        if len(marks & seen) < 2:
+            out.append(at)
+        seen |= marks
+    return out
+
+
 def dictionary(words: list[str], size: int) -> bytes:
     """Raw content from words in order of importance; the most important stand last, where matches are cheapest."""
     kept, total = [], 1

@@ -17,13 +17,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidedock.llm.compression import bounded_sample, compressor, dictionary, document_frequency, letters
+from tidedock.llm.compression import bounded_sample, compressor, dictionary, distinct_texts, document_frequency, letters
 
 #: Documents per language that are learned from, and the longest of them in characters.
 SAMPLE_PER_LANGUAGE = 400
 SAMPLE_CHARS = 20_000
-DICTIONARY_BYTES = 48 * 1024
-LEVEL = 3
+DICTIONARY_BYTES = 32 * 1024
+LEVEL = 6
 #: Bytes of difference for which the odds change by a factor of e, and the least accepted share of saved bytes.
 TEMPERATURE = 4.0
 MARGIN = 0.02
@@ -39,7 +39,8 @@ def learn(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> dict[
         texts.setdefault(row["lang"], []).append(letters(row["text"]))
     out = {}
     for lang in sorted(texts):
-        found = document_frequency(sorted(texts[lang]))
+        ordered = sorted(texts[lang])
+        found = document_frequency([ordered[i] for i in distinct_texts(ordered)])
         words = sorted(found, key=lambda w: (-found[w], w))
         out[lang] = dictionary(words, DICTIONARY_BYTES)
     return out

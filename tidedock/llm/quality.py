@@ -40,7 +40,7 @@ THRESHOLDS = (
     Rule("word_chars", "n_words", 2.0, 16.0),
     Rule("n_symbols", "n_words", high=0.1),
     Rule("n_stop_words", "n_words", low=0.06),
-    Rule("n_dup_lines", "n_lines", high=0.3),
+    Rule("n_dup_lines", "n_lines", high=0.7),
 )
 
 

@@ -149,7 +149,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
     AND word_chars >= 2.0 * n_words AND word_chars <= 16.0 * n_words AND n_symbols <= 0.1 * n_words
-    AND n_stop_words >= 0.06 * n_words AND n_dup_lines <= 0.3 * n_lines AS kept
+    AND n_stop_words >= 0.06 * n_words AND n_dup_lines <= 0.7 * n_lines AS kept
 FROM m
 """
 

@@ -22,15 +22,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidedock.llm.compression import bounded_sample, compressor, dictionary, document_frequency, letters
+from tidedock.llm.compression import bounded_sample, compressor, dictionary, distinct_texts, document_frequency, letters
 
 SAMPLE_TOXIC = 3_000
 SAMPLE_ORDINARY = 6_000
 SAMPLE_CHARS = 20_000
 WINDOW = 256
 OVERLAP = 12
-LEVEL = 6
-SHARED_BYTES = 100 * 1024
+LEVEL = 7
+SHARED_BYTES = 200 * 1024
 TYPICAL_BYTES = 8 * 1024
 #: A typical word occurs in this share of toxic documents and that many times as often as in ordinary ones.
 TYPICAL_SHARE = 0.015
@@ -130,9 +130,16 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     toxic = bounded_sample(rows.where("toxic = 1"), "toxic", SAMPLE_TOXIC, 3)
     ordinary = bounded_sample(rows.where("toxic = 0"), "toxic", SAMPLE_ORDINARY, 3)
     sample = toxic.unionByName(ordinary).select("doc_id", "text", "toxic").collect()  # bounded by the parameters
-    sample.sort(key=lambda r: (r["doc_id"], r["text"]))
+    return fit(sample, counts)
+
+
+def fit(sample: list, counts: dict[int, int]) -> Model:
+    """Model from sampled rows (doc_id, text, toxic); ``counts`` has the number of all rows of each class."""
+    sample = sorted(sample, key=lambda r: (r["doc_id"], r["text"]))
     texts = [letters(r["text"]) for r in sample]
-    marked = np.array([r["toxic"] for r in sample])
+    distinct = distinct_texts(texts)
+    texts = [texts[i] for i in distinct]
+    marked = np.array([sample[i]["toxic"] for i in distinct])
     # Every third document of each class calibrates, the others make the dictionaries.
     number = np.where(marked == 1, np.cumsum(marked), np.cumsum(1 - marked))
     held = number % 3 == 0
