@@ -16,21 +16,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidedock.llm.tables import SPACES, stage, text_or_empty
+from tidedock.llm.tables import SPACES, keep_once, stage, text_or_empty, without
 
 #: Share of rows from which a digest counts as heavy.
 SUPPORT = 0.001
 
 
-def normalised(text: Column) -> Column:
-    for c in SPACES:
-        text = F.replace(text, F.lit(c), F.lit(""))
-    return text
-
-
 def digests(docs: DataFrame) -> DataFrame:
     """One narrow row per row of ``docs``."""
-    plain = docs.select("doc_id", F.length(text_or_empty()).alias("size"), normalised(text_or_empty()).alias("_t"))
+    plain = docs.select("doc_id", F.length(text_or_empty()).alias("size"), without(text_or_empty(), SPACES).alias("_t"))
     return plain.select(
         "doc_id", "size", F.sha2("_t", 256).alias("text_sha256"), F.xxhash64("_t").alias("check")
     )
@@ -83,7 +77,5 @@ def exact_groups(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
 
 def kept_documents(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
     """The rows that stay, with the columns they came with; a document given twice stays once."""
-    from tidedock.llm.tables import keep_once
-
     kept = exact_groups(docs, support).where("kept").select("doc_id")
     return keep_once(docs, kept)

@@ -12,7 +12,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidedock.llm.tables import SPACE_CLASS, SPACES, text_or_empty
+from tidedock.llm.tables import SPACE_CLASS, SPACES, text_or_empty, without
 
 # Characters that count as symbols, and frequent function words of four languages.
 SYMBOLS = "#*$%&|<>"
@@ -44,6 +44,14 @@ THRESHOLDS = (
 )
 
 
+def _hashes(words: Column) -> Column:
+    """A 64-bit hash of every 3-word window."""
+    return F.transform(
+        F.slice(words, 1, F.greatest(F.size(words) - 2, F.lit(0))),
+        lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)),
+    )
+
+
 def _windows(words: Column) -> Column:
     """All 3-word windows with a leading hash, which decides most comparisons, and their position."""
     return F.transform(
@@ -83,28 +91,25 @@ def measure(docs: DataFrame) -> DataFrame:
             "_lines": F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")),
         }
     )
-    ordered = split.withColumn("_windows", F.array_sort(_windows(F.col("_words"))))
+    # Without two equal hashes there is no repeat, and nothing to sort.
+    hashed = split.withColumn("_hashes", _hashes(F.col("_words")))
+    some = F.size(F.array_distinct("_hashes")) < F.size("_hashes")
+    ordered = hashed.withColumn("_windows", F.when(some, F.sort_array(_windows(F.col("_words")))))
     w = F.col("_windows")
-    repeated = ordered.withColumn(
-        "_repeats",
-        F.array_sort(
-            F.transform(
-                F.filter(w, lambda x, i: _same(x, F.get(w, i - 1)) | _same(x, F.get(w, i + 1))), lambda x: x["i"]
-            )
-        ),
-    )
+    same = F.filter(w, lambda x, i: _same(x, F.get(w, i - 1)) | _same(x, F.get(w, i + 1)))
+    repeated = ordered.withColumn("_repeats", F.sort_array(F.transform(same, lambda x: x["i"])))
     counted = repeated.withColumns(
         {
             "n_words": F.size("_words").cast("long"),
-            "word_chars": F.length(F.translate(text, SPACES, "")).cast("long"),
-            "n_symbols": (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long"),
+            "word_chars": F.length(without(text, SPACES)).cast("long"),
+            "n_symbols": (F.length(text) - F.length(without(text, SYMBOLS))).cast("long"),
             "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-            "n_repeat_words": _covered(F.col("_repeats")),
+            "n_repeat_words": F.coalesce(_covered(F.col("_repeats")), F.lit(0)).cast("long"),
             "n_stop_words": F.size(F.filter("_words", lambda x: F.lower(x).isin(STOP_WORDS))).cast("long"),
             "n_lines": F.size("_lines").cast("long"),
         }
     )
-    return counted.drop("_words", "_lines", "_windows", "_repeats")
+    return counted.drop("_words", "_lines", "_hashes", "_windows", "_repeats")
 
 
 def verdict(rules: tuple[Rule, ...] = THRESHOLDS) -> Column:
