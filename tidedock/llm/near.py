@@ -42,6 +42,7 @@ ROWS = 4
 COORDINATES = BANDS * ROWS
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_MASK = (1 << 64) - 1
 _ORDER = [np.uint64(0x8CB92BA72F3D8DD7), np.uint64(0xABC98388FB8FAC03), np.uint64(0x2545F4914F6CDD1D),
           np.uint64(0xD1342543DE82EF95), np.uint64(0xF1357AEA2E62A9C5)]
 _NULL_ID = -(2**63)
@@ -91,7 +92,7 @@ def sketches(h: np.ndarray, begin: np.ndarray, t: int = COORDINATES) -> np.ndarr
             break
         n = size[active]
         index = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(begin[active], n)
-        thrown = mix(h[index] + np.uint64(i + 1) * _STEP)
+        thrown = mix(h[index] + np.uint64((i + 1) * int(_STEP) & _MASK))
         bin_of = (thrown >> np.uint64(48)).astype(np.int64) % t if i < t else np.full(len(thrown), i - t)
         value = (np.uint64(i) << np.uint64(48)) | (mix(thrown) >> np.uint64(16))
         np.minimum.at(out, np.repeat(active, n) * t + bin_of, value)

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidedock.llm.suffixes import Prefixes, suffix_sort, table_size, tables
+from tidedock.llm.suffixes import Prefixes, running_sums, suffix_sort, tables
 from tidedock.llm.tables import shuffle_partitions, stage, text_or_empty
 from tidedock.llm.textbytes import flat, mix
 
@@ -58,14 +58,14 @@ def _sliding_min(v: np.ndarray, width: int) -> np.ndarray:
 
 
 def window_runs(
-    data: np.ndarray, offsets: np.ndarray, span: int = SPAN, gram: int = GRAM, block: int = 1 << 19
+    data: np.ndarray, offsets: np.ndarray, span: int = SPAN, gram: int = GRAM, block: int = 1 << 18
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First window, last window and key of every run, in order of position."""
     valid = np.ones(len(data), bool)
     for k in range(1, span):
         at = offsets[1:] - k
         valid[at[at >= 0]] = False
-    power, inverse = tables(table_size(block + span))
+    power, inverse = tables(block + span)
     starts, ends, keys = [], [], []
     for low in range(0, len(data), block):
         part = data[low : low + block + span - 1]
@@ -73,8 +73,7 @@ def window_runs(
         if n <= 0 or not valid[low : low + n].any():
             continue
         ok = valid[low : low + n]
-        sums = np.zeros(len(part) + 1, np.uint64)
-        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * power[: len(part)], out=sums[1:])
+        sums = running_sums(part, power)
         grams = mix((sums[gram:] - sums[:-gram]) * inverse[: len(part) - gram + 1])
         least = _sliding_min(grams, span - gram + 1)
         change = least[1:] != least[:-1]
@@ -193,7 +192,7 @@ def _shared_keys(hot_limit: int):
     return reduce
 
 
-def shared_runs(docs: DataFrame, buckets: int, hot_limit: int, flush: int = 1 << 20) -> DataFrame:
+def shared_runs(docs: DataFrame, buckets: int, hot_limit: int, flush: int = 1 << 19) -> DataFrame:
     """(doc, number) of runs whose key occurs in two documents; and rows with a ``hot_key``."""
 
     def keys_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,8 +239,8 @@ def _settle(data, key, doc, start, size):
     later = doc[order] > doc[leader]
     mine, theirs = order[later], leader[later]
     done = np.zeros(len(key), bool)
-    for at in range(0, len(mine), 1 << 16):
-        a, b = mine[at : at + (1 << 16)], theirs[at : at + (1 << 16)]
+    for at in range(0, len(mine), 1 << 13):
+        a, b = mine[at : at + (1 << 13)], theirs[at : at + (1 << 13)]
         unequal = _gather(data, start[a], size[a]) != _gather(data, start[b], size[b])
         done[a] = ~np.logical_or.reduceat(unequal, np.cumsum(size[a]) - size[a])
     return done
@@ -336,7 +335,7 @@ def _repeats_in(data, key, doc, version, start, size, span):
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
-def _sort_runs(span: int, limit: int = 1 << 21):
+def _sort_runs(span: int, limit: int = 1 << 20):
     def reduce(table: pa.Table) -> pa.Table:
         key = _joined(table, "keys", np.uint64)
         doc, version, start = (_joined(table, c, np.int64) for c in ("docs", "versions", "starts"))
@@ -366,7 +365,7 @@ def _sort_runs(span: int, limit: int = 1 << 21):
     return reduce
 
 
-def repeated_stretches(docs: DataFrame, found: DataFrame, hot: np.ndarray, buckets: int, flush: int = 1 << 23) -> DataFrame:
+def repeated_stretches(docs: DataFrame, found: DataFrame, hot: np.ndarray, buckets: int, flush: int = 3 << 20) -> DataFrame:
     """(doc, version, start, stop) of byte stretches to remove; several rows per document, which may overlap."""
     marks = found.where("doc IS NOT NULL").groupBy("doc").agg(F.collect_list("number").alias("numbers"))
     rows = docs.select(_doc().alias("doc"), F.xxhash64(text_or_empty()).alias("version"), "text").join(marks, "doc")

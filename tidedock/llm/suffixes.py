@@ -8,8 +8,6 @@ result.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 
 from tidedock.llm.textbytes import inverse_powers, powers
@@ -17,14 +15,25 @@ from tidedock.llm.textbytes import inverse_powers, powers
 _HEAD = 8
 
 
-@lru_cache(maxsize=4)
+_tables: list[np.ndarray] = [powers(1), inverse_powers(1)]
+
+
 def tables(count: int) -> tuple[np.ndarray, np.ndarray]:
-    return powers(count), inverse_powers(count)
+    """Powers of the base and their inverses; one table per process, as long as the longest needed so far."""
+    if len(_tables[0]) < count:
+        size = (count + (1 << 18)) >> 18 << 18
+        _tables[:] = [powers(size), inverse_powers(size)]
+    return _tables[0][:count], _tables[1][:count]
 
 
-def table_size(n: int) -> int:
-    """Rounded up, so that few different tables are made."""
-    return 1 << max(16, (n + 1).bit_length())
+def running_sums(data: np.ndarray, power: np.ndarray) -> np.ndarray:
+    sums = np.empty(len(data) + 1, np.uint64)
+    sums[0] = 0
+    sums[1:] = data
+    sums[1:] += np.uint64(1)
+    sums[1:] *= power[: len(data)]
+    np.cumsum(sums[1:], out=sums[1:])
+    return sums
 
 
 class Prefixes:
@@ -32,9 +41,8 @@ class Prefixes:
 
     def __init__(self, data: np.ndarray) -> None:
         self.data = data
-        power, self.inverse = tables(table_size(len(data)))
-        self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=self.sums[1:])
+        power, self.inverse = tables(len(data) + 1)
+        self.sums = running_sums(data, power)
 
     def hash(self, start: np.ndarray, length: np.ndarray | int) -> np.ndarray:
         """Hash of the bytes from ``start``, independent of where they stand."""
@@ -118,7 +126,7 @@ def _verify(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, order: np
     """For each suffix in order, whether it equals the one before; None if the order is wrong."""
     width = -(-int(lengths.max()) // 8) * 8
     equal = np.zeros(len(order), bool)
-    step = 1 << 16
+    step = 1 << 14
     for low in range(0, len(order), step):
         part = order[max(low - 1, 0) : low + step]
         rows = _matrix(data, starts[part], lengths[part], width)
