@@ -11,9 +11,11 @@ Jaccard similarity of at least ``percent`` / 100; groups are the connected compo
 2. Bands of the sketch: classes that share a band are candidates. Each band links its members to its smallest
    member only (a star, found by a map-side combined minimum and a join that can split hot bands).
 3. Candidates are verified on the full sets of 64-bit shingle hashes.
-4. Bands whose members are not all in one component after that are completed: members of different components are
-   compared too, except where the Jaccard distances to the band's smallest member, both known by then,
-   already rule a link out (the distance is a metric) or where the set sizes do.
+4. Bands whose members are in several components after that are completed. A member's *own* shingles, which no other
+   member of such a band has, bound its similarity to all others; most members outside are done by that bound alone.
+   The rest is compared with the band's most central member (fewest own shingles), again a star. Only pairs that are
+   still in different components, and that sizes, own shingles and the Jaccard distances to the first star's
+   centre (a metric) all leave possible, are compared one by one.
 
 With 32 bands of 4 coordinates, a pair with similarity 0.75 is no candidate with probability 5e-6.
 
@@ -28,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidedock.llm.components import connected_components
@@ -200,12 +202,15 @@ def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
     linked = F.expr(f"100 * both >= {percent} * either")
     links = checked.where(linked).select("a", "b")
-    part_of = stage(connected_components(links), "star-components")
+    part_of = stage(connected_components(links), "components")
 
-    more = _completing_pairs(banded, checked, part_of, percent)
-    more = stage(more, "completing-pairs")
-    if not more.isEmpty():
-        links = stage(links.unionByName(_verified(more, sets).where(linked).select("a", "b")), "links")
+    # Bands in several components: first a star around the most central member, then what is still possible.
+    for pairs_of in (_central_star, _remaining_pairs):
+        members = _open_members(banded, checked, part_of, sets, percent)
+        if members is None:
+            break
+        more = stage(_verified(stage(pairs_of(members, percent), "pairs"), sets), "more-links")
+        links = stage(links.unionByName(more.where(linked).select("a", "b")), "links")
         part_of = stage(connected_components(links), "components")
 
     of_class = classes.select("digest", "rep").join(part_of.withColumnRenamed("node", "rep"), "rep", "left")
@@ -221,30 +226,78 @@ def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
 
 
-def _completing_pairs(banded: DataFrame, checked: DataFrame, part_of: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a band in different components that the star has not compared and distances do not rule out."""
+def _in_open_bands(rows: DataFrame) -> DataFrame:
+    """Rows of bands that hold several components."""
+    spread = rows.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return rows.join(spread.where("low <> high").select("band", "low"), "band")
+
+
+def _open_members(
+    banded: DataFrame, checked: DataFrame, part_of: DataFrame, sets: DataFrame, percent: int
+) -> DataFrame | None:
+    """Members that can still have an unknown link inside a band of several components; None if there are no such bands.
+
+    ``own`` counts shingles that no other member of an open band has. They are in the union with any partner and never
+    in the intersection, so a member whose own shingles already rule out every partner size of the band is done.
+    """
+    component = part_of.withColumnRenamed("node", "rep")
+    rows = banded.join(component, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    rows = stage(_in_open_bands(rows).drop("low"), "open-bands")
+    if rows.isEmpty():
+        return None
+
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc, raw in zip(batch.column("doc"), batch.column("shingles")):
+                h = np.frombuffer(raw.as_py(), np.int64)
+                yield pa.record_batch([pa.array(h), pa.array(np.full(len(h), doc.as_py()))], names=["h", "doc"])
+
+    open_sets = sets.join(rows.select(F.col("rep").alias("doc")).distinct(), "doc", "left_semi")
+    single = open_sets.mapInArrow(explode, "h long, doc long").groupBy("h").agg(
+        F.count(F.lit(1)).alias("n"), F.min("doc").alias("rep")
+    )
+    own = single.where("n = 1").groupBy("rep").agg(F.count(F.lit(1)).alias("own"))
     known = checked.select(
         F.col("a").alias("pivot"), F.col("b").alias("rep"), (1 - F.col("both") / F.col("either")).alias("distance")
     )
-    rows = banded.join(known, ["pivot", "rep"], "left").join(part_of.withColumnRenamed("node", "rep"), "rep", "left")
-    rows = rows.select(
-        "band",
-        "rep",
-        "n",
-        F.coalesce("component", "rep").alias("component"),
+    rows = rows.join(own, "rep", "left").join(known, ["pivot", "rep"], "left").select(
+        "band", "rep", "n", "component", F.coalesce("own", F.lit(0)).alias("own"),
         F.when(F.col("rep") == F.col("pivot"), 0.0).otherwise(F.col("distance")).alias("distance"),
-        (F.col("rep") == F.col("pivot")).alias("is_pivot"),
     )
-    split = rows.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    rows = rows.join(split.where("low <> high").select("band", "low"), "band").where("NOT is_pivot")
-    # One of two components of a pair is not the band's smallest: members outside meet all others.
-    left = rows.where("component <> low").select("band", *[F.col(c).alias(f"x_{c}") for c in ("rep", "n", "component", "distance")])
-    right = rows.select("band", *[F.col(c).alias(f"y_{c}") for c in ("rep", "n", "component", "distance")])
-    most = 1 - percent / 100 + 1e-9
-    # A star pair ruled out by its sizes has no distance; its least possible one follows from the sizes.
-    close = F.expr(f"coalesce(abs(x_distance - y_distance) <= {most}, true)")
-    fits = F.expr(f"100 * least(x_n, y_n) >= {percent} * greatest(x_n, y_n)")
-    pairs = left.join(right, "band").where("x_component <> y_component AND x_rep <> y_rep").where(close).where(fits)
+    least = rows.groupBy("band").agg(F.min("n").alias("least"))
+    rows = rows.join(least, "band").where(f"100 * (n - own) >= {percent} * (least + own)").drop("least")
+    return stage(_in_open_bands(rows), "open-members")
+
+
+def _possible(x: str, y: str, percent: int) -> Column:
+    """Neither sizes nor own shingles of two members rule out a link."""
+    return F.expr(
+        f"100 * least({x}n, {y}n) >= {percent} * greatest({x}n, {y}n)"
+        f" AND 100 * ({x}n - {x}own) >= {percent} * ({y}n + {x}own)"
+        f" AND 100 * ({y}n - {y}own) >= {percent} * ({x}n + {y}own)"
+    )
+
+
+def _central_star(members: DataFrame, percent: int) -> DataFrame:
+    """Each member with the member of its band that has the fewest shingles of its own."""
+    centre = members.groupBy("band").agg(
+        F.min_by(F.struct("rep", "n", "own", "component"), F.struct("own", "rep")).alias("c")
+    )
+    centre = centre.select("band", *[F.col(f"c.{k}").alias(f"c_{k}") for k in ("rep", "n", "own", "component")])
+    pairs = members.join(centre, "band").where("component <> c_component").where(_possible("", "c_", percent))
+    return pairs.select(F.least("rep", "c_rep").alias("a"), F.greatest("rep", "c_rep").alias("b")).distinct()
+
+
+def _remaining_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs in different components that sizes, own shingles and distances to the band's pivot leave possible."""
+    columns = ("rep", "n", "own", "component", "distance")
+    # One of two components is not the band's smallest: its members meet the others.
+    left = members.where("component <> low").select("band", *[F.col(c).alias(f"x_{c}") for c in columns])
+    right = members.select("band", *[F.col(c).alias(f"y_{c}") for c in columns])
+    # A star pair ruled out by its sizes has no known distance.
+    close = F.expr(f"coalesce(abs(x_distance - y_distance) <= {1 - percent / 100 + 1e-9}, true)")
+    met = (F.col("x_component") != F.col("y_component")) & close & _possible("x_", "y_", percent)
+    pairs = left.join(right, (left["band"] == right["band"]) & met)
     return pairs.select(F.least("x_rep", "y_rep").alias("a"), F.greatest("x_rep", "y_rep").alias("b")).distinct()
 
 
