@@ -139,15 +139,16 @@ def test_dominating_sets_keep_the_optimum(seed):
 
 def _naive(lattice, word):
     """Best segmentation over all of them; of equal scores the one with the longer last pieces."""
-    best = [(0.0, [])]
+    best = [(0.0, b"")]
     for end in range(1, len(word) + 1):
         options = []
         for start in range(end):
             found = lattice.score.get(word[start:end])
             if found:
-                options.append((best[start][0] + found[0], -start, best[start][1] + [found[1]]))
+                options.append((best[start][0] + found[0], -start, best[start][1] + found[1]))
         if not lattice.score.get(word[end - 1]):
-            options.append((best[end - 1][0] + lattice.unknown_score, -len(word), best[end - 1][1] + lattice._unknown(word[end - 1])))
+            unknown = subwords._bytes(lattice._unknown(word[end - 1]))
+            options.append((best[end - 1][0] + lattice.unknown_score, -len(word), best[end - 1][1] + unknown))
         top = max(options, key=lambda o: (o[0], o[1]))
         best.append((top[0], top[2]))
     return best[-1][1]

@@ -40,8 +40,8 @@ PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 # --- tokens -----------------------------------------------------------------------------------------------------
 
 #: What the tokenizer's normalizer takes as white space, and str.split() also splits at.
-_ODD_SPACES = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
-_SPACES = re.compile("[\t-\r \x85\xa0  -     　]+")
+_ODD_SPACES = re.compile("[\x1c-\x1f]")
+_SPACES = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 
 
 class WordIds:
@@ -52,7 +52,7 @@ class WordIds:
     generations of at most ``limit`` each; the older is forgotten when the younger is full.
     """
 
-    def __init__(self, path: str, limit: int = 250_000) -> None:
+    def __init__(self, path: str, limit: int = 400_000) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -97,8 +97,6 @@ class WordIds:
 
     def _fill(self, words: set[str]) -> None:
         """Afterwards ``young`` holds every one of ``words``."""
-        if len(self.young) > self.limit:
-            self.old, self.young = self.young, {}
         unknown = {}
         for word in words:
             if word in self.old:
@@ -120,6 +118,8 @@ class WordIds:
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         split = [self.words(t) if t else [] for t in texts]
+        if len(self.young) > self.limit:
+            self.old, self.young = self.young, {}
         self._fill({w for words in split for w in words} - self.young.keys())
         known = self.young
         for words in split:

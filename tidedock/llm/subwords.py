@@ -30,15 +30,20 @@ UNKNOWN_PENALTY = 10.0
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
+def _bytes(ids: list[int]) -> bytes:
+    return np.array(ids, "<u4").tobytes()
+
+
 class Lattice:
     """Pieces and scores of a model, and the ids of known words in two generations of at most ``limit`` each."""
 
-    def __init__(self, path: str, limit: int = 200_000) -> None:
+    def __init__(self, path: str, limit: int = 300_000) -> None:
         from sentencepiece import SentencePieceProcessor
 
         self.model = SentencePieceProcessor(model_file=path)
         count = self.model.get_piece_size()
-        self.score: dict[str, tuple[float, int]] = {}
+        self.score: dict[str, tuple[float, bytes]] = {}
+        self.reach: dict[str, int] = {}  # length of the longest piece that ends with a character
         self.byte = [-1] * 256
         self.out: list[bytes] = [b""] * count
         worst = 0.0
@@ -51,11 +56,11 @@ class Lattice:
             elif self.model.is_unknown(number):
                 self.out[number] = " ⁇ ".encode()
             elif not self.model.is_control(number) and not self.model.is_unused(number):
-                self.score[piece] = (self.model.get_score(number), number)
+                self.score[piece] = (self.model.get_score(number), _bytes([number]))
+                self.reach[piece[-1]] = max(self.reach.get(piece[-1], 0), len(piece))
                 self.out[number] = piece.replace(MARK, " ").encode()
                 worst = min(worst, self.model.get_score(number))
         self.unknown_score = worst - UNKNOWN_PENALTY
-        self.longest = max(map(len, self.score), default=1)
         self.by_word = all(re.fullmatch(f"{MARK}*[^{MARK}]*", p) for p in self.score)
         self.dummy = self.model.normalize("a").startswith(MARK) if hasattr(self.model, "normalize") else True
         self.limit = limit
@@ -70,56 +75,50 @@ class Lattice:
         numbers = [self.byte[b] for b in char.encode()]
         return numbers if min(numbers) >= 0 else [self.model.unk_id()]
 
-    def segment(self, words: list[str]) -> Iterator[tuple[str, list[int]]]:
-        """Best pieces of each distinct word, in sorted order."""
-        best, start, piece = [0.0], [0], [-1]
+    def segment(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Ids of the best pieces of each distinct word, in sorted order.
+
+        ``best`` and ``ids`` hold the forward score and the ids of every prefix of the word at hand.
+        """
+        best, ids = [0.0], [b""]
         path = ""
-        score, longest = self.score, self.longest
+        find, reach = self.score.get, self.reach.get
         for word in sorted(words):
             shared = 0
             for a, b in zip(path, word):
                 if a != b:
                     break
                 shared += 1
-            del best[shared + 1 :], start[shared + 1 :], piece[shared + 1 :]
+            del best[shared + 1 :], ids[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                top, where, number = best[end - 1] + self.unknown_score, end - 1, -1
-                known = score.get(word[end - 1])
-                if known:
-                    top = -float("inf")
-                for s in range(max(0, end - longest), end):
-                    found = score.get(word[s:end])
-                    if found and (best[s] + found[0] > top or (number < 0 and best[s] + found[0] == top)):
-                        top, where, number = best[s] + found[0], s, found[1]
+                char = word[end - 1]
+                top = None
+                for s in range(max(0, end - reach(char, 0)), end):
+                    found = find(word[s:end])
+                    if found is not None:
+                        score = best[s] + found[0]
+                        if top is None or score > top:
+                            top, where, last = score, s, found[1]
+                if char not in self.score:
+                    score = best[end - 1] + self.unknown_score
+                    if top is None or score > top:
+                        top, where, last = score, end - 1, _bytes(self._unknown(char))
                 best.append(top)
-                start.append(where)
-                piece.append(number)
+                ids.append(ids[where] + last)
             path = word
-            end, back = len(word), []
-            while end:
-                back.append((start[end], end, piece[end]))
-                end = start[end]
-            ids: list[int] = []
-            for s, e, number in reversed(back):
-                if number >= 0:
-                    ids.append(number)
-                else:
-                    ids += self._unknown(word[s:e])
-            yield word, ids
+            yield word, ids[-1]
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
         split = [self.words(t) if t else [] for t in texts]
-        unknown = {w for words in split for w in words} - self.young.keys()
         if len(self.young) > self.limit:
             self.old, self.young = self.young, {}
-            unknown = {w for words in split for w in words}
+        unknown = {w for words in split for w in words} - self.young.keys()
         for word in list(unknown):
             if word in self.old:
                 self.young[word] = self.old[word]
                 unknown.discard(word)
-        for word, ids in self.segment(list(unknown)):
-            self.young[word] = np.array(ids, "<u4").tobytes()
+        self.young.update(self.segment(list(unknown)))
         known = self.young
         for words in split:
             yield b"".join([known[w] for w in words])
