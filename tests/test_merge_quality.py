@@ -46,7 +46,7 @@ def test_backfill_fills_all_models_only_where_null(spark):
         "station_id string, target_time timestamp_ntz, model_name string, predicted_value double, actual_value double")
     actuals = spark.createDataFrame([("a", T0, 5.0)], "station_id string, target_time timestamp_ntz, actual_value double")
     rows = {(r.station_id, r.model_name): (r.actual_value, r.updated)
-            for r in merge.backfill_actuals(predictions, actuals).collect()}
+            for r in merge.backfill_actuals(predictions, actuals, ["actual_value"]).collect()}
     assert rows == {("a", "m1"): (5.0, True), ("a", "m2"): (5.0, True), ("a", "m3"): (7.0, False), ("b", "m1"): (None, False)}
 
 

@@ -136,7 +136,7 @@ def upsert_latest_wins(spark, sf):
 def save_predictions(spark, sf):
     batch = a.predictions(spark, sf).drop("actual_value", "prediction_time")
     stored = batch.where((F.col("model_name") == "naive") & (F.hour("target_time") < 12))
-    return merge.new_rows(stored, batch, schemas.PREDICTION_GRAIN)
+    return merge.new_rows(stored, batch, schemas.PREDICTION_GRAIN, ["predicted_value"])
 
 
 @query(
@@ -157,7 +157,7 @@ def backfill_actuals(spark, sf):
     observed = a.series(spark, sf).select(
         "station_id", F.col("timestamp").alias("target_time"), F.col("num_bikes_available").alias("actual_value")
     )
-    return merge.backfill_actuals(stored, observed)
+    return merge.backfill_actuals(stored, observed, ["target_time"])
 
 
 @query(

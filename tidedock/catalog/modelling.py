@@ -132,19 +132,26 @@ def linear_regression_predictions(spark, sf):
 @query("gbt_predictions")
 def gbt_predictions(spark, sf):
     parts = _staged_splits(spark, sf)
-    model = models.fit_boosted(parts["train"], parts["val"], "lgbm", maxIter=10, stepSize=0.3)
+    model = models.fit_boosted(parts["train"], parts["val"], "lgbm")
+    return models.score(model, parts["test"]).select("station_id", "timestamp", "y", "prediction")
+
+
+@query("xgb_predictions")
+def xgb_predictions(spark, sf):
+    parts = _staged_splits(spark, sf)
+    model = models.fit_boosted(parts["train"], None, "xgb")
     return models.score(model, parts["test"]).select("station_id", "timestamp", "y", "prediction")
 
 
 @query("model_comparison")
 def model_comparison(spark, sf):
-    return m.model_improvement(training.train_and_compare(a.splits(spark, sf), max_iter=5))
+    return m.model_improvement(training.train_and_compare(a.splits(spark, sf)))
 
 
 @query("feature_importance")
 def feature_importance(spark, sf):
     parts = _staged_splits(spark, sf)
-    return models.feature_importance(models.fit_boosted(parts["train"], parts["val"], maxIter=5))
+    return models.feature_importance(models.fit_boosted(parts["train"], parts["val"]))
 
 
 @query("feature_split_counts")
@@ -154,17 +161,10 @@ def feature_split_counts(spark, sf):
     from tidedock.staging import staging_dir
 
     parts = _staged_splits(spark, sf)
-    model = models.fit_boosted(parts["train"], parts["val"], maxIter=5)
+    model = models.fit_boosted(parts["train"], parts["val"])
     return models.split_counts(model, f"{staging_dir(spark)}/nodes-{uuid.uuid4().hex}")
 
 
-@query("tuning_trials")
-def tuning_trials(spark, sf):
-    rows = a.splits(spark, sf)
-    part = lambda s: rows.where(F.col("split") == s)
-    return models.tune_boosted(part("train"), part("val"), n_trials=2, max_iter=3)
-
-
 @query("linear_attribution")
 def linear_attribution(spark, sf):
     parts = _staged_splits(spark, sf)
@@ -195,12 +195,12 @@ def _split_long(spark, sf):
     with_(f"{split_ctes()}, {drift_ctes('feature', feature_long(), 20)}", "SELECT feature, psi FROM drift", ["psi"]),
 )
 def psi(spark, sf):
-    return drift.compare_distributions(_split_long(spark, sf), n_bins=20).select("feature", "psi")
+    return drift.psi_scores(_split_long(spark, sf), n_bins=20).select("feature", "psi")
 
 
 @query("ks_statistic", with_(FEATURE_DRIFT, "SELECT feature, ks_statistic FROM drift", ["ks_statistic"]))
 def ks_statistic(spark, sf):
-    return drift.compare_distributions(_split_long(spark, sf)).select("feature", "ks_statistic")
+    return drift.ks_statistics(_split_long(spark, sf)).select("feature", "ks_statistic")
 
 
 @query("ks_p_value", with_(FEATURE_DRIFT, "SELECT feature, ks_p_value FROM drift", ["ks_p_value"]))

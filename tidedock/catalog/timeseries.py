@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidedock import schemas
 from tidedock.catalog import adapters as a
 from tidedock.catalog.oracles import (
     COUNTS, FEATURES, LATEST, STATUS, feature_ctes, series_ctes, split_ctes, with_,
@@ -344,8 +345,8 @@ def target_correlation(spark, sf):
     return aggregates.target_correlation(a.staged_features(spark, sf))
 
 
-SUMMARY_FEATURES = ["num_bikes_available", "bikes_rolling_mean_1h", "bikes_rolling_std_1h", "hour", "lat"]
 _STATS = {
+    "count": "CAST(count(v) AS DOUBLE)",
     "mean": "avg(v)", "std": "stddev_samp(v)", "min": "min(v)", "q25": "quantile_cont(v, 0.25)",
     "median": "quantile_cont(v, 0.5)", "q75": "quantile_cont(v, 0.75)", "max": "max(v)",
 }
@@ -354,8 +355,8 @@ _STATS = {
 @query(
     "feature_summary_delta",
     with_(split_ctes() + ", v AS (SELECT feature, split, value AS v FROM (SELECT split, "
-          + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in SUMMARY_FEATURES)
-          + f" FROM splits WHERE split <> 'val') UNPIVOT (value FOR feature IN ({', '.join(SUMMARY_FEATURES)})))",
+          + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in FEATURES)
+          + f" FROM splits WHERE split <> 'val') UNPIVOT (value FOR feature IN ({', '.join(FEATURES)})))",
           "SELECT r.feature, r.metric, r.x AS reference, c.x AS current, c.x - r.x AS delta FROM ("
           + " UNION ALL ".join(f"SELECT feature, '{m}' AS metric, {e} AS x FROM v WHERE split = 'train' GROUP BY 1"
                                for m, e in _STATS.items()) + ") r JOIN ("
@@ -364,7 +365,7 @@ _STATS = {
           ["reference", "current", "delta"]),
 )
 def feature_summary_delta(spark, sf):
-    return aggregates.summary_delta(split_sides(a.splits(spark, sf), SUMMARY_FEATURES))
+    return aggregates.summary_delta(split_sides(a.splits(spark, sf), schemas.FEATURE_COLS))
 
 
 @query("hash_sample")

@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import math
 from itertools import combinations
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -118,10 +115,10 @@ def value_range(df: DataFrame, value: str) -> DataFrame:
 def histogram(df: DataFrame, value: str, n_bins: int = 30, by: str | None = None) -> DataFrame:
     """Equal-width counts over the whole value range; bins are shared by all groups.
 
-    All ``n_bins`` bins appear, for every group, with 0 where nothing falls. Each row is counted
+    Null and NaN are left out. All ``n_bins`` bins appear, for every group, with 0 where nothing falls. Each row is counted
     once; only the counts meet the range.
     """
-    rows = df.where(F.col(value).isNotNull()).withColumn("_v", F.col(value).cast("double"))
+    rows = df.withColumn("_v", labels.null_if_nan(F.col(value).cast("double"))).where(F.col("_v").isNotNull())
     keys = [by] if by else []
     # The range travels as one constant column: a single subquery, however often it is used.
     ranged = rows.select(*keys, "_v", value_range(rows, "_v").scalar().alias("_r"))
@@ -143,21 +140,28 @@ def histogram(df: DataFrame, value: str, n_bins: int = 30, by: str | None = None
 
 
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Pearson correlation of every unordered pair. Constant columns give null.
+    """Pearson correlation of every unordered pair over the rows that have both values.
 
-    Means and centred cross products are accumulated on the executors; only the finished matrix, whose
-    size is the square of the column count, reaches the driver. Rows with a null are left out. The rows
-    are read a few times: pass a written table.
+    One aggregation per pair number with map-side combine, so a row never leaves its task.
+    Columns without variation give null, null and NaN are missing.
     """
     columns = columns or [*schemas.FEATURE_COLS, schemas.TARGET_COL]
-    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    vectors = VectorAssembler(inputCols=columns, outputCol="_x", handleInvalid="skip").transform(doubles)
-    matrix = Correlation.corr(vectors, "_x").first()[0].toArray()
-    rows = [
-        (columns[i], columns[j], None if math.isnan(matrix[i, j]) else float(matrix[i, j]))
-        for i, j in combinations(range(len(columns)), 2)
-    ]
-    return df.sparkSession.createDataFrame(rows, "column_a string, column_b string, correlation double")
+    rows = df.select(*[labels.null_if_nan(F.col(c).cast("double")).alias(c) for c in columns])
+    pairs = list(combinations(columns, 2))
+    values = F.array(*[F.struct(F.col(x).alias("x"), F.col(y).alias("y")) for x, y in pairs])
+    long = rows.select(F.posexplode(values).alias("pair", "v")).select("pair", "v.x", "v.y")
+    found = long.where("x IS NOT NULL AND y IS NOT NULL").groupBy("pair").agg(
+        (F.min("x") < F.max("x")).alias("x_varies"),
+        (F.min("y") < F.max("y")).alias("y_varies"),
+        F.try_divide(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y")).alias("r"),
+    )
+    names = F.array(*[F.struct(F.lit(x).alias("a"), F.lit(y).alias("b")) for x, y in pairs])
+    every = df.sparkSession.range(len(pairs)).select(F.col("id").cast("int").alias("pair"))
+    return every.join(found, "pair", "left").select(
+        F.get(names, F.col("pair"))["a"].alias("column_a"),
+        F.get(names, F.col("pair"))["b"].alias("column_b"),
+        F.when(F.col("x_varies") & F.col("y_varies"), F.col("r")).alias("correlation"),
+    )
 
 
 def target_correlation(df: DataFrame, target: str = schemas.TARGET_COL) -> DataFrame:
@@ -204,8 +208,9 @@ def feature_summary_delta(reference: DataFrame, current: DataFrame, features: li
 def summary_delta(long: DataFrame) -> DataFrame:
     """The same from long rows ``(feature, value, ref, cur)``."""
     side = F.when(F.col("ref") == 1, "reference").otherwise("current").alias("side")
-    stats = ["mean", "std", "min", "q25", "median", "q75", "max"]
+    stats = ["count", "mean", "std", "min", "q25", "median", "q75", "max"]
     summary = feature_summary(long.select("feature", "value", side), ["feature", "side"])
+    summary = summary.withColumn("count", F.col("n").cast("double"))
     rows = summary.unpivot(["feature", "side"], stats, "metric", "value")
     pick = lambda name: F.max(F.when(F.col("side") == name, F.col("value")))
     out = rows.groupBy("feature", "metric").agg(pick("reference").alias("reference"), pick("current").alias("current"))

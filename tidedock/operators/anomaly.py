@@ -32,11 +32,15 @@ def check_thresholds(stuck_hours: float, contamination: float) -> None:
 
 
 def slice_summaries(df: DataFrame, slice_width: str = SLICE) -> DataFrame:
-    """One row per (station, slice) with everything both detectors need; one shuffle of the input."""
+    """One row per (station, slice) with everything both detectors need; one shuffle of the input.
+
+    A report without a value says nothing about the load: it enters neither means, shares, changes nor times.
+    """
     schemas.require_columns(df, ["station_id", "timestamp", VALUE])
     optional = [c for c in ("num_docks_available", "capacity", "is_renting") if c in df.columns]
     part = F.window("timestamp", slice_width).getField("start").alias("slice")
-    rows = df.select("station_id", "timestamp", VALUE, *optional, part)
+    rows = df.where(F.col(VALUE).isNotNull() & ~F.isnan(F.col(VALUE).cast("double")))
+    rows = rows.select("station_id", "timestamp", VALUE, *optional, part)
     order = W.partitionBy("station_id", "slice").orderBy("timestamp")
     rows = rows.withColumn("_changed", F.col(VALUE) != F.lag(VALUE).over(order))
     t = F.col("timestamp")

@@ -31,9 +31,22 @@ def station_status_latest(status: DataFrame, information: DataFrame) -> DataFram
 
 
 def latest_rows(status: DataFrame) -> DataFrame:
-    order = F.struct("last_reported", "ingestion_timestamp")
-    payload = F.struct(*[c for c in FACT_COLS if c != "station_id"])
-    return status.groupBy("station_id").agg(F.max_by(payload, order).alias("r")).select("station_id", "r.*")
+    """Newest report per station, ties by ingestion time, then by the other columns."""
+    order = ["last_reported", "ingestion_timestamp", *[c for c in FACT_COLS[3:]]]
+    return newest_rows(status.select(*FACT_COLS), "station_id", "last_reported", order)
+
+
+def newest_rows(df: DataFrame, key: str, time_col: str, order_by: list[str]) -> DataFrame:
+    """Last row per key in ``order_by``, which starts with ``time_col``.
+
+    The newest time of a key is a hash aggregation over two narrow columns; rows of that time are found by a join and
+    only those few are ordered. Nothing sorts the raw rows.
+    """
+    newest = df.groupBy(F.col(key).alias("_k")).agg(F.max(time_col).alias("_t"))
+    tied = df.join(newest, (F.col(key) == F.col("_k")) & F.col(time_col).eqNullSafe(F.col("_t"))).drop("_k", "_t")
+    payload = [c for c in df.columns if c != key]
+    picked = tied.groupBy(key).agg(F.max_by(F.struct(*payload), F.struct(*order_by)).alias("r"))
+    return picked.select(key, "r.*").select(*df.columns)
 
 
 def with_station_name(df: DataFrame, names: DataFrame) -> DataFrame:

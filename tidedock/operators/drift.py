@@ -1,8 +1,7 @@
 """Distribution and error drift: PSI, two-sample KS, rolling MAE, alerts and reports.
 
-All distributions of a report are compared in one pass. Values are first counted per
-(group, value), which shrinks before the shuffle; PSI bins and the KS supremum are then read from the
-counted rows in balanced buckets, never from one sorted list.
+All distributions of a report are compared together. PSI needs only ranges and bin counts; for the KS supremum values
+are counted per (group, value), which shrinks before the shuffle, and range-partitioned, never one sorted list.
 """
 
 from __future__ import annotations
@@ -17,8 +16,8 @@ from tidedock import schemas
 from tidedock.functions import labels
 from tidedock.functions.stats import bin_index, ks_p_value, mae_alert, psi_term
 from tidedock.operators.metrics import regression_metrics
-from tidedock.operators.ordered import blocked_window, bucket_bounds, bucket_of, global_index, keyed_windows
-from tidedock.staging import stage, stage_small
+from tidedock.operators.ordered import blocked_window, global_index, keyed_windows, value_parts
+from tidedock.staging import stage_small
 
 # Defaults of the drift measures. 96 rows are 24 hours on the 15-minute grid.
 PSI_BINS = 10
@@ -29,16 +28,17 @@ MIN_PREDICTIONS = 96
 
 
 def _rolling_mae(rows: DataFrame, order: WindowSpec, window: int) -> DataFrame:
-    """Trailing mean of ``_error``; null until the window is full.
+    """Trailing mean of ``_error``; null until the window is full, and while it holds a missing error.
 
-    The difference of two running sums: the cost per row does not grow with the window.
+    A bounded frame: what has left the window, a missing or a huge error, has no effect on later rows.
     """
-    running = order.rowsBetween(W.unboundedPreceding, 0)
-    summed = rows.withColumns({"_sum": F.sum("_error").over(running), "_n": F.count("_error").over(running)})
-    earlier = lambda c: F.coalesce(F.lag(c, window).over(order), F.lit(0))
-    total, n = F.col("_sum") - earlier("_sum"), F.col("_n") - earlier("_n")
-    mean = F.greatest(total, F.lit(0.0)) / F.lit(float(window))
-    return summed.withColumn("rolling_mae", F.when(n == window, mean)).drop("_sum", "_n")
+    recent = order.rowsBetween(-(window - 1), 0)
+    mean = F.when(F.count("_error").over(recent) == window, F.avg("_error").over(recent))
+    return rows.withColumn("rolling_mae", mean)
+
+
+def _error(actual: str, predicted: str) -> Column:
+    return labels.null_if_nan(F.abs(F.col(actual) - F.col(predicted)).cast("double"))
 
 
 def rolling_mae_by_station(
@@ -50,7 +50,7 @@ def rolling_mae_by_station(
     On the grid a station is bounded by time. ``block_rows`` spreads groups of any size over blocks.
     """
     by = by or ["station_id"]
-    rows = df.withColumn("_error", F.abs(F.col(actual) - F.col(predicted)))
+    rows = df.withColumn("_error", _error(actual, predicted))
     if block_rows is None:
         out = _rolling_mae(rows, W.partitionBy(*by).orderBy(time_col), window)
     else:
@@ -63,7 +63,7 @@ def rolling_mae_global(
     block_rows: int = 100_000,
 ) -> DataFrame:
     """Trailing MAE over the whole frame in ``order_by`` order, with the row position ``idx``."""
-    rows = df.select(*order_by, F.abs(F.col(actual) - F.col(predicted)).alias("_error"))
+    rows = df.select(*order_by, _error(actual, predicted).alias("_error"))
     indexed = global_index(rows, order_by, "rolling-mae")
     out = blocked_window(indexed, window - 1, 0, lambda r, o: _rolling_mae(r, o, window), block_rows=block_rows)
     return out.drop("_error")
@@ -88,74 +88,65 @@ def two_sides(reference: DataFrame, current: DataFrame, features: list[str]) ->
     return melt(reference, 1, 0).unionByName(melt(current, 0, 1))
 
 
-def compare_distributions(long: DataFrame, group: str = "feature", n_bins: int = PSI_BINS) -> DataFrame:
-    """PSI and KS statistic per group from ``(group, value, ref, cur)`` rows.
+def psi_scores(long: DataFrame, group: str = "feature", n_bins: int = PSI_BINS) -> DataFrame:
+    """``psi``, ``n_ref`` and ``n_cur`` per group from ``(group, value, ref, cur)`` rows.
 
-    The rows are read once; the counted values are written and everything else reads those.
-
-    The KS difference inside a bucket is kept as its largest and smallest value relative to the bucket
-    start; adding the difference at that start gives the supremum over all values. The result does not
-    depend on where the buckets were cut.
+    Two aggregations with map-side combine, one for the range and one for the bins; no value is shuffled. The rows are
+    read twice.
     """
-    counts = stage(
-        long.groupBy(group, "value").agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur")), "value-sides"
-    )
-    profile = counts.groupBy(group).agg(
-        F.min("value").alias("lo"),
-        F.max("value").alias("hi"),
-        F.sum("ref").alias("n_ref"),
-        F.sum("cur").alias("n_cur"),
-        bucket_bounds("value").alias("bounds"),
+    profile = long.groupBy(group).agg(
+        F.min("value").alias("lo"), F.max("value").alias("hi"), F.sum("ref").alias("n_ref"), F.sum("cur").alias("n_cur")
     )
     profile = stage_small(profile.where((F.col("n_ref") >= 2) & (F.col("n_cur") >= 2)), "value-profile")
-    rows = counts.join(profile, group).select(
-        group,
-        "value",
-        "ref",
-        "cur",
-        "n_ref",
-        "n_cur",
-        bucket_of(F.col("value"), F.col("bounds")).alias("bucket"),
-        bin_index(F.col("value"), F.col("lo"), F.col("hi"), n_bins).alias("bin"),
-    )
-    running = W.partitionBy(group, "bucket").orderBy("value").rowsBetween(W.unboundedPreceding, 0)
-    gap = F.sum("ref").over(running) / F.col("n_ref") - F.sum("cur").over(running) / F.col("n_cur")
-    per_bucket = (
-        rows.withColumn("gap", gap)
-        .groupBy(group, "bucket", "bin", "n_ref", "n_cur")
-        .agg(
-            F.sum("ref").alias("ref"),
-            F.sum("cur").alias("cur"),
-            F.max("gap").alias("gap_max"),
-            F.min("gap").alias("gap_min"),
-        )
+    binned = long.join(profile, group).select(
+        group, "ref", "cur", "n_ref", "n_cur", bin_index(F.col("value"), F.col("lo"), F.col("hi"), n_bins).alias("bin")
     )
-    ahead = W.partitionBy(group).orderBy("bucket").rangeBetween(W.unboundedPreceding, -1)
-    start = F.coalesce(
-        F.sum("ref").over(ahead) / F.col("n_ref") - F.sum("cur").over(ahead) / F.col("n_cur"), F.lit(0.0)
-    )
-    placed = per_bucket.withColumn("start", start)
-    sides = [
-        agg
-        for i in range(n_bins)
-        for agg in (
-            F.sum(F.when(F.col("bin") == i, F.col("ref")).otherwise(0)).alias(f"r{i}"),
-            F.sum(F.when(F.col("bin") == i, F.col("cur")).otherwise(0)).alias(f"c{i}"),
-        )
-    ]
-    farthest = F.greatest(F.abs(F.col("start") + F.col("gap_max")), F.abs(F.col("start") + F.col("gap_min")))
-    merged = placed.groupBy(group).agg(
-        F.max(farthest).alias("ks_statistic"), F.max("n_ref").alias("n_ref"), F.max("n_cur").alias("n_cur"), *sides
+    side = lambda i, c: F.sum(F.when(F.col("bin") == i, F.col(c)).otherwise(0)).alias(f"{c[0]}{i}")
+    counts = binned.groupBy(group).agg(
+        F.max("n_ref").alias("n_ref"),
+        F.max("n_cur").alias("n_cur"),
+        *[side(i, c) for i in range(n_bins) for c in ("ref", "cur")],
     )
     terms = [psi_term(F.col(f"r{i}"), F.col(f"c{i}"), F.col("n_ref"), F.col("n_cur")) for i in range(n_bins)]
-    return merged.select(
+    return counts.select(group, reduce(lambda a, b: a + b, terms).alias("psi"), "n_ref", "n_cur")
+
+
+def ks_statistics(long: DataFrame, group: str = "feature") -> DataFrame:
+    """``ks_statistic``, ``n_ref`` and ``n_cur`` per group.
+
+    Counted values are range-partitioned on (group, value). Running counts inside a part and the counts ahead of it give
+    both distribution functions at every value, wherever the parts were cut.
+    """
+    counts = long.groupBy(group, "value").agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur"))
+    rows = value_parts(counts, [group], "value", "value-sides")
+    sides = rows.groupBy(group, "part").agg(F.sum("ref").alias("r"), F.sum("cur").alias("c"))
+    ahead = W.partitionBy(group).orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    whole = W.partitionBy(group)
+    offsets = sides.select(
         group,
-        reduce(lambda a, b: a + b, terms).alias("psi"),
-        "ks_statistic",
-        ks_p_value(F.col("ks_statistic"), F.col("n_ref"), F.col("n_cur")).alias("ks_p_value"),
-        "n_ref",
-        "n_cur",
+        "part",
+        F.coalesce(F.sum("r").over(ahead), F.lit(0)).alias("r_before"),
+        F.coalesce(F.sum("c").over(ahead), F.lit(0)).alias("c_before"),
+        F.sum("r").over(whole).alias("n_ref"),
+        F.sum("c").over(whole).alias("n_cur"),
+    ).where((F.col("n_ref") >= 2) & (F.col("n_cur") >= 2))
+    running = W.partitionBy(group, "part").orderBy("value").rowsBetween(W.unboundedPreceding, 0)
+    inside = rows.select(
+        group, "part", F.sum("ref").over(running).alias("r"), F.sum("cur").over(running).alias("c")
     )
+    gap = (F.col("r_before") + F.col("r")) / F.col("n_ref") - (F.col("c_before") + F.col("c")) / F.col("n_cur")
+    joined = inside.join(offsets, [group, "part"])
+    return joined.groupBy(group).agg(
+        F.max(F.abs(gap)).alias("ks_statistic"), F.max("n_ref").alias("n_ref"), F.max("n_cur").alias("n_cur")
+    )
+
+
+def compare_distributions(long: DataFrame, group: str = "feature", n_bins: int = PSI_BINS) -> DataFrame:
+    """PSI, KS statistic and its p-value per group from ``(group, value, ref, cur)`` rows, which are read three times."""
+    ks = ks_statistics(long, group)
+    p_value = ks_p_value(F.col("ks_statistic"), F.col("n_ref"), F.col("n_cur")).alias("ks_p_value")
+    both = psi_scores(long, group, n_bins).select(group, "psi").join(ks, group)
+    return both.select(group, "psi", "ks_statistic", p_value, "n_ref", "n_cur")
 
 
 def feature_drift(

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidedock.functions.labels import null_if_nan
+
 
 def first_per_key(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
     """Earliest row per key. An aggregate, so each map task already reduces a repeated key to one row."""
@@ -22,20 +24,19 @@ def _pick(df: DataFrame, keys: list[str], order_by: list[str], choose) -> DataFr
     return picked.select(*keys, "_row.*").select(*df.columns)
 
 
-def new_rows(
-    target: DataFrame | None, batch: DataFrame, keys: list[str], order_by: list[str] | None = None
-) -> DataFrame:
+def new_rows(target: DataFrame | None, batch: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
     """Rows of ``batch`` that an insert skipping existing keys would add.
 
-    Inside the batch the first row per key in ``order_by`` order wins; without an order the batch
-    is taken to hold distinct keys up to exact repeats.
+    Inside the batch the first row per key in ``order_by`` order wins. Equal places in that order are decided by the
+    other columns, so the result never depends on how the batch is spread.
     """
-    unique = first_per_key(batch, keys, order_by) if order_by else batch.dropDuplicates(keys)
+    rest = [c for c in batch.columns if c not in (*keys, *order_by)]
+    unique = first_per_key(batch, keys, [*order_by, *rest])
     return unique if target is None else unique.join(target.select(*keys), keys, "left_anti")
 
 
 def append_ignore_conflicts(
-    target: DataFrame, batch: DataFrame, keys: list[str], order_by: list[str] | None = None
+    target: DataFrame, batch: DataFrame, keys: list[str], order_by: list[str]
 ) -> DataFrame:
     """The table after the insert: existing rows are never touched."""
     fresh = new_rows(target, batch, keys, order_by)
@@ -53,18 +54,16 @@ def upsert_latest_wins(
     return kept.unionByName(winners.select(*current.columns))
 
 
-def backfill_actuals(predictions: DataFrame, actuals: DataFrame, order_by: list[str] | None = None) -> DataFrame:
+def backfill_actuals(predictions: DataFrame, actuals: DataFrame, order_by: list[str]) -> DataFrame:
     """Set missing ``actual_value`` from observations at exactly ``(station_id, target_time)``.
 
-    All models are filled alike; the first observation per key is the one used. The extra column
-    ``updated`` marks the rows that changed.
+    All models are filled alike; the first observation per key in ``order_by`` order is the one used. Null and
+    NaN are missing on both sides. The extra column ``updated`` marks the rows that changed.
     """
     keys = ["station_id", "target_time"]
-    observed = actuals.where(F.col("actual_value").isNotNull())
-    if order_by:
-        observed = first_per_key(observed, keys, order_by)
-    else:
-        observed = observed.groupBy(*keys).agg(F.min("actual_value").alias("actual_value"))
+    actuals = actuals.withColumn("actual_value", null_if_nan(F.col("actual_value").cast("double")))
+    predictions = predictions.withColumn("actual_value", null_if_nan(F.col("actual_value").cast("double")))
+    observed = first_per_key(actuals.where(F.col("actual_value").isNotNull()), keys, order_by)
     observed = observed.select(*keys, F.col("actual_value").alias("_observed"))
     joined = predictions.join(observed, keys, "left")
     return joined.select(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidedock.functions.stats import improvement_pct, regression_aggregates
@@ -29,9 +30,9 @@ def metrics_by_hour(df: DataFrame, actual: str = "y", predicted: str = "predicti
 def model_improvement(metrics: DataFrame, baseline: str = "naive") -> DataFrame:
     """Relative MAE gain of every model over the baseline model, in percent.
 
-    ``metrics`` has one row per trained model; the baseline row is read as a scalar.
+    ``metrics`` has one row per trained model, so the window over all of them is small; its input is computed once.
     """
-    base = metrics.where(F.col("model") == baseline).select("mae").scalar()
+    base = F.max(F.when(F.col("model") == baseline, F.col("mae"))).over(W.partitionBy())
     return metrics.withColumn("improvement_pct", improvement_pct(F.col("mae"), base))
 
 

@@ -16,11 +16,13 @@ from pyspark.sql import functions as F
 from tidedock import schemas
 from tidedock.functions.labels import clamp_prediction
 from tidedock.functions.timefns import interval
+from tidedock.operators.curate import newest_rows
 from tidedock.operators.metrics import regression_metrics
 from tidedock.staging import stage
 
 # Boosting defaults. A leaf count has no counterpart here and becomes a depth.
 BOOSTING = {"stepSize": 0.05, "maxIter": 100, "seed": 42}
+PATIENCE = 50
 PRESETS = {
     "lgbm": {**BOOSTING, "maxDepth": math.ceil(math.log2(31)), "maxBins": 64},
     "xgb": {**BOOSTING, "maxDepth": 6, "maxBins": 32},
@@ -61,20 +63,41 @@ def fit_linear(train: DataFrame) -> PipelineModel:
 
 
 def fit_boosted(
-    train: DataFrame, val: DataFrame | None = None, preset: str = "lgbm", stop_early: bool | None = None, **overrides
+    train: DataFrame, val: DataFrame | None = None, preset: str = "lgbm", stop_early: bool | None = None,
+    patience: int = PATIENCE, **overrides,
 ) -> PipelineModel:
-    """Boosted trees on squared error; with a validation frame boosting stops when it no longer helps."""
+    """Boosted trees on squared error, ``maxIter`` rounds at most.
+
+    With a validation frame the error after every round is measured there (mean absolute error). Boosting
+    counts as ended once ``patience`` rounds in a row have not improved it, and the model of the best round is returned:
+    rounds build on each other, so a second fit with that many rounds is the same model without the later trees.
+    """
     params = {**PRESETS[preset], **overrides}
     stop_early = preset == "lgbm" if stop_early is None else stop_early
-    trees = GBTRegressor(labelCol=schemas.TARGET_COL, lossType="squared", **params)
     cols = [*schemas.FEATURE_COLS, schemas.TARGET_COL]
-    rows = train.select(*cols)
-    if val is not None and stop_early:
-        rows = rows.withColumn("is_val", F.lit(False)).unionByName(
-            val.select(*cols).withColumn("is_val", F.lit(True))
-        )
-        trees = trees.setParams(validationIndicatorCol="is_val", validationTol=0.0)
-    return Pipeline(stages=[_assembler(), trees]).fit(_numeric(rows))
+    rows = _numeric(train.select(*cols))
+
+    def fit(rounds: int) -> PipelineModel:
+        trees = GBTRegressor(labelCol=schemas.TARGET_COL, lossType="squared", **{**params, "maxIter": rounds})
+        return Pipeline(stages=[_assembler(), trees]).fit(rows)
+
+    model = fit(params["maxIter"])
+    if val is None or not stop_early:
+        return model
+    errors = model.stages[-1].evaluateEachIteration(_assembler().transform(_numeric(val.select(*cols))), "absolute")
+    rounds = best_round(errors, patience)
+    return model if rounds == params["maxIter"] else fit(rounds)
+
+
+def best_round(errors: list[float], patience: int) -> int:
+    """Number of rounds with the least error before ``patience`` rounds in a row bring no improvement."""
+    best, at = float("inf"), 0
+    for i, error in enumerate(errors, 1):
+        if error < best:
+            best, at = error, i
+        elif i - at >= patience:
+            break
+    return max(at, 1)
 
 
 def score(model, df: DataFrame) -> DataFrame:
@@ -163,8 +186,7 @@ def tune_boosted(train: DataFrame, val: DataFrame, n_trials: int = 50, seed: int
 
 def latest_feature_rows(df: DataFrame) -> DataFrame:
     """Newest row per station."""
-    payload = F.struct(*[c for c in df.columns if c != "station_id"])
-    return df.groupBy("station_id").agg(F.max_by(payload, "timestamp").alias("r")).select("station_id", "r.*")
+    return newest_rows(df, "station_id", "timestamp", ["timestamp"])
 
 
 def predict_latest(

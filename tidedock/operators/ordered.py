@@ -1,7 +1,7 @@
 """Operators that need a global order, without a window over everything in one task.
 
-``value_buckets`` splits sorted values into buckets of similar size; equal values have been merged
-into one counted row before, so a value that holds a third of all rows is one row here.
+``value_parts`` range-partitions counted values; equal values have been merged into one counted row before,
+so a value that holds a third of all rows is one row here.
 ``global_index`` numbers rows by a range-partitioned sort that is written once. ``blocked_window``
 evaluates row windows in fixed blocks that carry the rows they need from their neighbours.
 """
@@ -14,19 +14,16 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidedock.staging import stage, stage_small
+from tidedock.staging import stage
 
-BUCKETS = 128
 
+def value_parts(counts: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
+    """``counts`` written in the order of (keys, value), with the number ``part`` of its range partition.
 
-def bucket_bounds(value: str, buckets: int = BUCKETS) -> Column:
-    """Aggregate: inner bounds of buckets of about equal size (a sketch; any bounds give right results)."""
-    shares = [i / buckets for i in range(1, buckets)]
-    return F.percentile_approx(value, shares, 20 * buckets)
-
-
-def bucket_of(value: Column, bounds: Column) -> Column:
-    return F.size(F.filter(bounds, lambda b: b < value))
+    Parts follow that order, and their number and size follow the shuffle partitions, not a constant.
+    """
+    ranged = counts.repartitionByRange(*keys, value).withColumn("part", F.spark_partition_id())
+    return stage(ranged, name)
 
 
 def value_counts(df: DataFrame, value: str, by: list[str]) -> DataFrame:
@@ -44,20 +41,18 @@ def exact_quantiles(df: DataFrame, value: str, probabilities: list[float], by: l
 
 
 def count_quantiles(counts: DataFrame, probabilities: list[float], keys: list[str]) -> DataFrame:
-    """Quantiles of a written ``value_counts`` table; buckets, running counts and the pick all read it."""
-    bounds = stage_small(counts.groupBy(*keys).agg(bucket_bounds("v").alias("bounds")), "value-bounds")
-    bucketed = counts.join(bounds, keys).withColumn("b", bucket_of(F.col("v"), F.col("bounds")))
-    bucketed = bucketed.drop("bounds")
-    totals = bucketed.groupBy(*keys, "b").agg(F.sum("n").alias("bn"))
-    ahead = W.partitionBy(*keys).orderBy("b").rowsBetween(W.unboundedPreceding, -1)
+    """Quantiles of a written ``value_counts`` table by running counts inside and ahead of each range part."""
+    parted = value_parts(counts, keys, "v", "value-parts")
+    totals = parted.groupBy(*keys, "part").agg(F.sum("n").alias("bn"))
+    ahead = W.partitionBy(*keys).orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     offsets = totals.select(
         *keys,
-        "b",
+        "part",
         F.coalesce(F.sum("bn").over(ahead), F.lit(0)).alias("offset"),
         F.sum("bn").over(W.partitionBy(*keys)).alias("total"),
     )
-    inside = W.partitionBy(*keys, "b").orderBy("v").rowsBetween(W.unboundedPreceding, 0)
-    ranked = bucketed.join(offsets, [*keys, "b"]).withColumn("upto", F.col("offset") + F.sum("n").over(inside))
+    inside = W.partitionBy(*keys, "part").orderBy("v").rowsBetween(W.unboundedPreceding, 0)
+    ranked = parted.join(offsets, [*keys, "part"]).withColumn("upto", F.col("offset") + F.sum("n").over(inside))
 
     def at(rank: Column) -> Column:
         return F.max(F.when((F.col("upto") - F.col("n") <= rank) & (rank < F.col("upto")), F.col("v")))

@@ -59,7 +59,8 @@ def fill_forward(
     """Repeat every bin into the empty bins after it, at most ``steps`` of them.
 
     Equal to filling a dense grid and dropping what stays empty, without ever building the grid:
-    an empty bin is only reachable from the bin before it. ``min_days`` applies the whole-day
+    an empty bin is only reachable from the bin before it. A bin that lacks a value takes the newest one of the
+    ``steps`` bins before it, and no value is carried further than ``steps`` bins from its report. ``min_days`` applies the whole-day
     history rule in the same shuffle.
     """
     order = W.partitionBy(key).orderBy("timestamp")
@@ -72,7 +73,20 @@ def fill_forward(
     reach = F.col("timestamp") + F.expr(f"{steps} * INTERVAL '{freq}'")
     last = F.when(F.col("_next").isNull(), F.col("timestamp")).otherwise(F.least(reach, F.col("_next") - step))
     kept = [c for c in bins.columns if c not in ("timestamp", "first_seen", "last_seen")]
-    return rows.select(*kept, F.explode(F.sequence("timestamp", last, step)).alias("timestamp"))
+    fixed = [c for c in kept if c == key or c in schemas.STATIC_COLS]
+    values = [c for c in kept if c not in fixed]
+    near = order.rowsBetween(-steps, 0)
+    seen = {
+        f"_seen_{c}": F.last(F.when(F.col(c).isNotNull(), F.struct(F.col(c).alias("v"), "timestamp")), True).over(near)
+        for c in values
+    }
+    spread = rows.withColumns(seen).select(
+        *fixed, *seen, F.explode(F.sequence("timestamp", last, step)).alias("timestamp")
+    )
+    current = lambda c: F.when(
+        F.col("timestamp") <= F.col(f"_seen_{c}.timestamp") + F.expr(f"{steps} * INTERVAL '{freq}'"), F.col(f"_seen_{c}.v")
+    )
+    return spread.select(*[F.col(c) if c in fixed else current(c).alias(c) for c in kept], "timestamp")
 
 
 def resample(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -50,19 +50,33 @@ def time_based_split(
 ) -> DataFrame:
     """The input with a ``split`` column.
 
-    The two cuts are read first and enter the plan as literals, so that a later filter on ``split``
-    becomes a plain time range that reaches the files. Pass a written table: it is read twice.
+    The two cuts are read first and enter the plan as literals. The result is the union of three time ranges
+    with a constant label each: a later filter on ``split`` leaves only the wanted branches, whose ranges are pushed
+    to the files. Pass a written table: it is read for the cuts and once per branch. Rows without a timestamp are
+    train rows.
     """
-    kind = dict(df.dtypes)[time_col]
-    cuts = split_cuts(df, train_frac, val_frac, time_col)
-    val_from, test_from = cuts.select(F.col("val_from").cast("string"), F.col("test_from").cast("string")).first()
+    val_from, test_from = (_literal(c, dict(df.dtypes)[time_col]) for c in read_cuts(df, train_frac, val_frac, time_col))
     t = F.col(time_col)
-    return df.withColumn(
-        "split",
-        F.when(t >= F.lit(test_from).cast(kind), "test")
-        .when(t >= F.lit(val_from).cast(kind), "val")
-        .otherwise("train"),
-    )
+    ranges = {
+        "train": (t < val_from) | t.isNull(),
+        "val": (t >= val_from) & (t < test_from),
+        "test": t >= test_from,
+    }
+    parts = [df.where(condition).withColumn("split", F.lit(name)) for name, condition in ranges.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def read_cuts(
+    df: DataFrame, train_frac: float = TRAIN_FRAC, val_frac: float = VAL_FRAC, time_col: str = "timestamp"
+) -> tuple[str | int, str | int]:
+    """The two cuts: local text without a time zone, else microseconds since the epoch."""
+    zoned = dict(df.dtypes)[time_col] == "timestamp"
+    plain = (lambda c: F.unix_micros(c)) if zoned else (lambda c: F.col(c).cast("string"))
+    return tuple(split_cuts(df, train_frac, val_frac, time_col).select(plain("val_from"), plain("test_from")).first())
+
+
+def _literal(cut: str | int, kind: str) -> Column:
+    return F.timestamp_micros(F.lit(cut)) if kind == "timestamp" else F.lit(cut).cast(kind)
 
 
 def split_summary(df: DataFrame, time_col: str = "timestamp") -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from tidedock import schemas
 from tidedock.functions.timefns import GRID
 from tidedock.operators.features import build_features, feature_frame
 from tidedock.operators.regularise import attach_statics, bin_status, fill_forward
@@ -22,7 +23,7 @@ def regular_series(
     """
     bins = bin_status(status, freq, lasts=["is_renting", "is_returning"])
     placed = attach_statics(bins, information, "inner" if known_only else "left")
-    return fill_forward(placed, freq, min_days=min_days)
+    return fill_forward(placed, freq, min_days=min_days).na.drop(subset=schemas.COUNT_COLS)
 
 
 def feature_table(
