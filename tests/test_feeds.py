@@ -125,8 +125,8 @@ def test_prediction_and_anomaly_sinks(spark, tmp_path):
     batch = spark.sql("""SELECT * FROM VALUES ('a', TIMESTAMP'2026-01-01 00:00:00', TIMESTAMP'2026-01-01 00:15:00',
         'naive', 1.0D), ('a', TIMESTAMP'2026-01-01 00:00:00', TIMESTAMP'2026-01-01 00:30:00', 'naive', 2.0D)
         AS t(station_id, prediction_time, target_time, model_name, predicted_value)""")
-    assert writers.save_predictions(batch, path, _now()) == 2
-    assert writers.save_predictions(batch, path, _now()) == 0
+    assert writers.save_predictions(batch, path, _now(), ["predicted_value"]) == 2
+    assert writers.save_predictions(batch, path, _now(), ["predicted_value"]) == 0
     stored = spark.read.parquet(path)
     assert stored.where("actual_value is null").count() == 2
     results = spark.sql("SELECT 'a' station_id, true is_stuck, false is_statistical_outlier, 3.0D stuck_duration_hours,"
@@ -142,13 +142,13 @@ def test_append_reads_only_the_days_of_its_batch(spark, raw_status, tmp_path):
     cols = schemas.STATUS.fieldNames()
     old = raw_status([("a", d * day, d) for d in range(10)]).select(*cols)
     late = raw_status([("a", 3 * day, 99), ("b", 3 * day, 1)]).select(*cols)
-    assert writers.append_status(old, path) == 10
-    assert writers.append_status(late, path) == 1
+    assert writers.append_status(old, path, ["ingestion_timestamp"]) == 10
+    assert writers.append_status(late, path, ["ingestion_timestamp"]) == 1
     stored = tables.read_status(spark, path)
     assert stored.where("station_id = 'a' AND num_bikes_available = 99").count() == 0 and stored.count() == 11
     batch = late.withColumn("reported_on", F.to_date("last_reported"))
-    scan = writers._overlapping(stored, batch, "reported_on").select("station_id")
+    scan = writers._of_days(stored, batch, "reported_on").select("station_id")
     assert scan.count() == 2
     plan = scan._jdf.queryExecution().executedPlan().toString()
     partition_filters = plan[plan.index("PartitionFilters"):plan.index("PushedFilters")]
-    assert "reported_on" in partition_filters and "Subquery" in partition_filters
+    assert "reported_on" in partition_filters and "2026-03-04" in partition_filters

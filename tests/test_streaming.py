@@ -1,9 +1,11 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidedock import schemas
 from tidedock.operators import regularise
+from tidedock.operators.anomaly import stuck_stations
 from tidedock.sources import tables
 from tidedock.streaming import feed
 
@@ -34,10 +36,18 @@ def test_append_stream_is_idempotent(spark, tmp_path):
     assert stored.groupBy(*schemas.STATUS_GRAIN).count().where("count > 1").count() == 0
 
 
+def test_append_stream_keeps_late_facts(spark, tmp_path):
+    _land(tmp_path / "in", [[("a", 600, 1)], [("a", 0, 2)], [("a", 300, 3)], [("a", 300, 4)]])
+    docs = feed.read_document_stream(spark, str(tmp_path / "in"), files_per_trigger=1)
+    feed.append_stream(feed.status_stream(docs), str(tmp_path / "t"), str(tmp_path / "c")).awaitTermination()
+    stored = tables.read_status(spark, str(tmp_path / "t")).collect()
+    assert sorted(r.num_bikes_available for r in stored) == [1, 2, 3]
+
+
 def test_binned_stream_equals_batch(spark, tmp_path):
     _land(tmp_path / "in", POLLS)
     docs = feed.read_document_stream(spark, str(tmp_path / "in"))
-    bins = feed.binned_stream(feed.deduplicate(feed.status_stream(docs)), lateness=None)
+    bins = feed.binned_stream(feed.status_stream(docs))
     (bins.writeStream.format("parquet").option("path", str(tmp_path / "bins"))
      .option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination())
     got = spark.read.parquet(str(tmp_path / "bins"))
@@ -48,23 +58,29 @@ def test_binned_stream_equals_batch(spark, tmp_path):
     assert key(got.where("station_id <> 'z'")) == key(want)
 
 
-def test_stuck_stream_follows_the_rule(spark, tmp_path):
-    _land(tmp_path / "in", POLLS[:40])
-    docs = feed.read_document_stream(spark, str(tmp_path / "in"), files_per_trigger=10)
-    stuck = feed.stuck_stream(feed.status_stream(docs))
-    query = (stuck.writeStream.format("memory").queryName("stuck").outputMode("update")
-             .option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start())
-    query.awaitTermination()
-    rows = spark.table("stuck")
-    last = {r.station_id: r for r in rows.groupBy("station_id").agg(
-        F.max_by(F.struct("duration_hours", "last_bikes", "is_stuck"), "duration_hours").alias("r")).select("station_id", "r.*").collect()}
-    assert last["a"].is_stuck and last["a"].last_bikes == 5 and last["a"].duration_hours == 3.0
-    assert not last["b"].is_stuck
+LATE = [[("a", 0, 5), ("b", 0, 1)], [("a", 300, 5)], [("a", 310, 5)], [("a", 30, 7)], [("b", 200, 2)], [("b", 100, 2)]]
+
+
+def test_stuck_stream_equals_the_batch_rule_on_late_files(spark, tmp_path):
+    _land(tmp_path / "in", LATE)
+    docs = feed.read_document_stream(spark, str(tmp_path / "in"), files_per_trigger=1)
+    states = {}
+
+    def keep(rows, epoch):
+        states.update({r.station_id: tuple(r) for r in rows.collect()})
+
+    feed.stuck_stream(feed.status_stream(docs), str(tmp_path / "t"), str(tmp_path / "c"), keep, 0.0).awaitTermination()
+    facts = tables.read_status(spark, str(tmp_path / "t")).withColumnRenamed("last_reported", "timestamp")
+    batch = {r.station_id: tuple(r) for r in stuck_stations(facts, 0.0).collect()}
+    assert states == batch
+    assert batch["a"][2] == pytest.approx(10 / 60) and batch["b"][2] == pytest.approx(100 / 60)
 
 
 def test_quality_stream_counts(spark, tmp_path):
-    _land(tmp_path / "in", [[("a", 0, -1), ("b", 0, 3)]])
+    _land(tmp_path / "in", [[("a", 0, -1), ("b", 0, 3), ("b", 0, 4)]])
     seen = []
     status = feed.status_stream(feed.read_document_stream(spark, str(tmp_path / "in")))
-    feed.quality_stream(status, lambda df, epoch: seen.append(df.first().asDict()), str(tmp_path / "c")).awaitTermination()
-    assert sum(s["n_rows"] for s in seen) == 2 and sum(s["negative_availability"] for s in seen) == 1
+    known = spark.sql("SELECT 'a' AS station_id")
+    feed.quality_stream(status, known, lambda df, epoch: seen.append(df.first().asDict()), str(tmp_path / "c")).awaitTermination()
+    assert seen == [{"orphan_status_rows": 2, "negative_availability": 1, "ingestion_before_last_reported": 0,
+                     "duplicate_grain_keys": 1, "n_rows": 3}]

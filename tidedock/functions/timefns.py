@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 GRID = "15 minutes"
@@ -26,6 +26,20 @@ def epoch_to_timestamp(seconds: Column) -> Column:
     return F.timestamp_seconds(seconds)
 
 
+def utc_day(df: DataFrame, column: str) -> Column:
+    """Day of a time column that does not depend on the session: of the epoch, or of local time without a zone."""
+    if dict(df.dtypes)[column] == "timestamp":
+        return F.date_from_unix_date(F.floor(F.unix_micros(F.col(column)) / F.lit(86_400_000_000)).cast("int"))
+    return F.to_date(column)
+
+
+def require_utc(spark: SparkSession) -> None:
+    """Local fields of zoned times mean UTC here; another session time zone would change them silently."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        raise ValueError(f"set spark.sql.session.timeZone to UTC; it is {zone}")
+
+
 def calendar_fields(ts: Column) -> dict[str, Column]:
     """``weekday`` counts from Monday = 0; ``is_weekend`` is a 0/1 flag."""
     return {

@@ -17,8 +17,12 @@ def read_status(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(_with_day(schemas.STATUS)).parquet(path)
 
 
-def _with_day(schema: T.StructType) -> T.StructType:
-    return T.StructType([*schema.fields, T.StructField("reported_on", T.DateType(), True)])
+def read_predictions(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(_with_day(schemas.PREDICTIONS, "target_on")).parquet(path)
+
+
+def _with_day(schema: T.StructType, name: str = "reported_on") -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(name, T.DateType(), True)])
 
 
 def read_snapshot(spark: SparkSession, path: str, schema=schemas.INFORMATION) -> DataFrame:

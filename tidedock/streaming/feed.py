@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidedock import schemas
 from tidedock.functions.timefns import GRID
 from tidedock.operators import quality
+from tidedock.operators.anomaly import STUCK_HOURS, stuck_stations
 from tidedock.sources.feeds import parse_station_status
+from tidedock.sources.tables import read_status
 from tidedock.sources.writers import append_status
+from tidedock.staging import stage
 
 LATENESS = "1 hour"
+#: Which of several reports of one key is the first: file time and name, then the place in the file.
+ORDER = ["file_time", "source_file", "seq"]
 
 
 def read_document_stream(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
@@ -25,7 +27,12 @@ def read_document_stream(spark: SparkSession, path: str, files_per_trigger: int
     A feed document lists a station once, so this also bounds the rows of a station in a micro-batch.
     """
     reader = spark.readStream.format("text").option("wholetext", True)
-    return reader.option("maxFilesPerTrigger", files_per_trigger).load(path).select(F.col("value").alias("document"))
+    files = reader.option("maxFilesPerTrigger", files_per_trigger).load(path)
+    return files.select(
+        F.col("value").alias("document"),
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_modification_time").alias("file_time"),
+    )
 
 
 def status_stream(documents: DataFrame) -> DataFrame:
@@ -33,38 +40,39 @@ def status_stream(documents: DataFrame) -> DataFrame:
     return parse_station_status(documents, F.current_timestamp())
 
 
-def deduplicate(status: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Drop repeated keys within the watermark; older repeats are caught by the append itself."""
-    return status.withWatermark("last_reported", lateness).dropDuplicatesWithinWatermark(schemas.STATUS_GRAIN)
-
+def append_stream(
+    status: DataFrame, table: str, checkpoint: str, order_by: list[str] = ORDER, available_now: bool = True
+):
+    """Append every micro-batch with the idempotent batch operator, so a replayed batch adds nothing.
 
-def append_stream(status: DataFrame, table: str, checkpoint: str, available_now: bool = True):
-    """Append every micro-batch with the idempotent batch operator, so a replayed batch adds nothing."""
+    Rows go in unfiltered: a fact may arrive at any time and is stored unless its key is there already.
+    """
 
     def write(batch: DataFrame, _epoch: int) -> None:
-        append_status(batch, table, ["ingestion_timestamp", "seq"] if "seq" in batch.columns else None)
+        append_status(batch, table, order_by)
 
-    writer = status.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return _started(status, write, checkpoint, available_now)
+
+
+def _started(rows: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, available_now: bool = True):
+    writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def binned_stream(status: DataFrame, freq: str = GRID, lateness: str | None = LATENESS) -> DataFrame:
+def binned_stream(status: DataFrame, freq: str = GRID, lateness: str = LATENESS) -> DataFrame:
     """Closed grid bins of each station, emitted once the watermark has passed them.
 
-    Pass ``lateness=None`` after :func:`deduplicate`, which has set the watermark already. Feed the
-    written bins to ``regularise.fill_forward``.
+    Repeated reports of a key count once. Facts later than ``lateness`` are not in the emitted bins; they are in
+    the appended table, from which bins can be computed again. Feed the written bins to
+    ``regularise.fill_forward``.
     """
     t = F.col("last_reported")
-    if lateness is not None:
-        status = status.withWatermark("last_reported", lateness)
-    binned = (
-        status.groupBy("station_id", F.window(t, freq).alias("_bin"))
-        .agg(
-            *[F.avg(c).alias(c) for c in schemas.COUNT_COLS],
-            *[F.max_by(c, F.when(F.col(c).isNotNull(), t)).alias(c) for c in schemas.FLAG_COLS],
-            F.min(t).alias("first_seen"),
-            F.max(t).alias("last_seen"),
-        )
+    once = status.withWatermark("last_reported", lateness).dropDuplicatesWithinWatermark(schemas.STATUS_GRAIN)
+    binned = once.groupBy("station_id", F.window(t, freq).alias("_bin")).agg(
+        *[F.avg(c).alias(c) for c in schemas.COUNT_COLS],
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), t)).alias(c) for c in schemas.FLAG_COLS],
+        F.min(t).alias("first_seen"),
+        F.max(t).alias("last_seen"),
     )
     return binned.select(
         "station_id", F.col("_bin.start").alias("timestamp"), *schemas.COUNT_COLS, *schemas.FLAG_COLS,
@@ -72,63 +80,35 @@ def binned_stream(status: DataFrame, freq: str = GRID, lateness: str | None = LA
     )
 
 
-STUCK_OUTPUT = "station_id string, last_change timestamp, duration_hours double, last_bikes int, is_stuck boolean"
-STUCK_STATE = "value double, first_ts double, change_ts double, last_ts double"
-
-
-def _follow(threshold_hours: float) -> Callable:
-    def follow(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        value, first_ts, change_ts, last_ts = state.get if state.exists else (None, None, None, None)
-        # Micro-batch rows of a station arrive in several frames; the newest report must be seen last.
-        rows = pd.concat(frames).drop_duplicates("ts").sort_values("ts")
-        if last_ts is not None:
-            rows = rows[rows["ts"] > last_ts]
-        if len(rows):
-            ts = rows["ts"].to_numpy()
-            bikes = rows["num_bikes_available"].to_numpy(dtype=float)
-            moved = np.flatnonzero(np.diff(bikes, prepend=bikes[0] if value is None else value) != 0)
-            if len(moved):
-                change_ts = float(ts[moved[-1]])
-            first_ts = float(ts[0]) if first_ts is None else first_ts
-            value, last_ts = float(bikes[-1]), float(ts[-1])
-        state.update((value, first_ts, change_ts, last_ts))
-        hours = (last_ts - (change_ts if change_ts is not None else first_ts)) / 3600.0
-        yield pd.DataFrame(
-            {
-                "station_id": [key[0]],
-                "last_change": [pd.Timestamp(change_ts, unit="s", tz="UTC") if change_ts is not None else pd.NaT],
-                "duration_hours": [hours],
-                "last_bikes": [int(value)],
-                "is_stuck": [hours >= threshold_hours],
-            }
-        )
-
-    return follow
-
-
-def stuck_stream(status: DataFrame, threshold_hours: float = 2.0) -> DataFrame:
-    """Running state of the stuck rule: one update per station and micro-batch."""
-    seconds = F.unix_micros("last_reported") / F.lit(1e6)
-    rows = status.select("station_id", seconds.alias("ts"), "num_bikes_available")
-    return rows.groupBy("station_id").applyInPandasWithState(
-        _follow(threshold_hours), STUCK_OUTPUT, STUCK_STATE, "update", GroupStateTimeout.NoTimeout
-    )
+def stuck_stream(
+    status: DataFrame, table: str, checkpoint: str, sink: Callable[[DataFrame, int], None],
+    threshold_hours: float = STUCK_HOURS, order_by: list[str] = ORDER,
+):
+    """The stuck rule for every station of a micro-batch, from all of its stored reports.
 
+    A late report can move a change that lies behind newer ones, so the rule needs the station's history. That is the
+    appended table: each micro-batch is appended first, then the batch operator runs over the stations in it.
+    Stream and batch agree in whatever order files arrive.
+    """
+
+    def follow(batch: DataFrame, epoch: int) -> None:
+        append_status(batch, table, order_by)
+        seen = stage(batch.select("station_id").distinct(), "stuck-stations")
+        history = read_status(batch.sparkSession, table).join(seen, "station_id", "left_semi")
+        sink(stuck_stations(history.withColumnRenamed("last_reported", "timestamp"), threshold_hours), epoch)
+
+    return _started(status, follow, checkpoint)
 
-def quality_stream(status: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str):
-    """Row-level quality counters of every micro-batch, handed to ``sink``."""
+
+def quality_stream(
+    status: DataFrame, information: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str
+):
+    """The four quality counters of every micro-batch, handed to ``sink`` with its row count."""
 
     def check(batch: DataFrame, epoch: int) -> None:
-        counters = batch.agg(
-            F.count("*").alias("n_rows"),
-            F.count_if(quality.negative_counts()).alias(quality.CHECKS[1]),
-            F.count_if(quality.ingested_before_report()).alias(quality.CHECKS[2]),
-        )
-        sink(counters, epoch)
-
-    return (
-        status.writeStream.foreachBatch(check)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+        rows = stage(batch, "quality-batch")
+        report = quality.dq_report(rows, information)
+        counters = report.groupBy().pivot("name", quality.CHECKS).agg(F.first("violation_count"))
+        sink(counters.withColumn("n_rows", F.lit(rows.count())), epoch)
+
+    return _started(status, check, checkpoint)
