@@ -50,8 +50,9 @@ class Prefixes:
 
     def common(self, a: np.ndarray, b: np.ndarray, limit: np.ndarray) -> np.ndarray:
         """Length of the common extension of the suffixes at ``a`` and ``b``, at most ``limit``."""
-        low = np.zeros(len(a), np.int64)
-        high = limit.astype(np.int64).copy()
+        whole = self.hash(a, limit) == self.hash(b, limit)  # copies are frequent: one step settles them
+        low = np.where(whole, limit, 0)
+        high = np.where(whole, limit, limit - 1)
         while True:
             todo = np.flatnonzero(low < high)
             if not len(todo):
@@ -71,12 +72,14 @@ class Prefixes:
         return np.where(ended, (la < lb) | (or_equal & (la == lb)), byte_a < byte_b)
 
 
-def _heads(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """First eight bytes as a number; every suffix has as many."""
-    head = np.zeros(len(starts), np.uint64)
+def _words(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from every position on as a big-endian number; zeros follow the data."""
+    padded = np.concatenate((data, np.zeros(_HEAD, np.uint8)))
+    out = np.zeros(len(data), np.uint64)
     for k in range(_HEAD):
-        head = (head << np.uint64(8)) | data[starts + k].astype(np.uint64)
-    return head
+        out <<= np.uint64(8)
+        out |= padded[k : k + len(data)]
+    return out
 
 
 def _merge_levels(prefixes: Prefixes, starts: np.ndarray, lengths: np.ndarray, order: np.ndarray, heads: np.ndarray) -> None:
@@ -114,22 +117,24 @@ def _merge_levels(prefixes: Prefixes, starts: np.ndarray, lengths: np.ndarray, o
         width *= 2
 
 
-def _matrix(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, width: int) -> np.ndarray:
+def _matrix(words: np.ndarray, starts: np.ndarray, lengths: np.ndarray, width: int) -> np.ndarray:
     """Bytes of each suffix as big-endian numbers, zero-padded."""
-    index = starts[:, None] + np.arange(width)
-    inside = np.arange(width) < lengths[:, None]
-    block = np.where(inside, data[np.minimum(index, len(data) - 1)], 0).astype(np.uint8)
-    return block.view(">u8").astype(np.uint64)
+    out = np.zeros((len(starts), width // _HEAD), np.uint64)
+    for k in range(width // _HEAD):
+        left = np.clip(lengths - _HEAD * k, 0, _HEAD)
+        mask = np.where(left > 0, np.uint64(2**64 - 1) << (8 * (_HEAD - np.maximum(left, 1))).astype(np.uint64), np.uint64(0))
+        out[:, k] = words[np.minimum(starts + _HEAD * k, len(words) - 1)] & mask
+    return out
 
 
-def _verify(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, order: np.ndarray) -> np.ndarray | None:
+def _verify(words: np.ndarray, starts: np.ndarray, lengths: np.ndarray, order: np.ndarray) -> np.ndarray | None:
     """For each suffix in order, whether it equals the one before; None if the order is wrong."""
     width = -(-int(lengths.max()) // 8) * 8
     equal = np.zeros(len(order), bool)
     step = 1 << 14
     for low in range(0, len(order), step):
         part = order[max(low - 1, 0) : low + step]
-        rows = _matrix(data, starts[part], lengths[part], width)
+        rows = _matrix(words, starts[part], lengths[part], width)
         size = lengths[part]
         differ = rows[1:] != rows[:-1]
         some = differ.any(1)
@@ -149,13 +154,14 @@ def suffix_sort(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tu
     """
     if not len(starts):
         return np.zeros(0, np.int64), np.zeros(0, bool)
-    heads = _heads(data, starts)
+    words = _words(data)
+    heads = words[starts]
     order = np.argsort(heads, kind="stable")
     _merge_levels(Prefixes(data), starts, lengths, order, heads)
-    equal = _verify(data, starts, lengths, order)
+    equal = _verify(words, starts, lengths, order)
     if equal is None:  # a collision misled the comparisons: order by the bytes
         width = -(-int(lengths.max()) // 8) * 8
-        keys = _matrix(data, starts, lengths, width)
+        keys = _matrix(words, starts, lengths, width)
         order = np.lexsort((lengths, *keys.T[::-1]))
-        equal = _verify(data, starts, lengths, order)
+        equal = _verify(words, starts, lengths, order)
     return order, equal
