@@ -158,11 +158,11 @@ def feature_importance(spark, sf):
 def feature_split_counts(spark, sf):
     import uuid
 
-    from tidedock.staging import staging_dir
+    from tidedock.staging import staged_path
 
     parts = _staged_splits(spark, sf)
     model = models.fit_boosted(parts["train"], parts["val"])
-    return models.split_counts(model, f"{staging_dir(spark)}/nodes-{uuid.uuid4().hex}")
+    return models.split_counts(model, staged_path(spark, f"nodes-{uuid.uuid4().hex}"))
 
 
 @query("linear_attribution")

@@ -56,10 +56,10 @@ def _numeric(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("double") for c in [*schemas.FEATURE_COLS, schemas.TARGET_COL] if c in df.columns})
 
 
-def fit_linear(train: DataFrame) -> PipelineModel:
+def fit_linear(train: DataFrame, features: list[str] = schemas.FEATURE_COLS) -> PipelineModel:
     """Ordinary least squares by distributed normal equations, one pass over the rows."""
     regression = LinearRegression(labelCol=schemas.TARGET_COL, solver="normal", regParam=0.0)
-    return Pipeline(stages=[_assembler(), regression]).fit(_numeric(train))
+    return Pipeline(stages=[_assembler(features), regression]).fit(_numeric(train))
 
 
 def fit_boosted(

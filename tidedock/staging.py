@@ -33,6 +33,13 @@ def staging_dir(spark: SparkSession) -> str:
     return _local_dir
 
 
+def staged_path(spark: SparkSession, name: str) -> str:
+    """A new path in the staging folder that ``release_staged`` will delete."""
+    path = f"{staging_dir(spark)}/{name}"
+    _written.append(path)
+    return path
+
+
 def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` once and return a scan of what was written."""
     spark = df.sparkSession
