@@ -13,9 +13,10 @@ Jaccard similarity of at least ``percent`` / 100; groups are the connected compo
 3. Candidates are verified on the full sets of 64-bit shingle hashes.
 4. Bands whose members are in several components after that are completed. A member's *own* shingles, which no other
    member of such a band has, bound its similarity to all others; most members outside are done by that bound alone.
-   The rest is compared with the band's most central member (fewest own shingles), again a star. Only pairs that are
-   still in different components, and that sizes, own shingles and the Jaccard distances to the first star's
-   centre (a metric) all leave possible, are compared one by one.
+   The rest is compared with the band's most central member (fewest own shingles), again a star. Shingles shared with the centre
+   and those outside it that are not a member's own bound what two members can have in common; only pairs in different
+   components that these bounds and the distances to the first star's centre (a metric) leave possible are compared
+   one by one.
 
 With 32 bands of 4 coordinates, a pair with similarity 0.75 is no candidate with probability 5e-6.
 
@@ -204,12 +205,16 @@ def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     links = checked.where(linked).select("a", "b")
     part_of = stage(connected_components(links), "components")
 
-    # Bands in several components: first a star around the most central member, then what is still possible.
-    for pairs_of in (_central_star, _remaining_pairs):
-        members = _open_members(banded, checked, part_of, sets, percent)
-        if members is None:
-            break
-        more = stage(_verified(stage(pairs_of(members, percent), "pairs"), sets), "more-links")
+    # Bands in several components: a star around the most central member, then what is still possible.
+    members = _open_members(banded, checked, part_of, sets, percent)
+    if members is not None:
+        centred = _centred(members)
+        pairs = centred.where("rep <> centre").select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b"))
+        central = stage(_verified(pairs.distinct(), sets), "central-links")
+        links = stage(links.unionByName(central.where(linked).select("a", "b")), "links")
+        part_of = stage(connected_components(links), "components")
+        rest = _remaining_pairs(centred, central, part_of, percent)
+        more = stage(_verified(stage(rest, "pairs"), sets), "more-links")
         links = stage(links.unionByName(more.where(linked).select("a", "b")), "links")
         part_of = stage(connected_components(links), "components")
 
@@ -269,36 +274,46 @@ def _open_members(
     return stage(_in_open_bands(rows), "open-members")
 
 
-def _possible(x: str, y: str, percent: int) -> Column:
-    """Neither sizes nor own shingles of two members rule out a link."""
-    return F.expr(
-        f"100 * least({x}n, {y}n) >= {percent} * greatest({x}n, {y}n)"
-        f" AND 100 * ({x}n - {x}own) >= {percent} * ({y}n + {x}own)"
-        f" AND 100 * ({y}n - {y}own) >= {percent} * ({x}n + {y}own)"
-    )
-
-
-def _central_star(members: DataFrame, percent: int) -> DataFrame:
-    """Each member with the member of its band that has the fewest shingles of its own."""
+def _centred(members: DataFrame) -> DataFrame:
+    """Members with the member of their band that has the fewest shingles of its own, and the band's least size."""
     centre = members.groupBy("band").agg(
-        F.min_by(F.struct("rep", "n", "own", "component"), F.struct("own", "rep")).alias("c")
+        F.min_by("rep", F.struct("own", "rep")).alias("centre"), F.min("n").alias("least")
     )
-    centre = centre.select("band", *[F.col(f"c.{k}").alias(f"c_{k}") for k in ("rep", "n", "own", "component")])
-    pairs = members.join(centre, "band").where("component <> c_component").where(_possible("", "c_", percent))
-    return pairs.select(F.least("rep", "c_rep").alias("a"), F.greatest("rep", "c_rep").alias("b")).distinct()
+    return stage(members.drop("component", "low").join(centre, "band"), "centred")
+
 
+def _remaining_pairs(centred: DataFrame, central: DataFrame, part_of: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a band in different components that no bound rules out.
 
-def _remaining_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs in different components that sizes, own shingles and distances to the band's pivot leave possible."""
-    columns = ("rep", "n", "own", "component", "distance")
+    ``inner`` shingles are shared with the centre; ``extra`` ones are outside it and not the member's own. Two members have at most
+    ``least(inner) + least(extra)`` shingles in common. Where a member's inner shingles alone are too few for a link, only members
+    with extra shingles are partners; in a group of independent copies of the centre there are none.
+    """
+    known = central.select("a", "b", F.col("both").alias("inner"))
+    rows = centred.withColumn("a", F.least("rep", "centre")).withColumn("b", F.greatest("rep", "centre"))
+    rows = rows.join(known, ["a", "b"], "left").drop("a", "b")
+    rows = rows.withColumn("inner", F.when(F.col("rep") == F.col("centre"), F.col("n")).otherwise(F.col("inner")))
+    rows = rows.withColumn("extra", F.greatest(F.col("n") - F.col("inner") - F.col("own"), F.lit(0)))
+    rows = rows.join(part_of.withColumnRenamed("node", "rep"), "rep", "left")
+    rows = rows.withColumn("component", F.coalesce("component", "rep"))
+    rows = stage(_in_open_bands(rows).where("rep <> centre"), "open-bands")
+
+    columns = ("rep", "n", "inner", "extra", "component", "distance")
+    side = lambda df, p: df.select("band", *[F.col(c).alias(f"{p}_{c}") for c in columns])
     # One of two components is not the band's smallest: its members meet the others.
-    left = members.where("component <> low").select("band", *[F.col(c).alias(f"x_{c}") for c in columns])
-    right = members.select("band", *[F.col(c).alias(f"y_{c}") for c in columns])
-    # A star pair ruled out by its sizes has no known distance.
-    close = F.expr(f"coalesce(abs(x_distance - y_distance) <= {1 - percent / 100 + 1e-9}, true)")
-    met = (F.col("x_component") != F.col("y_component")) & close & _possible("x_", "y_", percent)
-    pairs = left.join(right, (left["band"] == right["band"]) & met)
-    return pairs.select(F.least("x_rep", "y_rep").alias("a"), F.greatest("x_rep", "y_rep").alias("b")).distinct()
+    left = rows.where("component <> low")
+    few = F.expr(f"100 * inner < {percent} * (n + least - inner)")
+    most = "(least(x_inner, y_inner) + least(x_extra, y_extra))"
+    met = F.expr(
+        f"x_component <> y_component AND 100 * {most} >= {percent} * (x_n + y_n - {most})"
+        f" AND coalesce(abs(x_distance - y_distance) <= {1 - percent / 100 + 1e-9}, true)"  # a metric; null: sizes too unlike
+    )
+    found = []
+    for x, y in ((left.where(few & (F.col("extra") > 0)), rows.where("extra > 0")), (left.where(~few), rows)):
+        x, y = side(x, "x"), side(y, "y")
+        pairs = x.join(y, (x["band"] == y["band"]) & met)
+        found.append(pairs.select(F.least("x_rep", "y_rep").alias("a"), F.greatest("x_rep", "y_rep").alias("b")))
+    return found[0].unionByName(found[1]).distinct()
 
 
 def kept_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
