@@ -297,8 +297,10 @@ def _remaining_pairs(centred: DataFrame, central: DataFrame, part_of: DataFrame,
     rows = rows.join(part_of.withColumnRenamed("node", "rep"), "rep", "left")
     rows = rows.withColumn("component", F.coalesce("component", "rep"))
     rows = stage(_in_open_bands(rows).where("rep <> centre"), "open-bands")
+    bands = rows.groupBy("rep").agg(F.collect_set("band").alias("bands"))  # at most BANDS each
+    rows = rows.join(bands, "rep")
 
-    columns = ("rep", "n", "inner", "extra", "component", "distance")
+    columns = ("rep", "n", "inner", "extra", "component", "distance", "bands")
     side = lambda df, p: df.select("band", *[F.col(c).alias(f"{p}_{c}") for c in columns])
     # One of two components is not the band's smallest: its members meet the others.
     left = rows.where("component <> low")
@@ -311,7 +313,8 @@ def _remaining_pairs(centred: DataFrame, central: DataFrame, part_of: DataFrame,
     found = []
     for x, y in ((left.where(few & (F.col("extra") > 0)), rows.where("extra > 0")), (left.where(~few), rows)):
         x, y = side(x, "x"), side(y, "y")
-        pairs = x.join(y, (x["band"] == y["band"]) & met)
+        once = x["band"] == F.array_min(F.array_intersect("x_bands", "y_bands"))  # in the first band they share
+        pairs = x.join(y, (x["band"] == y["band"]) & met & once)
         found.append(pairs.select(F.least("x_rep", "y_rep").alias("a"), F.greatest("x_rep", "y_rep").alias("b")))
     return found[0].unionByName(found[1]).distinct()
 
