@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidedock import schemas
-from tidedock.functions.timefns import calendar_fields
+from tidedock.functions.timefns import calendar_fields, require_utc
 from tidedock.operators.ordered import keyed_windows
 
 LAGS = (1, 2, 3, 4)  # fixed values: 15 to 60 minutes
@@ -74,6 +74,8 @@ def add_rolling_features(df: DataFrame, window: int = WINDOW, **options) -> Data
 
 
 def add_temporal_features(df: DataFrame, time_col: str = "timestamp") -> DataFrame:
+    if dict(df.dtypes)[time_col] == "timestamp":
+        require_utc(df.sparkSession)
     return df.withColumns(calendar_fields(F.col(time_col)))
 
 
