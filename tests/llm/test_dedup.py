@@ -107,6 +107,27 @@ def test_exact_groups_edge_rows(spark):
     assert exact.exact_groups(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("support", [0.001, 0.3])
+def test_exact_keeps_different_texts_under_null_and_repeated_ids(spark, support):
+    rows = [(None, "one"), (None, "two"), (None, "t wo"), (7, "aaa"), (7, "bbb"), (7, "b bb"), (8, "a  aa"), (None, None), (9, "")]
+    df = cases.documents(spark, [t for _, t in rows], [i for i, _ in rows])
+    got = sorted(((r.doc_id or 0, r.text) for r in exact.kept_documents(df, support).collect()))
+    assert got == [(0, "one"), (0, "t wo"), (7, "b bb"), (8, "a  aa"), (9, "")]
+
+
+def test_near_keeps_different_texts_under_null_and_repeated_ids(spark):
+    prose = lambda k: [f"{k}{i}" for i in range(60)]
+    text = lambda words: " ".join(words)
+    a, b, c, d = (prose(k) for k in "abcd")
+    rows = [(None, text(a)), (None, text(b)), (1, text([*a, "end"])), (2, text([*b, "end"])), (7, text(c)), (7, text(d)),
+            (8, text([*c, "end"])), (5, text([*d, "end"])), (None, text(a)), (None, ""), (7, "")]
+    df = cases.documents(spark, [t for _, t in rows], [i for i, _ in rows])
+    got = sorted(((r.doc_id or 0, r.text) for r in near.kept_documents(df).collect()))
+    assert got == sorted([(0, text(a)), (0, text(b)), (7, text(c)), (5, text([*d, "end"])), (0, ""), (7, "")])
+    component = {(r.doc_id, r.component_id, r.kept) for r in near.near_groups(df).where("n_shingles > 0").collect()}
+    assert component == {(None, None, True), (1, None, False), (2, None, False), (7, 7, True), (8, 7, False), (7, 5, False), (5, 5, True)}
+
+
 @pytest.mark.parametrize("support", [0.001, 0.3])
 def test_line_bitmaps_equal_brute_force(spark, support):
     rows = list(enumerate(cases.corpus(8)))

@@ -7,8 +7,9 @@ thousandth of all rows; their exact counts and winners are verified and broadcas
 any size), so rows of hot digests never shuffle. All others meet in windows over the digest, each of at
 most about a thousandth of the rows.
 
-Rows that repeat one ``doc_id`` with equal text are one document and share its verdict. An empty table gives
-an empty result.
+Rows that repeat one ``doc_id`` with equal text are one document and share its verdict; of the documents that stay each
+gives one row, its longest. Rows that share an id, or have none, with different texts are different documents. An empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,9 +23,17 @@ from tidedock.llm.tables import SPACES, keep_once, stage, text_or_empty, without
 SUPPORT = 0.001
 
 
+def _size() -> Column:
+    return F.length(text_or_empty())
+
+
+def _plain() -> Column:
+    return without(text_or_empty(), SPACES)
+
+
 def digests(docs: DataFrame) -> DataFrame:
     """One narrow row per row of ``docs``."""
-    plain = docs.select("doc_id", F.length(text_or_empty()).alias("size"), without(text_or_empty(), SPACES).alias("_t"))
+    plain = docs.select("doc_id", _size().alias("size"), _plain().alias("_t"))
     return plain.select(
         "doc_id", "size", F.sha2("_t", 256).alias("text_sha256"), F.xxhash64("_t").alias("check")
     )
@@ -63,8 +72,8 @@ def heavy_winners(rows: DataFrame, support: float = SUPPORT) -> DataFrame:
     return exact.where("low = high AND group_size > 1").select("text_sha256", "best", "group_size")
 
 
-def exact_groups(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
-    """doc_id, keep_id, group_size, kept, text_sha256 for every row of ``docs``."""
+def _judged(docs: DataFrame, support: float) -> DataFrame:
+    """Digests of every row of ``docs`` with the ``best`` and ``group_size`` of its group."""
     rows = stage(digests(docs), "digests")
     winners = stage(heavy_winners(rows, support), "heavy-digests")
     hot = rows.join(F.broadcast(winners), "text_sha256")
@@ -72,10 +81,16 @@ def exact_groups(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
     rest = rows.join(F.broadcast(winners), "text_sha256", "left_anti").withColumns(
         {"best": F.max(_best()).over(same), "group_size": F.count(F.lit(1)).over(same)}
     )
-    return _verdict(hot).unionByName(_verdict(rest))
+    return hot.unionByName(rest)
+
+
+def exact_groups(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
+    """doc_id, keep_id, group_size, kept, text_sha256 for every row of ``docs``."""
+    return _verdict(_judged(docs, support))
 
 
 def kept_documents(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
     """The rows that stay, with the columns they came with; a document given twice stays once."""
-    kept = exact_groups(docs, support).where("kept").select("doc_id")
-    return keep_once(docs, kept)
+    kept = _judged(docs, support).where(_best().eqNullSafe(F.col("best"))).select("doc_id", "size", "text_sha256")
+    identity = {"doc_id": F.col("doc_id"), "size": _size(), "text_sha256": F.sha2(_plain(), 256)}
+    return keep_once(docs, kept, identity)

@@ -7,7 +7,7 @@ Jaccard similarity of at least ``percent`` / 100; groups are the connected compo
 1. A sketch of ``COORDINATES`` values per document. In round ``i`` every shingle is thrown into one bin with the
    value (i, hash); a bin keeps its least value. Rounds go on until all bins are full; from round t on,
    round ``t + j`` throws every shingle into bin ``j``, so all bins fill at the latest after 2t rounds. Documents with
-   equal sets form a class; only its smallest id goes on, so exact copies never meet.
+   equal sets form a class; only its first document goes on, so exact copies never meet.
 2. Bands of the sketch: classes that share a band are candidates. Each band links its members to its smallest
    member only (a star, found by a map-side combined minimum and a join that can split hot bands).
 3. Candidates are verified on the full sets of 64-bit shingle hashes.
@@ -20,8 +20,10 @@ Jaccard similarity of at least ``percent`` / 100; groups are the connected compo
 
 With 32 bands of 4 coordinates, a pair with similarity 0.75 is no candidate with probability 5e-6.
 
-Null and empty texts have the empty set, no links, and are kept. Rows with equal ids are one node; their
-``component_id`` is common. A null id counts as -2**63 in comparisons and is returned as null.
+Null and empty texts have the empty set, no links, and are kept. A document is an id with a text: rows with equal ids, or
+without one, are told apart by their texts, also in ``kept``. Nodes are numbers of the classes; a component is named by its
+first document, the smallest id and of equal ids the smallest digest of the text. A null id counts as -2**63 in comparisons
+and is returned as null.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidedock.llm.components import connected_components
-from tidedock.llm.tables import keep_once, stage
+from tidedock.llm.tables import keep_once, stage, text_or_empty
 from tidedock.llm.textbytes import batches_of, flat, mix, word_hashes
 
 SHINGLE = 5
@@ -115,8 +117,18 @@ def band_keys(sketch: np.ndarray) -> np.ndarray:
     return key
 
 
+def _identity() -> dict[str, Column]:
+    """What tells documents apart: id and text."""
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID))
+    return {"doc": doc, "text_sha256": F.unhex(F.sha2(text_or_empty(), 256))}
+
+
+def _documents(docs: DataFrame) -> DataFrame:
+    return docs.select(*[e.alias(c) for c, e in _identity().items()], "text")
+
+
 def features(docs: DataFrame) -> DataFrame:
-    """(doc, n_shingles, digest of the set, bands) for every row."""
+    """(doc, text_sha256, n_shingles, digest of the set, bands) for every row."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -127,31 +139,32 @@ def features(docs: DataFrame) -> DataFrame:
                 digest = [hashlib.md5(h[a:b].tobytes()).digest() if b > a else None for a, b in zip(begin[:-1], begin[1:])]
                 bands = pa.ListArray.from_arrays(np.arange(0, keys.size + 1, BANDS, dtype=np.int32), pa.array(keys.ravel()))
                 yield pa.record_batch(
-                    [part.column("doc"), pa.array(size, pa.int64()), pa.array(digest, pa.binary()), bands],
-                    names=["doc", "n_shingles", "digest", "bands"],
+                    [part.column("doc"), part.column("text_sha256"), pa.array(size, pa.int64()), pa.array(digest, pa.binary()), bands],
+                    names=["doc", "text_sha256", "n_shingles", "digest", "bands"],
                 )
 
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("doc"), "text")
-    return rows.mapInArrow(sketch, "doc long, n_shingles long, digest binary, bands array<long>")
+    return _documents(docs).mapInArrow(
+        sketch, "doc long, text_sha256 binary, n_shingles long, digest binary, bands array<long>"
+    )
 
 
 def _sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Full sets of the documents named by ``ids`` (doc, digest), one row each."""
+    """Full sets of the documents named by ``ids`` (doc, text_sha256, rep), one row (rep, shingles) each."""
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in batches_of(batch, "text", 1 << 22):
                 h, begin = shingle_sets(*flat(part.column("text")))
                 sets = [h[a:b].tobytes() for a, b in zip(begin[:-1], begin[1:])]
-                # Of rows with one id, those with the set that was sketched.
-                wanted = part.column("digest").to_pylist()
-                right = [hashlib.md5(s).digest() == d for s, d in zip(sets, wanted)]
-                yield pa.record_batch([part.column("doc"), pa.array(sets, pa.binary())], names=["doc", "shingles"]).filter(
-                    pa.array(right, pa.bool_())
-                )
+                yield pa.record_batch([part.column("rep"), pa.array(sets, pa.binary())], names=["doc", "shingles"])
 
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("doc"), "text")
-    return rows.join(ids, "doc").mapInArrow(collect, "doc long, shingles binary")
+    rows = _documents(docs).join(ids, ["doc", "text_sha256"]).select("rep", "text")
+    sets = stage(rows.mapInArrow(collect, "doc long, shingles binary"), "sets")
+    several = stage(sets.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc"), "repeated-rows")
+    if several.isEmpty():
+        return sets
+    once = sets.join(several, "doc", "left_semi").groupBy("doc").agg(F.first("shingles").alias("shingles"))
+    return stage(sets.join(several, "doc", "left_anti").unionByName(once), "sets")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -178,22 +191,22 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.mapInArrow(compare, "a long, b long, both long, either long")
 
 
-def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``."""
+def _judged(docs: DataFrame, percent: int) -> DataFrame:
+    """(doc, text_sha256, n_shingles, component, kept) for every row of ``docs``."""
     rows = stage(features(docs), "sketches")
     classes = rows.where("n_shingles > 0").groupBy("digest").agg(
-        F.min("doc").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")
+        F.min(F.struct("doc", "text_sha256")).alias("first"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")
     )
-    classes = stage(classes, "classes")
+    # Written, so the numbers stay what they are.
+    classes = stage(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
     members = classes.select("rep", "n", F.explode("bands").alias("band"))
     pivots = members.groupBy("band").agg(F.min("rep").alias("pivot"), F.count(F.lit(1)).alias("size"))
     pivots = pivots.where("size > 1").drop("size")
     # Bands with one member are gone here; of the others every member, the pivot included.
     banded = stage(members.join(pivots, "band"), "bands")
 
-    ids = classes.select(F.col("rep").alias("doc"), "digest")
-    wanted = banded.select(F.col("rep").alias("doc")).distinct()
-    sets = stage(_sets_of(docs, ids.join(wanted, "doc", "left_semi")), "sets")
+    ids = classes.select("first.doc", "first.text_sha256", "rep")
+    sets = _sets_of(docs, ids.join(banded.select("rep").distinct(), "rep", "left_semi"))
 
     fits = F.expr(f"100 * least(n, pivot_n) >= {percent} * greatest(n, pivot_n)")
     sizes = classes.select(F.col("rep").alias("pivot"), F.col("n").alias("pivot_n"))
@@ -218,16 +231,24 @@ def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         links = stage(links.unionByName(more.where(linked).select("a", "b")), "links")
         part_of = stage(connected_components(links), "components")
 
-    of_class = classes.select("digest", "rep").join(part_of.withColumnRenamed("node", "rep"), "rep", "left")
-    of_class = of_class.select("digest", F.coalesce("component", "rep").alias("component"))
-    joined = rows.select("doc", "n_shingles", "digest").join(of_class, "digest", "left")
-    component = F.coalesce("component", "doc")
-    result = joined.select("doc", "n_shingles", component.alias("component"))
-    return result.select(
+    # A component's first document names it; classes without links name themselves.
+    nodes = part_of.withColumnRenamed("node", "rep")
+    names = classes.select("rep", "first").join(nodes, "rep").groupBy("component").agg(F.min("first").alias("name"))
+    named = classes.select("rep", "digest", "first").join(nodes.join(names, "component").drop("component"), "rep", "left")
+    of_class = named.select("digest", F.coalesce("name", "first").alias("name"))
+    joined = rows.select("doc", "text_sha256", "n_shingles", "digest").join(of_class, "digest", "left")
+    own = F.struct("doc", "text_sha256")
+    name = F.coalesce("name", own)
+    return joined.select("doc", "text_sha256", "n_shingles", name["doc"].alias("component"), (own == name).alias("kept"))
+
+
+def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``."""
+    return _judged(docs, percent).select(
         F.when(F.col("doc") != _NULL_ID, F.col("doc")).alias("doc_id"),
         "n_shingles",
         F.when(F.col("component") != _NULL_ID, F.col("component")).alias("component_id"),
-        (F.col("doc") == F.col("component")).alias("kept"),
+        "kept",
     )
 
 
@@ -321,5 +342,5 @@ def _remaining_pairs(centred: DataFrame, central: DataFrame, part_of: DataFrame,
 
 def kept_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One document per group (the smallest id) and all documents without a group, with their own columns."""
-    kept = near_groups(docs, percent).where("kept").select("doc_id")
-    return keep_once(docs, kept)
+    kept = _judged(docs, percent).where("kept").select("doc", "text_sha256")
+    return keep_once(docs, kept, _identity())

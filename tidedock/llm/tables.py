@@ -64,15 +64,19 @@ def crc_fold(parts: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % parts
 
 
-def keep_once(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose ``doc_id`` is in ``kept``; ids that ``kept`` names twice give one row.
+def keep_once(docs: DataFrame, kept: DataFrame, identity: dict[str, Column]) -> DataFrame:
+    """Rows of ``docs`` whose identity is in ``kept``; identities that ``kept`` names twice give one row.
 
-    Only rows of repeated ids are grouped, so the others pass through one join. Of rows that share an id, one
-    with the longest text stays.
+    ``identity`` has expressions over ``docs`` by the names of their columns in ``kept``; nulls are equal. Only rows of
+    repeated identities are grouped, so the others pass through one join. Of rows that share an identity, one with the
+    longest text stays.
     """
-    ids = kept.groupBy(F.col("doc_id").alias("_id")).agg((F.count(F.lit(1)) > 1).alias("_repeated"))
-    rows = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")))
+    names = [f"_kept_{c}" for c in identity]
+    ids = kept.groupBy(*[F.col(c).alias(n) for c, n in zip(identity, names)]).agg((F.count(F.lit(1)) > 1).alias("_repeated"))
+    own = docs.withColumns({f"_own_{c}": e for c, e in identity.items()})
+    same = [F.col(f"_own_{c}").eqNullSafe(F.col(n)) for c, n in zip(identity, names)]
+    rows = own.join(ids, same)
     single = rows.where(~F.col("_repeated")).select(*docs.columns)
     order = F.struct(F.length(text_or_empty()), "text", F.struct(*[c for c in docs.columns if c != "text"]))
-    several = rows.where("_repeated").groupBy("_id").agg(F.max_by(F.struct(*docs.columns), order).alias("_r"))
+    several = rows.where("_repeated").groupBy(*names).agg(F.max_by(F.struct(*docs.columns), order).alias("_r"))
     return single.unionByName(several.select("_r.*"))
