@@ -34,7 +34,7 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their places in sequences."""
-    return packing.pack(docs)
+    return packing.pack(docs, plain=False)
 
 
 STAGES = [

@@ -4,12 +4,13 @@ import zlib
 from collections import Counter
 
 import cases
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from tidedock.llm import language, packing, quality, subwords, toxicity, urls
+from tidedock.llm import language, packing, quality, queries, subwords, toxicity, urls
 
 
 def test_quality_counts_equal_brute_force(spark):
@@ -82,6 +83,23 @@ def test_word_ids_equal_the_tokenizer():
         assert got == _ids(texts)
 
 
+def test_added_tokens_are_one_id_as_loaded(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(packing.TOKENIZER)
+    tokenizer = Tokenizer.from_file(path)
+    texts = ["a <|endoftext|> b", "it<|startoftext|>'s", "<|endoftext|><|startoftext|>s.", "ΑΣ<|endoftext|>Σ", "<|ENDOFTEXT|> <|end of", *ODD]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[0] == [320, 49407, 321]
+    got = packing.WordIds(path, plain=False).encode(texts)
+    assert [np.frombuffer(b, "<u4").tolist() for b in got] == want
+    docs = cases.documents(spark, texts)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    sums = {i: zlib.crc32(np.array(x + [0], "<u4").tobytes()) for i, x in enumerate(want)}
+    for rows in (queries.best_fit_packing(spark, str(tmp_path)), corpus_pipeline.packing_stage(spark, docs, "")):
+        assert {r.doc_id: r.ids_crc32 for r in rows.collect()} == sums
+
+
 def test_pack_is_gapless_and_exact(spark):
     texts = cases.corpus(11) + ODD + ["word " * 1500]
     rows = packing.pack(cases.documents(spark, texts).repartition(4), capacity=256).collect()

@@ -50,13 +50,16 @@ class WordIds:
     The tokenizer never joins across white space, so a text's ids are those of its words in a row. A word of letters
     with punctuation behind it is the two in a row as well, and case is dropped. Known words are kept in two
     generations of at most ``limit`` each; the older is forgotten when the younger is full.
+
+    With ``plain`` the tokenizer's added tokens are text like any other; without, as the tokenizer does when loaded, each is one
+    id wherever it occurs. They hold no white space, so an occurrence lies in one word.
     """
 
-    def __init__(self, path: str, limit: int = 400_000) -> None:
+    def __init__(self, path: str, limit: int = 400_000, plain: bool = True) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = plain
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, number in self.tokenizer.get_vocab().items():
             self.ends[number] = token.endswith("</w>")
@@ -126,25 +129,25 @@ class WordIds:
             yield b"".join([known[w] for w in words])
 
 
-_encoders: dict[str, WordIds] = {}
+_encoders: dict[tuple[str, bool], WordIds] = {}
 
 
-def _encoder(path: str | None) -> WordIds:
+def _encoder(path: str | None, plain: bool) -> WordIds:
     """One per Python worker, so that words known from earlier tasks are not encoded again."""
     if path is None:
         import public_tokenizers
 
         path = public_tokenizers.path(TOKENIZER)
-    if path not in _encoders:
-        _encoders[path] = WordIds(path)
-    return _encoders[path]
+    if (path, plain) not in _encoders:
+        _encoders[path, plain] = WordIds(path, plain=plain)
+    return _encoders[path, plain]
 
 
-def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None) -> DataFrame:
-    """Pieces of at most ``capacity`` ids; ``tokenizer`` is a file that every executor has."""
+def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None, plain: bool = True) -> DataFrame:
+    """Pieces of at most ``capacity`` ids; ``tokenizer`` is a file that every executor has, ``plain`` as in `WordIds`."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(tokenizer)
+        encoder = _encoder(tokenizer, plain)
         end = END_ID.to_bytes(4, "little")
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
@@ -298,10 +301,10 @@ def placements(packed: list[tuple[tuple[int, ...], int]]) -> dict[str, np.ndarra
 
 
 def pack(
-    docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None, salts: int = 64
+    docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None, salts: int = 64, plain: bool = True
 ) -> DataFrame:
     """One row per piece with its ``sequence_id`` and ``offset``."""
-    table = stage(pieces(docs, capacity, tokenizer), "pieces")
+    table = stage(pieces(docs, capacity, tokenizer, plain), "pieces")
     salt = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)).cast("int")
     table = table.withColumn("salt", salt)
     counts = table.groupBy("length", "salt").count().collect()  # at most capacity * salts rows

@@ -14,7 +14,7 @@ _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxy
 
 @query("op1_best_fit_packing")
 def best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
-    return packing.pack(read(spark, sf, "documents"))
+    return packing.pack(read(spark, sf, "documents"), plain=False)
 
 
 @query("op2_sentencepiece")
