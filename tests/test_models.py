@@ -66,6 +66,20 @@ def test_boosted_models_and_importance(splits, tmp_path):
     assert _mae(again) == pytest.approx(_mae(scored))
 
 
+def test_boosting_has_the_rounds_of_the_source_and_ends_by_patience(splits, monkeypatch):
+    assert all(p["maxIter"] == 1000 and p["stepSize"] == 0.05 for p in models.PRESETS.values()) and models.PATIENCE == 50
+    train, val = _part(splits, "train"), _part(splits, "val")
+    whole = models.fit_boosted(train, val, maxIter=24, maxDepth=2, patience=6, stepSize=0.3)
+    fits = []
+    init = models.GBTRegressor.__init__
+    monkeypatch.setattr(models.GBTRegressor, "__init__", lambda self, **p: (fits.append(p["maxIter"]), init(self, **p))[1])
+    monkeypatch.setattr(models, "FIRST_ROUNDS", 3)
+    staged = models.fit_boosted(train, val, maxIter=24, maxDepth=2, patience=6, stepSize=0.3)
+    assert fits[:3] == [3, 6, 12] and max(fits) <= 24
+    assert staged.stages[-1].getNumTrees == whole.stages[-1].getNumTrees
+    assert staged.stages[-1].toDebugString.split("\n")[1:] == whole.stages[-1].toDebugString.split("\n")[1:]
+
+
 def test_permutation_importance_ranks_current_value_first(splits):
     model = models.fit_linear(_part(splits, "train"))
     rows = models.permutation_importance(model, _part(splits, "test"), block_rows=50).collect()

@@ -18,11 +18,13 @@ from tidedock.functions.labels import clamp_prediction
 from tidedock.functions.timefns import interval
 from tidedock.operators.curate import newest_rows
 from tidedock.operators.metrics import regression_metrics
-from tidedock.staging import stage
+from tidedock.staging import stage, staging_dir
 
 # Boosting defaults. A leaf count has no counterpart here and becomes a depth.
-BOOSTING = {"stepSize": 0.05, "maxIter": 100, "seed": 42}
+BOOSTING = {"stepSize": 0.05, "maxIter": 1000, "seed": 42}
 PATIENCE = 50
+#: Rounds of the first fit with a validation frame; each further fit has twice as many, up to ``maxIter``.
+FIRST_ROUNDS = 100
 PRESETS = {
     "lgbm": {**BOOSTING, "maxDepth": math.ceil(math.log2(31)), "maxBins": 64},
     "xgb": {**BOOSTING, "maxDepth": 6, "maxBins": 32},
@@ -70,7 +72,8 @@ def fit_boosted(
 
     With a validation frame the error after every round is measured there (mean absolute error). Boosting
     counts as ended once ``patience`` rounds in a row have not improved it, and the model of the best round is returned:
-    rounds build on each other, so a second fit with that many rounds is the same model without the later trees.
+    rounds build on each other, so a second fit with that many rounds is the same model without the later trees. For the
+    same reason fits start with ``FIRST_ROUNDS`` and double until boosting has ended, so an early end saves the later rounds.
     """
     params = {**PRESETS[preset], **overrides}
     stop_early = preset == "lgbm" if stop_early is None else stop_early
@@ -81,12 +84,19 @@ def fit_boosted(
         trees = GBTRegressor(labelCol=schemas.TARGET_COL, lossType="squared", **{**params, "maxIter": rounds})
         return Pipeline(stages=[_assembler(), trees]).fit(rows)
 
-    model = fit(params["maxIter"])
+    context = train.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:  # else the lineage of all rounds is sent with every task
+        context.setCheckpointDir(staging_dir(train.sparkSession))
     if val is None or not stop_early:
-        return model
-    errors = model.stages[-1].evaluateEachIteration(_assembler().transform(_numeric(val.select(*cols))), "absolute")
-    rounds = best_round(errors, patience)
-    return model if rounds == params["maxIter"] else fit(rounds)
+        return fit(params["maxIter"])
+    held = _assembler().transform(_numeric(val.select(*cols)))
+    rounds = min(FIRST_ROUNDS, params["maxIter"])
+    while True:
+        model = fit(rounds)
+        best = best_round(model.stages[-1].evaluateEachIteration(held, "absolute"), patience)
+        if rounds - best >= patience or rounds == params["maxIter"]:
+            return model if best == rounds else fit(best)
+        rounds = min(2 * rounds, params["maxIter"])
 
 
 def best_round(errors: list[float], patience: int) -> int:
@@ -167,7 +177,7 @@ def boosting_params(drawn: dict[str, float]) -> dict[str, object]:
     }
 
 
-def tune_boosted(train: DataFrame, val: DataFrame, n_trials: int = 50, seed: int = 42, max_iter: int = 100) -> DataFrame:
+def tune_boosted(train: DataFrame, val: DataFrame, n_trials: int = 50, seed: int = 42, max_iter: int = BOOSTING["maxIter"]) -> DataFrame:
     """One row per trial with its parameters and MAE on the temporal validation rows, best first.
 
     Each trial is a distributed fit over the same written train and validation tables.
