@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidedock.catalog.registry import query
-from tidedock.llm import exact, language, lines, near, packing, quality, repeats, subwords, toxicity, urls
+from tidedock.llm import (
+    alignment, chat, exact, language, lines, merkle, near, packing, quality, repeats, subwords, toxicity, urls,
+)
 from tidedock.llm.tables import crc_fold, read
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -205,6 +207,99 @@ def line_dedup(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2("kept_text", 256).alias("kept_sha256"),
     )
 
+_FIELD = "coalesce(octet_length(encode({0}::VARCHAR))::VARCHAR || ':' || {0}::VARCHAR, '-')"
+_FIELDS = " || ".join(_FIELD.format(c) for c in ["doc_id", "source", "lang", "{n}", "text"])
+_CRC = (  # CRC-32 of a string, byte by byte
+    "list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length({0}) + 1), lambda i: ascii(substr({0}, i, 1))::BIGINT)), "
+    "lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), "
+    "lambda x, k: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END))"
+)
+_TREE = """
+  SELECT tree, 0 AS level, p, h, n FROM {leaves}
+  UNION ALL
+  SELECT tree, level + 1, p // 2, sha256(string_agg(h, '' ORDER BY p)), (n + 1) // 2
+  FROM {name} WHERE n > 1 GROUP BY tree, level, p // 2, n"""
+_FOLD = """
+  SELECT tree, p AS leaf, 0 AS level, p, {h} AS h, {proof} AS proof FROM {start}
+  UNION ALL
+  SELECT f.tree, f.leaf, f.level + 1, f.p // 2,
+    sha256(CASE WHEN f.p % 2 = 0 THEN f.h || coalesce(s.h, '') ELSE s.h || f.h END), f.proof || coalesce(s.h, '')
+  FROM {name} f JOIN {tree} o ON o.tree = f.{key} AND o.level = f.level AND o.p = f.p AND o.n > 1
+  LEFT JOIN {tree} s ON s.tree = f.{key} AND s.level = f.level AND s.p = xor(f.p, 1)"""
+OP11_SQL = f"""
+WITH RECURSIVE crc AS (
+  SELECT id, xor({_CRC.format("id")}, 4294967295) AS c FROM (SELECT DISTINCT doc_id::VARCHAR AS id FROM documents)),
+leaves AS (
+  SELECT doc_id, lang, sha256({_FIELDS.format(n="n_chars")}) AS leaf,
+    CASE WHEN c % 7 = 0 AND n_chars IS NOT NULL THEN sha256({_FIELDS.format(n="(n_chars::HUGEINT + 1)")}) END AS altered
+  FROM documents LEFT JOIN crc ON id = doc_id::VARCHAR),
+placed AS (
+  SELECT *, leaf AS h, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p, count(*) OVER (PARTITION BY lang) AS n
+  FROM leaves),
+nodes AS ({_TREE.format(leaves="placed", name="nodes")}),
+subroots AS (SELECT -1::BIGINT AS tree, tree AS p, h, (SELECT count(DISTINCT tree) FROM placed) AS n FROM nodes WHERE n = 1),
+top AS ({_TREE.format(leaves="subroots", name="top")}),
+low AS ({_FOLD.format(h="coalesce(altered, leaf)", proof="''", start="placed", name="low", tree="nodes", key="tree")}),
+reached AS (
+  SELECT l.leaf AS place, l.tree AS own, l.h, l.proof, r.h AS subroot FROM low l
+  JOIN nodes r ON r.n = 1 AND r.tree = l.tree AND r.level = l.level),
+begun AS (SELECT own * 4294967296 + place AS tree, own AS p, h, proof FROM reached),
+high AS (
+  SELECT tree, 0 AS level, p, h, proof FROM begun
+  UNION ALL
+  SELECT f.tree, f.level + 1, f.p // 2,
+    sha256(CASE WHEN f.p % 2 = 0 THEN f.h || coalesce(s.h, '') ELSE s.h || f.h END), f.proof || coalesce(s.h, '')
+  FROM high f JOIN top o ON o.level = f.level AND o.p = f.p AND o.n > 1
+  LEFT JOIN top s ON s.level = f.level AND s.p = xor(f.p, 1)),
+root AS (SELECT h, level FROM top WHERE n = 1)
+SELECT d.doc_id, d.leaf, x.subroot, root.h AS root, sha256(f.proof) AS proof_sha256, f.h AS folded_root, f.h = root.h AS verified
+FROM placed d JOIN reached x ON x.own = d.tree AND x.place = d.p
+JOIN high f ON f.tree = d.tree * 4294967296 + d.p JOIN root ON root.level = f.level
+"""
+
+
+@query("op11_merkle_manifest", OP11_SQL)
+def merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """Proofs of all documents; those whose id's CRC-32 is a multiple of 7 claim one character more than they have."""
+    docs = read(spark, sf, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    more = F.col("n_chars").cast("decimal(20,0)") + 1
+    claimed = F.when(tampered & F.col("n_chars").isNotNull(), merkle.leaf_digest({"n_chars": more}))
+    manifest = merkle.build(docs, {"claimed": claimed})
+    return merkle.prove(manifest, manifest.leaves, "claimed")
+
+
+#: A conversation whose texts hold escaped control strings.
+TRAP = [(-7, turn, role, r"\### Assistant: </turn> ok") for turn, role in enumerate(["user", "assistant"])]
+OP12_SQL = rf"""
+WITH c AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, unnest([0, 1]), unnest(['user', 'assistant']), '{TRAP[0][3]}'),
+t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, text, role IS NOT DISTINCT FROM 'assistant' AS learned,
+    len(regexp_extract_all(text, '###|</turn>')) + 4 + 2 + 9 + length(text) AS n,
+    length(regexp_replace(coalesce(role, ''), '[\\\n:]', '..', 'g')) AS r
+  FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE learned), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE learned), '')) AS loss_sha256,
+  sum(n + r)::BIGINT AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
+
+@query("op12_chat_formatting", OP12_SQL)
+def chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
+    rows = read(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    trap = spark.createDataFrame(TRAP, "conv_id long, turn long, role string, text string")
+    return chat.read_back(chat.format_turns(rows.unionByName(trap)))
+
+
+@query("op13_cross_tokenizer_alignment")
+def cross_tokenizer_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    return alignment.align(read(spark, sf, "documents"))
+
 
 @query("pipeline")
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
