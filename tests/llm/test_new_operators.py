@@ -3,6 +3,7 @@
 import hashlib
 import random
 import zlib
+from bisect import bisect_left
 from collections import Counter, defaultdict
 
 import cases
@@ -190,11 +191,11 @@ def _aligned(rows, tokenizers):
         if text and b"".join(p) == b"".join(q) == raw:
             ends = [np.cumsum([len(t) for t in s]).tolist() for s in (p, q)]
             cuts = sorted(set(ends[0]) & set(ends[1]))
-            begin = 0
-            for cut in cuts:
-                inside = [[i for i, e in zip(ids, es) if begin < e <= cut] for ids, es in zip((x, y), ends)]
-                found.append(inside)
-                begin = cut
+            at = [[bisect_left(cuts, e) for e in es] for es in ends]
+            found = [([], []) for _ in cuts]
+            for side, ids in enumerate((x, y)):
+                for token, k in zip(ids, at[side]):
+                    found[k][side].append(token)
         groups.append(found)
     links = [[(i, j) for p, q in g for i in p for j in q] for g in groups]
     documents = Counter(pair for found in links for pair in set(found))
@@ -214,7 +215,7 @@ def _aligned(rows, tokenizers):
 
 ODD = [
     "a\nb", " lead", "trail ", "two  spaces\t tab", "x▁y", "<s> <0x0A> </s> <|endoftext|>", "\n\n\n", "   ", " ", "a\r\nb\r\n {\r c", ";\r x", "don't we'll",
-    "日本語 テキスト。", "emoji 👩‍👩‍👧 ok", "nbsp\xa0here\u3000wide\u2028sep", "\x1c odd \x85", "\x00nul", "12345 67,8.9", "a" * 3000, "été\u0301 " * 30,
+    "日本語 テキスト。", "emoji 👩‍👩‍👧 ok", "nbsp\xa0here\u3000wide\u2028sep", "\x1c odd \x85", "\x00nul", "12345 67,8.9", "a" * 3000, "été\u0301 " * 30, "ab" * 1_500,
 ]
 
 
@@ -223,7 +224,7 @@ def test_alignment_equals_brute_force(spark, tokenizers):
     rows = list(enumerate(texts)) + [(3, "one"), (None, "no id at all"), (None, None)]
     df = spark.createDataFrame([(*r, "clash", {"m": 1}) for r in rows], "doc_id long, text string, pairs string, copies map<string,int>").repartition(6)
     want = _aligned(rows, tokenizers)
-    for heavy in [alignment.HEAVY_PAIRS, 1, 50]:
+    for heavy in [alignment.HEAVY_PAIRS, 5]:
         assert sorted([tuple(r) for r in alignment.align(df, heavy_pairs=heavy).collect()], key=str) == want
     assert alignment.align(df.limit(0)).count() == 0
     assert any(r[1] == 0 and r[0] is not None and texts[r[0]] for r in want)  # a text that does not come back
@@ -245,6 +246,19 @@ def tokenizers_once(tokenizers):
     return alignment.aligner(), tokenizers
 
 
+def test_links_of_large_groups_are_products():
+    ids = [np.array([5, 6, 5, 7]), np.array([1, 1, 2, 3, 3])]
+    tokens, before = [np.array([3, 1]), np.array([4, 1])], [np.array([0, 3]), np.array([0, 4])]
+    links, holder = tokens[0] * tokens[1], np.array([0, 0])
+    want = [x.tolist() for x in alignment.linked_pairs(ids, tokens, before, links, holder)]
+    before_limit, alignment.SMALL_GROUP = alignment.SMALL_GROUP, 2
+    try:
+        assert [x.tolist() for x in alignment.linked_pairs(ids, tokens, before, links, holder)] == want
+    finally:
+        alignment.SMALL_GROUP = before_limit
+    assert sum(want[2]) == 13
+
+
 def test_known_units_stay_bounded(monkeypatch):
     monkeypatch.setattr(alignment, "UNIT_BYTES", 1 << 20)
     tool = alignment.Aligner(public_tokenizers.path(alignment.BYTE_LEVEL), public_tokenizers.path(alignment.PIECES))

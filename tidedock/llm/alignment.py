@@ -25,9 +25,8 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from array import array
-from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +39,9 @@ from tidedock.llm.textbytes import batches_of
 BYTE_LEVEL, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 MARK = "▁"
 #: Bound of the units a worker knows, and of the text of one step, in bytes.
-UNIT_BYTES, STEP_BYTES = 32 << 20, 1 << 20
+UNIT_BYTES, STEP_BYTES = 64 << 20, 1 << 20
+#: Links of a group that are listed one by one.
+SMALL_GROUP = 1024
 #: A pair is broadcast if it is at least this part of all (text, pair) rows, so no more than this many are.
 HEAVY_PAIRS = 200_000
 #: A text is broadcast with its measures if it is at least this part of all documents.
@@ -69,16 +70,24 @@ class Aligner:
         self.a = Tokenizer.from_file(byte_level)
         self.a.encode_special_tokens = True
         byte = _byte_of_char()
-        self.a_bytes = {i: bytes([byte[c] for c in t]) for t, i in self.a.get_vocab().items() if all(c in byte for c in t)}
+        a_bytes = [b""] * self.a.get_vocab_size()
+        for entry, i in self.a.get_vocab().items():
+            if all(c in byte for c in entry):
+                a_bytes[i] = bytes([byte[c] for c in entry])
         self.b = SentencePieceProcessor(model_file=pieces)
-        self.b_bytes, texts = [], []
+        b_bytes, texts = [], []
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
             if self.b.is_byte(i):
-                self.b_bytes.append(bytes([int(piece[3:5], 16)]))
+                b_bytes.append(bytes([int(piece[3:5], 16)]))
             else:
-                self.b_bytes.append(piece.replace(MARK, " ").encode())
+                b_bytes.append(piece.replace(MARK, " ").encode())
                 texts.append(piece)
+        self.bytes_of = [np.array(t, object) for t in (a_bytes, b_bytes)]
+        self.length_of = [np.array([len(x) for x in t]) for t in (a_bytes, b_bytes)]
+        # Ids as text inside and at the end of their side of a group.
+        self.inner = [np.array([f"{i}," for i in range(len(t))], object) for t in (a_bytes, b_bytes)]
+        self.last = [np.array([f"{i}{end}" for i in range(len(t))], object) for t, end in ((a_bytes, "|"), (b_bytes, ";"))]
         self.mark = self.b.piece_to_id(MARK)
         joined = all(re.fullmatch(f"{MARK}*[^{MARK}]*", p) for p in texts)
         used = set("".join(texts))
@@ -91,13 +100,13 @@ class Aligner:
     def clear(self) -> None:
         self.known: dict[str, int] = {}
         self.groups: list[str] = []
-        self.sizes = [array("q") for _ in range(4)]  # tokens of A and B, groups, links; -1 tokens if bytes differ
-        self.first, self.pairs, self.times = array("q", [0]), array("q"), array("q")
+        self.sizes = np.zeros((4, 0), np.int64)  # tokens of A and B, groups, links; -1 tokens if bytes differ
+        self.first, self.pairs, self.times = np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.bytes = 0
 
     def tokens(self, units: list[str]) -> Iterator[tuple[list[int], list[int]]]:
         """Ids of both tokenizers for units, which begin with white space."""
-        a = [e.ids for e in self.a.encode_batch(units, add_special_tokens=False)]
+        a = [e.ids for e in self.a.encode_batch_fast(units, add_special_tokens=False)]
         # The model adds a space of its own.
         b = self.b.encode([u[1:] if u[0] == " " else u for u in units], num_threads=1)
         for unit, x, y in zip(units, a, b):
@@ -108,25 +117,60 @@ class Aligner:
             yield x, y
 
     def _learn(self, units: list[str]) -> None:
-        for unit, (x, y) in zip(units, self.tokens(units)):
-            left = [self.a_bytes.get(i, b"") for i in x]
-            right = [self.b_bytes[i] for i in y]
-            self.known[unit] = len(self.groups)
-            raw = unit.encode()
-            if b"".join(left) != raw or b"".join(right) != raw:
-                found, counts, sizes = "", {}, (-1, 0, 0, 0)
-            else:
-                groups = list(aligned_groups(x, y, [len(t) for t in left], [len(t) for t in right]))
-                found = ";".join([f"{','.join(map(str, p))}|{','.join(map(str, q))}" for p, q in groups])
-                sizes = (len(x), len(y), len(groups), sum(len(p) * len(q) for p, q in groups))
-                counts = linked_pairs(groups)
-            self.groups.append(found)
-            for column, n in zip(self.sizes, sizes):
-                column.append(n)
-            self.pairs.extend(counts.keys())
-            self.times.extend(counts.values())
-            self.first.append(len(self.pairs))
-            self.bytes += 300 + 4 * len(unit) + 2 * len(found) + 16 * len(counts)
+        """Adds units: their sizes, groups as text, and distinct pairs with their numbers of links."""
+        found = list(zip(*self.tokens(units)))
+        raws = [u.encode() for u in units]
+        kept = np.arange(len(units))
+        ids, owners = in_a_row(found, kept)
+        for same in (self._same_length, self._same_bytes):  # bytes in a row can be compared once lengths agree
+            fits = same([raws[i] for i in kept.tolist()], [np.searchsorted(kept, o) for o in owners], ids)
+            if not fits.all():
+                kept = kept[fits]
+                ids, owners = in_a_row(found, kept)
+        good = np.zeros(len(units), bool)
+        good[kept] = True
+        ends = [np.cumsum(self.length_of[side][ids[side]]) for side in (0, 1)]
+        cut = aligned_ends(*ends)
+        group = [np.cumsum(c) - c for c in cut]
+        n_groups = int(cut[0].sum())
+        tokens = [np.bincount(g, minlength=n_groups) for g in group]
+        before = [np.cumsum(t) - t for t in tokens]
+        links = tokens[0] * tokens[1]
+        holder = owners[0][cut[0]]
+        sizes = np.zeros((4, len(units)), np.int64)
+        sizes[0, ~good] = -1
+        for row, at, add in ((0, owners[0], 1), (1, owners[1], 1), (2, holder, 1), (3, holder, links)):
+            np.add.at(sizes[row], at, add)
+
+        place = [np.arange(len(ids[0])) + before[1][group[0]], np.arange(len(ids[1])) + (before[0] + tokens[0])[group[1]]]
+        words = np.empty(len(ids[0]) + len(ids[1]), object)
+        for side in (0, 1):
+            words[place[side]] = np.where(cut[side], self.last[side][ids[side]], self.inner[side][ids[side]])
+        words, stop = words.tolist(), np.cumsum(np.where(good, sizes[0] + sizes[1], 0)).tolist()
+        texts = ["".join(words[i:j])[:-1] for i, j in zip([0, *stop], stop)]
+
+        unit, pair, times = linked_pairs(ids, tokens, before, links, holder)
+        count = np.bincount(unit, minlength=len(units))
+        self.known.update(zip(units, range(len(self.groups), len(self.groups) + len(units))))
+        self.groups += texts
+        self.sizes = np.concatenate([self.sizes, sizes], 1)
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(count)])
+        self.pairs, self.times = np.concatenate([self.pairs, pair]), np.concatenate([self.times, times])
+        self.bytes += 250 * len(units) + sum(map(len, raws)) + sum(map(len, texts)) + 16 * len(pair)
+
+    def _same_length(self, raws: list[bytes], owners: list[np.ndarray], ids: list[np.ndarray]) -> np.ndarray:
+        total = [np.bincount(owners[side], self.length_of[side][ids[side]], len(raws)) for side in (0, 1)]
+        want = np.array([len(r) for r in raws])
+        return (total[0] == want) & (total[1] == want)
+
+    def _same_bytes(self, raws: list[bytes], owners: list[np.ndarray], ids: list[np.ndarray]) -> np.ndarray:
+        raw = np.frombuffer(b"".join(raws), np.uint8)
+        of_byte = np.repeat(np.arange(len(raws)), [len(r) for r in raws])
+        fits = np.ones(len(raws), bool)
+        for side in (0, 1):
+            data = np.frombuffer(b"".join(self.bytes_of[side][ids[side]].tolist()), np.uint8)
+            fits[of_byte[data != raw]] = False
+        return fits
 
     def align(self, texts: list[str]) -> tuple[list[tuple], np.ndarray, np.ndarray, np.ndarray]:
         """Measures of each text (n_a, n_b, n_groups, n_links, groups), and its distinct pairs: (owner, pair, times)."""
@@ -134,13 +178,13 @@ class Aligner:
             self.clear()
         split = [self.unit.findall(" " + t) for t in texts]
         new = [u for u in dict.fromkeys(u for units in split for u in units) if u not in self.known]
-        for i in range(0, len(new), 1000):
-            self._learn(new[i : i + 1000])
+        if new:
+            self._learn(new)
         known, groups = self.known, self.groups
         numbers = [[known[u] for u in units] for units in split]
         flat = np.array([n for ns in numbers for n in ns], np.int64)
         owner = np.repeat(np.arange(len(texts)), [len(ns) for ns in numbers])
-        sizes = [np.array(c, np.int64)[flat] for c in self.sizes]
+        sizes = self.sizes[:, flat]
         broken = np.bincount(owner, sizes[0] < 0, len(texts)) > 0
         sums = [np.bincount(owner, s, len(texts)).astype(np.int64) for s in sizes]
         rows = [
@@ -153,46 +197,58 @@ class Aligner:
         holder, unit = keys // width, keys % width
         whole = ~broken[holder]
         holder, unit, times = holder[whole], unit[whole], times[whole]
-        first = np.array(self.first, np.int64)
-        n = first[unit + 1] - first[unit]
-        at = np.repeat(first[unit] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        holder, times = np.repeat(holder, n), np.repeat(times, n) * np.array(self.times, np.int64)[at]
-        pair = np.array(self.pairs, np.int64)[at]
-        order = np.lexsort((pair, holder))
-        holder, pair, times = holder[order], pair[order], times[order]
-        fresh = np.ones(len(pair), bool)
-        fresh[1:] = (holder[1:] != holder[:-1]) | (pair[1:] != pair[:-1])
-        begin = np.flatnonzero(fresh)
-        return rows, holder[begin], pair[begin], np.add.reduceat(times, begin) if len(begin) else times
-
-
-def aligned_groups(a: list[int], b: list[int], a_bytes: list[int], b_bytes: list[int]) -> Iterator[tuple[list[int], list[int]]]:
-    """Ids of both sides between neighbouring byte offsets where tokens of both end."""
-    i = j = at_a = at_b = first_a = first_b = 0
-    while i < len(a) or j < len(b):
-        if at_a <= at_b and i < len(a):
-            at_a += a_bytes[i]
-            i += 1
-        else:
-            at_b += b_bytes[j]
-            j += 1
-        if at_a == at_b:
-            yield a[first_a:i], b[first_b:j]
-            first_a, first_b = i, j
-
-
-def linked_pairs(groups: list[tuple[list[int], list[int]]]) -> Counter:
-    """How many links each pair of ids has, as one number per pair (the first id in the upper half)."""
-    found: Counter = Counter()
-    for p, q in groups:
-        if len(p) == len(q) == 1:
-            found[p[0] << _SHIFT | q[0]] += 1
-        else:
-            right = Counter(q).items()
-            for x, m in Counter(p).items():
-                for y, n in right:
-                    found[x << _SHIFT | y] += m * n
-    return found
+        n = self.first[unit + 1] - self.first[unit]
+        at = np.repeat(self.first[unit] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        return rows, *summed(np.repeat(holder, n), self.pairs[at], np.repeat(times, n) * self.times[at])
+
+
+def in_a_row(found: list[tuple[list[int], ...]], kept: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Ids of the kept units of both sides in a row, and the unit of each."""
+    chosen = [[side[i] for i in kept.tolist()] for side in found]
+    ids = [np.fromiter(chain.from_iterable(lists), np.int64) for lists in chosen]
+    return ids, [np.repeat(kept, [len(x) for x in lists]) for lists in chosen]
+
+
+def summed(owner: np.ndarray, pair: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows in the order of owner and pair, equal ones as one with the sum of their times."""
+    order = np.lexsort((pair, owner))
+    owner, pair, times = owner[order], pair[order], times[order]
+    fresh = np.ones(len(pair), bool)
+    fresh[1:] = (owner[1:] != owner[:-1]) | (pair[1:] != pair[:-1])
+    begin = np.flatnonzero(fresh)
+    return owner[begin], pair[begin], np.add.reduceat(times, begin) if len(begin) else times
+
+
+def aligned_ends(a: np.ndarray, b: np.ndarray) -> list[np.ndarray]:
+    """For the ascending byte offsets where tokens of each side end: which are ends of tokens of the other side too."""
+    out = []
+    for x, y in ((a, b), (b, a)):
+        at = np.searchsorted(y, x)
+        out.append(np.append(y, -1)[at] == x)
+    return out
+
+
+def linked_pairs(
+    ids: list[np.ndarray], tokens: list[np.ndarray], before: list[np.ndarray], links: np.ndarray, holder: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs of ids with their numbers of links per holder; a pair is one number with the first id in the upper half.
+
+    ``tokens`` and ``before`` give the tokens of each group and those ahead of it on both sides. Links of small groups are
+    listed; those of larger ones are products of how often their ids occur.
+    """
+    small = links <= SMALL_GROUP
+    n = np.where(small, links, 0)
+    group = np.repeat(np.arange(len(links)), n)
+    k = np.arange(len(group)) - np.repeat(np.cumsum(n) - n, n)
+    left = ids[0][before[0][group] + k // tokens[1][group]]
+    right = ids[1][before[1][group] + k % tokens[1][group]]
+    parts = [(holder[group], left << _SHIFT | right, np.ones(len(group), np.int64))]
+    for g in np.flatnonzero(~small).tolist():
+        x, m = np.unique(ids[0][before[0][g] : before[0][g] + tokens[0][g]], return_counts=True)
+        y, n = np.unique(ids[1][before[1][g] : before[1][g] + tokens[1][g]], return_counts=True)
+        pair = (x[:, None] << _SHIFT | y).ravel()
+        parts.append((np.full(len(pair), holder[g]), pair, (m[:, None] * n).ravel()))
+    return summed(*[np.concatenate(c) for c in zip(*parts)])
 
 
 _aligners: dict[tuple[str, str], Aligner] = {}
