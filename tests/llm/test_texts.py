@@ -1,5 +1,6 @@
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -77,7 +78,7 @@ ODD = ["It's we'll 'S don'T", "ΟΔΟΣ Σ. ὈΔΥΣΣΕΎΣ", "a\x1cb\x1d c\u3
 
 def test_word_ids_equal_the_tokenizer():
     texts = cases.corpus(10) + ODD
-    encoder = packing.WordIds(public_tokenizers.path(packing.TOKENIZER), limit=40)
+    encoder = packing.WordIds(public_tokenizers.path(packing.TOKENIZER), limit=4_000)
     for _ in range(2):
         got = [np.frombuffer(b, "<u4").tolist() + [0] for b in encoder.encode(texts)]
         assert got == _ids(texts)
@@ -250,3 +251,67 @@ def test_toxicity_held_out_accuracy_and_edges(spark):
     unlabelled = toxicity.learn(df.select("doc_id", "text"), labels.limit(0))
     assert {r.score for r in toxicity.score(df, unlabelled).collect()} == {0.0}
     assert toxicity.score(df.limit(0), model).count() == 0
+
+
+def test_long_words_take_memory_by_length():
+    tool = subwords.lattice()
+    word = "a" * 400_000 + "é▁b" * 5
+    tracemalloc.start()
+    (ids,) = tool.encode([word])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200e6 and tool.decode(ids) == tool.model.normalize(word)[1:].replace("▁", " ")
+
+
+def test_word_caches_stay_bounded_in_bytes():
+    encoder = packing.WordIds(public_tokenizers.path(packing.TOKENIZER), limit=1 << 20)
+    for k in range(12):
+        list(encoder.encode([" ".join(f"w{k}x{i}{'q' * 45}" for i in range(2_000))]))
+        assert encoder.bytes < (1 << 20) + 2_000 * 600
+        assert len(encoder.young) + len(encoder.old) < 30_000
+
+
+def test_learning_rows_without_ids_are_bounded(spark):
+    from tidedock.llm.compression import bounded_sample
+
+    rows = spark.createDataFrame([(None, f"text {i}", "x") for i in range(2_000)] + [(1, "t", "y")], "doc_id long, text string, lang string")
+    counts = {r.lang: r["count"] for r in bounded_sample(rows, "lang", 50, 6).groupBy("lang").count().collect()}
+    assert counts == {"x": 50, "y": 1}
+
+
+def test_a_language_of_long_texts_only_is_learned(spark):
+    rng = random.Random(5)
+    prose = lambda stem, n: " ".join(f"{stem}{rng.choice('aeiou')}{rng.choice(stem)}" for _ in range(n))
+    rows = [(i, prose("brk", 9_000), "long") for i in range(6)] + [(50 + i, prose("zmt", 40), "short") for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = language.identify(docs, language.learn(docs)).collect()
+    assert {r.doc_id: r.lang_pred for r in found} == {i: lang for i, _, lang in rows}
+
+
+def test_host_of_many_labels(spark):
+    host = ".".join(["a"] * 20_000) + ".example.com"
+    pages = spark.createDataFrame([(1, f"http://{host}/en/"), (2, "http://com/")], "page_id long, url string")
+    rules = spark.createDataFrame(urls.RULES, "host string, path string, action string")
+    assert {r.page_id: r.rule for r in urls.filter_urls(pages, rules).collect()} == {1: "example.com/en/", 2: "com/"}
+
+
+def test_stages_keep_the_values_of_clashing_columns(spark):
+    prose = " ".join(f"the house{i} of man{i} was in street{i}." for i in range(12))
+    df = cases.documents(spark, [prose, prose + " ", prose, "junk"], [1, 2, -(2**63), 3])
+    df = df.withColumns({"kept": F.lit("clash"), "n_words": F.lit("mine"), "m": F.create_map(F.lit(1), F.lit("x"))})
+    df = df.unionByName(df)
+    for stage in (corpus_pipeline.quality_rules, corpus_pipeline.exact_dedup, corpus_pipeline.near_dedup):
+        df = stage(spark, df, "")
+        for r in df.collect():
+            assert (r.kept, r.n_words, r.m) == ("clash", "mine", {1: "x"})
+    assert [r.doc_id for r in df.collect()] == [2]
+
+
+def test_near_kept_goes_by_ids(spark):
+    from tidedock.llm import near
+
+    words = [f"w{i}" for i in range(60)]
+    df = cases.documents(spark, [" ".join(words), " ".join(["x", *words[1:]]), "other words here"], [7, 7, 8])
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in near.near_groups(df).collect())
+    assert got == [(7, 7, True), (7, 7, True), (8, 8, True)]
+    assert near.kept_documents(df).count() == 2

@@ -8,7 +8,7 @@ from collections import Counter
 from collections.abc import Iterable
 
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _MULTIPLIERS = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F)
@@ -66,14 +66,24 @@ def compressor(content: bytes, level: int) -> zstandard.ZstdCompressor:
 
 
 def hash_share(salt: int) -> Column:
-    """A number in [0, 1) that depends on the document's id only."""
-    return F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(1 << 30)) / float(1 << 30)
+    """A number in [0, 1) that depends on the document's id and text."""
+    return F.pmod(F.xxhash64("doc_id", "text", F.lit(salt)), F.lit(1 << 30)) / float(1 << 30)
+
+
+def passage(limit: int) -> Column:
+    """The text, or of a longer one ``limit`` characters from a place that its hash chooses."""
+    start = F.pmod(F.xxhash64("text"), F.length("text") - limit + 1) + 1
+    return F.when(F.length("text") <= limit, F.col("text")).otherwise(F.substring(F.col("text"), start.cast("int"), F.lit(limit)))
 
 
 def bounded_sample(rows: DataFrame, label: str, per_label: int, salt: int) -> DataFrame:
-    """About ``per_label`` rows of each label, all of a rarer one, chosen by a hash of the id."""
+    """``per_label`` rows of each label, all of a rarer one: those with the least hashes of id and text.
+
+    A first cut keeps a little more than that whatever the number of rows, so the ranks are of few rows.
+    """
     counts = {r[0]: r[1] for r in rows.groupBy(label).count().collect()}
     chosen = F.lit(False)
     for value, count in counts.items():
-        chosen = chosen | ((F.col(label) == F.lit(value)) & (hash_share(salt) < min(1.0, per_label / count)))
-    return rows.where(chosen)
+        chosen = chosen | ((F.col(label) == F.lit(value)) & (hash_share(salt) < min(1.0, (1.2 * per_label + 50) / count)))
+    order = Window.partitionBy(label).orderBy(hash_share(salt), "doc_id", "text")
+    return rows.where(chosen).withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= per_label).drop("_rank")

@@ -41,11 +41,11 @@ def digests(docs: DataFrame) -> DataFrame:
 
 def _best() -> Column:
     """Greatest for the row that stays; a null id loses."""
-    return F.struct("size", (-F.col("doc_id")).alias("minus_id"))
+    return F.struct("size", F.bitwise_not(F.col("doc_id").cast("long")).alias("inverse_id"))
 
 
 def _verdict(rows: DataFrame) -> DataFrame:
-    keep_id = -F.col("best.minus_id")
+    keep_id = F.bitwise_not(F.col("best.inverse_id"))
     return rows.select(
         "doc_id",
         keep_id.alias("keep_id"),

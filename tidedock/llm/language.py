@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidedock.llm.compression import bounded_sample, compressor, dictionary, distinct_texts, document_frequency, letters
+from tidedock.llm.compression import bounded_sample, compressor, dictionary, distinct_texts, document_frequency, letters, passage
 
 #: Documents per language that are learned from, and the longest of them in characters.
 SAMPLE_PER_LANGUAGE = 400
@@ -32,8 +32,8 @@ UNDETERMINED = "und"
 
 def learn(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> dict[str, bytes]:
     """Dictionaries from rows of (doc_id, text, lang); null texts and labels are left out."""
-    rows = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= SAMPLE_CHARS))
-    sample = bounded_sample(rows.select("doc_id", "text", "lang"), "lang", per_language, 6)
+    rows = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    sample = bounded_sample(rows.select("doc_id", passage(SAMPLE_CHARS).alias("text"), "lang"), "lang", per_language, 6)
     texts: dict[str, list[str]] = {}
     for row in sample.select("lang", "text").collect():  # bounded by languages x per_language x SAMPLE_CHARS
         texts.setdefault(row["lang"], []).append(letters(row["text"]))

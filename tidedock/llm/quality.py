@@ -133,8 +133,9 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = THRESHOLDS) -> DataFrame:
 def kept_documents(docs: DataFrame, rules: tuple[Rule, ...] = THRESHOLDS) -> DataFrame:
     """The rows that pass, with the columns they came with.
 
-    The row number keeps the filter above the counts: pushed below them it would repeat their expressions, the sorted windows
+    Counts are taken beside the row, so input columns of their names stay as they are. The row number keeps the filter above the counts: pushed below them it would repeat their expressions, the sorted windows
     inside a lambda among them, once per element.
     """
-    judged = judge(docs, rules).withColumn("_row", F.monotonically_increasing_id())
-    return judged.where("kept AND _row >= 0").select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("_input"), "text")
+    judged = judge(rows, rules).withColumn("_row", F.monotonically_increasing_id())
+    return judged.where("kept AND _row >= 0").select("_input.*")

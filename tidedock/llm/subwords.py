@@ -23,9 +23,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tidedock.llm.tables import cached_bytes
+from tidedock.llm.textbytes import batches_of
+
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
+#: Bytes of known words per generation, and of the texts of one step.
+CACHE_BYTES, STEP_BYTES = 16 << 20, 1 << 20
 
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
@@ -35,9 +40,9 @@ def _bytes(ids: list[int]) -> bytes:
 
 
 class Lattice:
-    """Pieces and scores of a model, and the ids of known words in two generations of at most ``limit`` each."""
+    """Pieces and scores of a model, and the ids of known words in two generations of about ``limit`` bytes each."""
 
-    def __init__(self, path: str, limit: int = 300_000) -> None:
+    def __init__(self, path: str, limit: int = CACHE_BYTES) -> None:
         from sentencepiece import SentencePieceProcessor
 
         self.model = SentencePieceProcessor(model_file=path)
@@ -66,6 +71,7 @@ class Lattice:
         self.limit = limit
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.bytes = 0
 
     def words(self, text: str) -> list[str]:
         marked = self.model.normalize(text)
@@ -78,9 +84,10 @@ class Lattice:
     def segment(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
         """Ids of the best pieces of each distinct word, in sorted order.
 
-        ``best`` and ``ids`` hold the forward score and the ids of every prefix of the word at hand.
+        ``best`` holds the forward score of every prefix of the word at hand, ``start`` and ``last`` where its last piece begins and
+        that piece's ids, so that memory follows the length of a word; the ids are traced back from its end.
         """
-        best, ids = [0.0], [b""]
+        best, start, last_ids = [0.0], [0], [b""]
         path = ""
         find, reach = self.score.get, self.reach.get
         for word in sorted(words):
@@ -89,7 +96,7 @@ class Lattice:
                 if a != b:
                     break
                 shared += 1
-            del best[shared + 1 :], ids[shared + 1 :]
+            del best[shared + 1 :], start[shared + 1 :], last_ids[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
                 char = word[end - 1]
                 top = None
@@ -104,21 +111,28 @@ class Lattice:
                     if top is None or score > top:
                         top, where, last = score, end - 1, _bytes(self._unknown(char))
                 best.append(top)
-                ids.append(ids[where] + last)
+                start.append(where)
+                last_ids.append(last)
             path = word
-            yield word, ids[-1]
+            pieces, at = [], len(word)
+            while at:
+                pieces.append(last_ids[at])
+                at = start[at]
+            yield word, b"".join(reversed(pieces))
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
         split = [self.words(t) if t else [] for t in texts]
-        if len(self.young) > self.limit:
-            self.old, self.young = self.young, {}
+        if self.bytes > self.limit:
+            self.old, self.young, self.bytes = self.young, {}, 0
+        before = len(self.young)
         unknown = {w for words in split for w in words} - self.young.keys()
         for word in list(unknown):
             if word in self.old:
                 self.young[word] = self.old[word]
                 unknown.discard(word)
         self.young.update(self.segment(list(unknown)))
+        self.bytes += cached_bytes(self.young, len(self.young) - before)
         known = self.young
         for words in split:
             yield b"".join([known[w] for w in words])
@@ -143,14 +157,13 @@ def lattice(path: str | None = None) -> Lattice:
     return _lattices[path]
 
 
-def encode(docs: DataFrame, model: str | None = None, batch_rows: int = 512) -> DataFrame:
+def encode(docs: DataFrame, model: str | None = None) -> DataFrame:
     """(doc_id, ids) with ids as little-endian unsigned 32-bit numbers; ``model`` is a file every executor has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = lattice(model)
         for batch in batches:
-            for at in range(0, batch.num_rows, batch_rows):
-                part = batch.slice(at, batch_rows)
+            for part in batches_of(batch, "text", STEP_BYTES):
                 ids = list(known.encode(part.column("text").to_pylist()))
                 yield pa.record_batch([part.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 

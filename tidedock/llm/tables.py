@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,6 +49,11 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def cached_bytes(words: dict[str, bytes], newest: int) -> int:
+    """About the memory of the newest entries of a word cache: keys, values and what an entry takes itself."""
+    return sum(170 + 2 * len(w) + len(words[w]) for w in islice(reversed(words), newest))
+
+
 def text_or_empty() -> Column:
     return F.coalesce(F.col("text"), F.lit(""))
 
@@ -77,6 +83,8 @@ def keep_once(docs: DataFrame, kept: DataFrame, identity: dict[str, Column]) ->
     same = [F.col(f"_own_{c}").eqNullSafe(F.col(n)) for c, n in zip(identity, names)]
     rows = own.join(ids, same)
     single = rows.where(~F.col("_repeated")).select(*docs.columns)
-    order = F.struct(F.length(text_or_empty()), "text", F.struct(*[c for c in docs.columns if c != "text"]))
+    # As JSON, so that columns without an order (maps) can take part.
+    rest = F.to_json(F.struct(*[c for c in docs.columns if c != "text"]))
+    order = F.struct(F.length(text_or_empty()), "text", rest)
     several = rows.where("_repeated").groupBy(*names).agg(F.max_by(F.struct(*docs.columns), order).alias("_r"))
     return single.unionByName(several.select("_r.*"))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidedock.llm.compression import bounded_sample, compressor, dictionary, distinct_texts, document_frequency, letters
+from tidedock.llm.compression import bounded_sample, compressor, dictionary, distinct_texts, document_frequency, letters, passage
 
 SAMPLE_TOXIC = 3_000
 SAMPLE_ORDINARY = 6_000
@@ -122,7 +122,7 @@ def calibrate(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0
 def learn(docs: DataFrame, labels: DataFrame) -> Model:
     """``docs`` (doc_id, text) and ``labels`` (doc_id, toxic), both only of rows that may be learned from."""
     marks = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    rows = docs.where(F.col("text").isNotNull() & (F.length("text") <= SAMPLE_CHARS)).select("doc_id", "text")
+    rows = docs.where(F.col("text").isNotNull()).select("doc_id", passage(SAMPLE_CHARS).alias("text"))
     rows = rows.join(marks, "doc_id").withColumn("toxic", (F.col("toxic") > 0).cast("int"))
     counts = {r[0]: r[1] for r in rows.groupBy("toxic").count().collect()}
     if not counts.get(0) or not counts.get(1):

@@ -39,13 +39,12 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
-def _suffixes(host: Column) -> Column:
-    """The host and all its parent domains."""
-    labels = F.split(host, r"\.")
-    whole = F.transform(
-        F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")
-    )
-    return F.when(host == "", F.array().cast("array<string>")).otherwise(whole)
+def _suffixes(host: Column, sizes: list[int]) -> Column:
+    """Those of the host and its parent domains that have as many labels as some rule's host."""
+    known = F.array(*[F.lit(n) for n in sizes]).cast("array<int>")
+    n_labels = F.length(host) - F.length(F.replace(host, F.lit("."), F.lit(""))) + 1
+    fitting = F.transform(F.filter(known, lambda n: n <= n_labels), lambda n: F.call_function("substring_index", host, F.lit("."), -n))
+    return F.when(host == "", F.array().cast("array<string>")).otherwise(fitting)
 
 
 def _prefixes(path: Column, lengths: list[int]) -> Column:
@@ -79,11 +78,13 @@ def filter_urls(pages: DataFrame, rules: DataFrame) -> DataFrame:
     count = table.count()
     # Distinct lengths, not rules: bounded by the longest path of a rule.
     lengths = [r[0] for r in table.select(F.length("rule_path").alias("n")).distinct().orderBy("n").collect()]
+    labels = F.size(F.split("rule_host", r"\.")).alias("n")
+    sizes = [r[0] for r in table.select(labels).distinct().orderBy("n").collect()]
     parts = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     parts = parts.withColumn("_head", F.substring("path", 1, max(lengths, default=0)))
 
     heads = parts.select("host", "_head").distinct()
-    pairs = heads.withColumn("h", F.explode(_suffixes(F.col("host"))))
+    pairs = heads.withColumn("h", F.explode(_suffixes(F.col("host"), sizes)))
     pairs = pairs.withColumn("p", F.explode(_prefixes(F.col("_head"), lengths)))
     digest = _digest(F.col("h"), F.col("p"))
     pairs = pairs.withColumn("digest", digest).withColumn("prefix", F.substring("digest", 1, 8))
