@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from tidedock.llm.components import connected_components
 from tidedock.llm.tables import keep_once, stage, text_or_empty
-from tidedock.llm.textbytes import batches_of, flat, mix, word_hashes
+from tidedock.llm.textbytes import batches_of, flat, mix, trimmed, word_hashes
 
 SHINGLE = 5
 PERCENT = 75
@@ -51,6 +51,8 @@ _MASK = (1 << 64) - 1
 _ORDER = [np.uint64(0x8CB92BA72F3D8DD7), np.uint64(0xABC98388FB8FAC03), np.uint64(0x2545F4914F6CDD1D),
           np.uint64(0xD1342543DE82EF95), np.uint64(0xF1357AEA2E62A9C5)]
 _NULL_ID = -(2**63)
+#: Texts of one step of a task; sorted shingles take several times that.
+STEP_BYTES = 1 << 20
 _NO_TEXT = b""
 
 
@@ -132,7 +134,7 @@ def features(docs: DataFrame) -> DataFrame:
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in batches_of(batch, "text", 1 << 22):
+            for part in batches_of(batch, "text", STEP_BYTES):
                 h, begin = shingle_sets(*flat(part.column("text")))
                 size = np.diff(begin)
                 keys = band_keys(sketches(h, begin)).view(np.int64)
@@ -144,7 +146,7 @@ def features(docs: DataFrame) -> DataFrame:
                 )
 
     return _documents(docs).mapInArrow(
-        sketch, "doc long, text_sha256 binary, n_shingles long, digest binary, bands array<long>"
+        trimmed(sketch), "doc long, text_sha256 binary, n_shingles long, digest binary, bands array<long>"
     )
 
 
@@ -153,13 +155,13 @@ def _sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in batches_of(batch, "text", 1 << 22):
+            for part in batches_of(batch, "text", STEP_BYTES):
                 h, begin = shingle_sets(*flat(part.column("text")))
                 sets = [h[a:b].tobytes() for a, b in zip(begin[:-1], begin[1:])]
                 yield pa.record_batch([part.column("rep"), pa.array(sets, pa.binary())], names=["doc", "shingles"])
 
     rows = _documents(docs).join(ids, ["doc", "text_sha256"]).select("rep", "text")
-    sets = stage(rows.mapInArrow(collect, "doc long, shingles binary"), "sets")
+    sets = stage(rows.mapInArrow(trimmed(collect), "doc long, shingles binary"), "sets")
     several = stage(sets.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc"), "repeated-rows")
     if several.isEmpty():
         return sets
@@ -188,7 +190,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             )
 
     joined = pairs.join(second, "b").join(first, "a").select("a", "b", "set_a", "set_b")
-    return joined.mapInArrow(compare, "a long, b long, both long, either long")
+    return joined.mapInArrow(trimmed(compare), "a long, b long, both long, either long")
 
 
 def _judged(docs: DataFrame, percent: int) -> DataFrame:
@@ -243,12 +245,12 @@ def _judged(docs: DataFrame, percent: int) -> DataFrame:
 
 
 def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``."""
+    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``; ``kept`` goes by ids alone, unlike `kept_documents`."""
     return _judged(docs, percent).select(
         F.when(F.col("doc") != _NULL_ID, F.col("doc")).alias("doc_id"),
         "n_shingles",
         F.when(F.col("component") != _NULL_ID, F.col("component")).alias("component_id"),
-        "kept",
+        (F.col("doc") == F.col("component")).alias("kept"),
     )
 
 

@@ -29,12 +29,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidedock.llm.tables import stage
+from tidedock.llm.tables import cached_bytes, stage
+from tidedock.llm.textbytes import batches_of, trimmed
 
 CAPACITY = 2048
 END_ID = 0
 TOKENIZER = "word_bpe_49k.json"
 
+#: Bytes of known words per generation, and of the texts of one step.
+CACHE_BYTES, STEP_BYTES = 64 << 20, 1 << 20
+
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 # --- tokens -----------------------------------------------------------------------------------------------------
@@ -49,13 +53,13 @@ class WordIds:
 
     The tokenizer never joins across white space, so a text's ids are those of its words in a row. A word of letters
     with punctuation behind it is the two in a row as well, and case is dropped. Known words are kept in two
-    generations of at most ``limit`` each; the older is forgotten when the younger is full.
+    generations of about ``limit`` bytes each; the older is forgotten when the younger is full.
 
     With ``plain`` the tokenizer's added tokens are text like any other; without, as the tokenizer does when loaded, each is one
     id wherever it occurs. They hold no white space, so an occurrence lies in one word.
     """
 
-    def __init__(self, path: str, limit: int = 400_000, plain: bool = True) -> None:
+    def __init__(self, path: str, limit: int = CACHE_BYTES, plain: bool = True) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -66,6 +70,7 @@ class WordIds:
         self.limit = limit
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.bytes = 0
 
     @staticmethod
     def words(text: str) -> list[str]:
@@ -121,9 +126,11 @@ class WordIds:
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         split = [self.words(t) if t else [] for t in texts]
-        if len(self.young) > self.limit:
-            self.old, self.young = self.young, {}
+        if self.bytes > self.limit:
+            self.old, self.young, self.bytes = self.young, {}, 0
+        before = len(self.young)
         self._fill({w for words in split for w in words} - self.young.keys())
+        self.bytes += cached_bytes(self.young, len(self.young) - before)
         known = self.young
         for words in split:
             yield b"".join([known[w] for w in words])
@@ -150,8 +157,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = No
         encoder = _encoder(tokenizer, plain)
         end = END_ID.to_bytes(4, "little")
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for part in batches_of(batch, "text", STEP_BYTES):
                 rows = []
                 encoded = encoder.encode(part.column("text").to_pylist())
                 for doc_id, raw in zip(part.column("doc_id").to_pylist(), encoded):
@@ -163,8 +169,9 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = No
                 kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
                 names = ["doc_id", "piece", "start", "length", "ids_crc32"]
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
+        encoder.old = {}  # a worker that waits for its next task keeps one generation
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, PIECE_SCHEMA)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(trimmed(cut), PIECE_SCHEMA)
 
 
 # --- packing of lengths -----------------------------------------------------------------------------------------

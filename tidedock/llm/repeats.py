@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from tidedock.llm.suffixes import Prefixes, running_sums, suffix_sort, tables
 from tidedock.llm.tables import shuffle_partitions, stage, text_or_empty
-from tidedock.llm.textbytes import flat, mix
+from tidedock.llm.textbytes import batches_of, flat, mix, trimmed
 
 SPAN = 50
 GRAM = 20
@@ -42,6 +42,8 @@ HOT_RUNS = 20_000
 
 _KEY = np.uint64(0xA0761D6478BD642F)
 _NULL_ID = -(2**63)
+#: Texts of one step of a task.
+STEP_BYTES = 1 << 20
 
 
 def _doc() -> Column:
@@ -199,8 +201,7 @@ def shared_runs(docs: DataFrame, buckets: int, hot_limit: int, flush: int = 1 <<
         held: list[tuple[np.ndarray, ...]] = []
         size = turn = 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
+            for part in batches_of(batch, "text", STEP_BYTES):
                 _, _, _, _, key, owner, number = _runs_of_batch(part)
                 held.append((key, part.column("doc").to_numpy()[owner], number))
                 size += len(key)
@@ -210,7 +211,7 @@ def shared_runs(docs: DataFrame, buckets: int, hot_limit: int, flush: int = 1 <<
         if size:
             yield _send_keys(*map(np.concatenate, zip(*held)), buckets, turn)
 
-    rows = docs.select(_doc().alias("doc"), "text").mapInArrow(keys_of, _KEY_ROWS)
+    rows = docs.select(_doc().alias("doc"), "text").mapInArrow(trimmed(keys_of), _KEY_ROWS)
     return rows.groupBy("bucket").applyInArrow(_shared_keys(hot_limit), _FOUND)
 
 
@@ -374,8 +375,7 @@ def repeated_stretches(docs: DataFrame, found: DataFrame, hot: np.ndarray, bucke
         held: list[tuple[np.ndarray, ...]] = []
         total = turn = 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for part in batches_of(batch, "text", STEP_BYTES):
                 data, offsets, start, end, key, owner, number = _runs_of_batch(part)
                 column = part.column("numbers")
                 lists = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
@@ -405,7 +405,7 @@ def repeated_stretches(docs: DataFrame, found: DataFrame, hot: np.ndarray, bucke
         if total:
             yield _send_runs(held, buckets, SPAN, turn)
 
-    sent = rows.mapInArrow(runs_of, _RUN_ROWS)
+    sent = rows.mapInArrow(trimmed(runs_of), _RUN_ROWS)
     return sent.groupBy("bucket").applyInArrow(_sort_runs(SPAN), _STRETCHES)
 
 

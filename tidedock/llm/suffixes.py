@@ -15,11 +15,16 @@ from tidedock.llm.textbytes import inverse_powers, powers
 _HEAD = 8
 
 
+#: Longest table that stays with a process.
+KEPT = 1 << 20
+
 _tables: list[np.ndarray] = [powers(1), inverse_powers(1)]
 
 
 def tables(count: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and their inverses; one table per process, as long as the longest needed so far."""
+    """Powers of the base and their inverses; a process keeps one table, as long as the longest needed so far up to ``KEPT``."""
+    if count > KEPT:
+        return powers(count), inverse_powers(count)
     if len(_tables[0]) < count:
         size = (count + (1 << 18)) >> 18 << 18
         _tables[:] = [powers(size), inverse_powers(size)]

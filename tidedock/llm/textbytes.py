@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -93,6 +94,21 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, block: int = 1 << 21) ->
     return np.concatenate(hashes), np.concatenate(owners)
 
 
+def trimmed(step: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``step`` whose worker gives freed memory back to the system when the task ends; idle workers then hold little."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from step(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
 def batches_of(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """Slices of a batch whose texts hold about ``limit`` bytes (one longer text stays whole)."""
     _, offsets = flat(batch.column(column))
