@@ -9,7 +9,7 @@ import pytest
 ROOT = Path(__file__).resolve().parent.parent
 sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
-START = dt.datetime(2026, 3, 1, 8, 0)
+from times import START  # noqa: E402
 
 
 @pytest.fixture(scope="session")

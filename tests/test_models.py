@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidedock import schemas
-from tidedock.operators import features, metrics, models, split
+from tidedock.operators import boosting, features, metrics, models, split
 from tidedock.plans.training import train_and_compare
 from tidedock.sources import tables
 from tidedock.staging import stage
@@ -13,7 +13,7 @@ from tidedock.staging import stage
 
 @pytest.fixture(scope="module")
 def splits(spark):
-    from conftest import START
+    from times import START
     import datetime as dt
 
     rng = np.random.default_rng(11)
@@ -56,7 +56,7 @@ def test_boosted_models_and_importance(splits, tmp_path):
     assert scored.agg(F.count_distinct("prediction")).first()[0] > 1
     gain = models.feature_importance(model).collect()
     assert len(gain) == 15 and gain == sorted(gain, key=lambda r: (-r.importance, r.feature))
-    counts = models.split_counts(model, str(tmp_path / "nodes")).collect()
+    counts = models.split_counts(model).collect()
     assert len(counts) == 15 and counts[0].importance >= 1
     models.score_saved  # loading is covered below
     from tidedock.sources.writers import save_model
@@ -66,18 +66,76 @@ def test_boosted_models_and_importance(splits, tmp_path):
     assert _mae(again) == pytest.approx(_mae(scored))
 
 
-def test_boosting_has_the_rounds_of_the_source_and_ends_by_patience(splits, monkeypatch):
+def test_boosting_has_the_rounds_of_the_source_and_ends_by_patience(splits):
     assert all(p["maxIter"] == 1000 and p["stepSize"] == 0.05 for p in models.PRESETS.values()) and models.PATIENCE == 50
     train, val = _part(splits, "train"), _part(splits, "val")
-    whole = models.fit_boosted(train, val, maxIter=24, maxDepth=2, patience=6, stepSize=0.3)
-    fits = []
-    init = models.GBTRegressor.__init__
-    monkeypatch.setattr(models.GBTRegressor, "__init__", lambda self, **p: (fits.append(p["maxIter"]), init(self, **p))[1])
-    monkeypatch.setattr(models, "FIRST_ROUNDS", 3)
-    staged = models.fit_boosted(train, val, maxIter=24, maxDepth=2, patience=6, stepSize=0.3)
-    assert fits[:3] == [3, 6, 12] and max(fits) <= 24
-    assert staged.stages[-1].getNumTrees == whole.stages[-1].getNumTrees
-    assert staged.stages[-1].toDebugString.split("\n")[1:] == whole.stages[-1].toDebugString.split("\n")[1:]
+    model = models.fit_boosted(train, val, maxIter=60, maxDepth=2, patience=6, stepSize=0.5)
+    best = boosting.best_round(model.errors, 6)
+    assert len(model.trees) == best and len(model.errors) < 60
+    assert model.errors[best - 1] == pytest.approx(_mae(models.score(model, val)))
+    assert min(model.errors[:best]) == model.errors[best - 1] < model.errors[0]
+
+
+def test_a_continued_fit_has_the_trees_of_one_fit(spark, splits, tmp_path, monkeypatch):
+    train, val = _part(splits, "train"), _part(splits, "val")
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 200)
+    options = {"maxDepth": 3, "stepSize": 0.3, "subsamplingRate": 0.7, "columnShare": 0.6, "regLambda": 1.0, "regAlpha": 0.1}
+    whole = models.fit_boosted(train, val, patience=50, maxIter=11, **options)
+    monkeypatch.setattr(boosting, "SAVE_EVERY", 4)
+    path = str(tmp_path / "state")
+    grown = []
+    grow = boosting.grow
+
+    def stops(blocks, trees, *rest):
+        if len(trees) == 6 and not grown.count("stopped"):
+            grown.append("stopped")
+            raise RuntimeError("lost")
+        grown.append(len(trees))
+        return grow(blocks, trees, *rest)
+
+    monkeypatch.setattr(boosting, "grow", stops)
+    with pytest.raises(RuntimeError):
+        models.fit_boosted(train, val, patience=50, maxIter=11, path=path, **options)
+    monkeypatch.setattr(boosting, "_kept", type(boosting._kept)())
+    again = models.fit_boosted(train, val, patience=50, maxIter=11, path=path, **options)
+    assert grown == [0, 1, 2, 3, 4, 5, "stopped", 4, 5, 6, 7, 8, 9, 10]
+    assert len(again.trees) == len(whole.trees)
+    for x, y in zip(again.trees, whole.trees):
+        assert x.feature.tolist() == y.feature.tolist() and x.bin.tolist() == y.bin.tolist() and x.n.tolist() == y.n.tolist()
+        assert np.allclose(x.value, y.value)
+    assert _mae(models.score(again, val)) == pytest.approx(_mae(models.score(whole, val)))
+
+
+def test_one_round_splits_where_brute_force_does(spark):
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 9, (300, 15)).astype(float)
+    y = np.where(x[:, 4] > 5, 7.0, 1.0) + np.where(x[:, 2] > 3, 2.0, 0.0) + rng.normal(0, 0.1, 300)
+    df = spark.createDataFrame([(*map(float, r), float(t)) for r, t in zip(x, y)], [*schemas.FEATURE_COLS, "y"])
+    model = models.fit_boosted(df, None, maxIter=1, maxDepth=1, stepSize=1.0, minInstancesPerNode=1)
+    best = min(
+        ((np.var(y[x[:, f] <= c]) * (x[:, f] <= c).sum() + np.var(y[x[:, f] > c]) * (x[:, f] > c).sum(), f, c) for f in range(15) for c in range(8)),
+    )
+    tree = model.trees[0]
+    assert (tree.feature[0], tree.cut[0]) == best[1:]
+    assert model.base + tree.value[1] == pytest.approx(y[x[:, best[1]] <= best[2]].mean())
+    assert tree.gain[0] == pytest.approx(np.var(y) * 300 - best[0])
+
+
+def test_path_contributions_add_up_to_the_prediction(splits):
+    model = models.fit_boosted(_part(splits, "train"), None, maxIter=8, maxDepth=3, stepSize=0.3)
+    rows = model.contributions(model.transform(_part(splits, "test"))).collect()
+    assert rows and all(r.base + sum(r.contributions) == pytest.approx(r.prediction) for r in rows)
+    ranking = models.tree_attribution(model, _part(splits, "test")).collect()
+    assert len(ranking) == 15 and ranking[0].mean_abs_contribution > 0
+    gain = {r.feature: r.importance for r in models.feature_importance(model).collect()}
+    nodes = model.nodes(splits.sparkSession).where("feature >= 0").groupBy("feature").agg(F.sum("gain").alias("g")).collect()
+    assert {model.features[r.feature]: pytest.approx(r.g) for r in nodes} == {k: v for k, v in gain.items() if v}
+
+
+def test_boosting_without_rows(splits):
+    none = _part(splits, "train").limit(0)
+    model = models.fit_boosted(none, none, maxIter=2)
+    assert {r.prediction for r in models.score(model, _part(splits, "val")).collect()} == {0.0}
 
 
 def test_permutation_importance_ranks_current_value_first(splits):
@@ -89,7 +147,7 @@ def test_permutation_importance_ranks_current_value_first(splits):
 
 def test_search_is_seeded_and_sorted(splits):
     a, b = models.sample_params(random.Random(1)), models.sample_params(random.Random(1))
-    assert a == b and 3 <= models.boosting_params(a)["maxDepth"] <= 12
+    assert a == b and 3 <= models.boosting_params(a)["maxDepth"] <= 12 and len(a) == 8
     trials = models.tune_boosted(_part(splits, "train"), _part(splits, "val"), n_trials=2, max_iter=2).collect()
     assert [t.mae for t in trials] == sorted(t.mae for t in trials) and len(trials) == 2
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidedock import schemas
 from tidedock.operators import features, regularise, split
 from tidedock.plans import dataset
-from conftest import START
+from times import START
 
 
 def _pandas_grid(rows, freq="15min", limit=4):

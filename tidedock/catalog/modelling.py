@@ -156,13 +156,14 @@ def feature_importance(spark, sf):
 
 @query("feature_split_counts")
 def feature_split_counts(spark, sf):
-    import uuid
+    parts = _staged_splits(spark, sf)
+    return models.split_counts(models.fit_boosted(parts["train"], parts["val"]))
 
-    from tidedock.staging import staged_path
 
+@query("tree_attribution")
+def tree_attribution(spark, sf):
     parts = _staged_splits(spark, sf)
-    model = models.fit_boosted(parts["train"], parts["val"])
-    return models.split_counts(model, staged_path(spark, f"nodes-{uuid.uuid4().hex}"))
+    return models.tree_attribution(models.fit_boosted(parts["train"], parts["val"]), parts["test"])
 
 
 @query("linear_attribution")

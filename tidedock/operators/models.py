@@ -1,4 +1,4 @@
-"""Forecast models on MLlib: naive, least squares and boosted trees, their search and attribution."""
+"""Forecast models: naive, least squares on MLlib and boosted trees, their search and attribution."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import random
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -16,20 +16,21 @@ from pyspark.sql import functions as F
 from tidedock import schemas
 from tidedock.functions.labels import clamp_prediction
 from tidedock.functions.timefns import interval
+from tidedock.operators import boosting
 from tidedock.operators.curate import newest_rows
 from tidedock.operators.metrics import regression_metrics
-from tidedock.staging import stage, staging_dir
+from tidedock.staging import stage
 
-# Boosting defaults. A leaf count has no counterpart here and becomes a depth.
-BOOSTING = {"stepSize": 0.05, "maxIter": 1000, "seed": 42}
+# Boosting defaults.
+BOOSTING = {
+    "stepSize": 0.05, "maxIter": 1000, "seed": 42, "regAlpha": 0.0, "subsamplingRate": 1.0, "columnShare": 1.0, "numLeaves": None,
+}
 PATIENCE = 50
-#: Rounds of the first fit with a validation frame; each further fit has twice as many, up to ``maxIter``.
-FIRST_ROUNDS = 100
 PRESETS = {
-    "lgbm": {**BOOSTING, "maxDepth": math.ceil(math.log2(31)), "maxBins": 64},
-    "xgb": {**BOOSTING, "maxDepth": 6, "maxBins": 32},
+    "lgbm": {**BOOSTING, "numLeaves": 31, "maxDepth": 5, "maxBins": 64, "minInstancesPerNode": 20, "regLambda": 0.0},
+    "xgb": {**BOOSTING, "maxDepth": 6, "maxBins": 32, "minInstancesPerNode": 1, "regLambda": 1.0},
 }
-# Searched ranges; the learning rate is drawn on a log scale.
+# Searched ranges; learning rate and both penalties are drawn on a log scale.
 SEARCH_SPACE = {
     "num_leaves": (20, 100),
     "learning_rate": (0.01, 0.3),
@@ -37,7 +38,10 @@ SEARCH_SPACE = {
     "min_child_samples": (5, 100),
     "subsample": (0.5, 1.0),
     "colsample_bytree": (0.5, 1.0),
+    "reg_alpha": (1e-8, 10.0),
+    "reg_lambda": (1e-8, 10.0),
 }
+LOG_SCALE = ("learning_rate", "reg_alpha", "reg_lambda")
 
 
 class NaiveBaseline:
@@ -66,48 +70,23 @@ def fit_linear(train: DataFrame, features: list[str] = schemas.FEATURE_COLS) ->
 
 def fit_boosted(
     train: DataFrame, val: DataFrame | None = None, preset: str = "lgbm", stop_early: bool | None = None,
-    patience: int = PATIENCE, **overrides,
-) -> PipelineModel:
+    patience: int = PATIENCE, path: str | None = None, **overrides,
+) -> boosting.BoostedTrees:
     """Boosted trees on squared error, ``maxIter`` rounds at most.
 
     With a validation frame the error after every round is measured there (mean absolute error). Boosting
-    counts as ended once ``patience`` rounds in a row have not improved it, and the model of the best round is returned:
-    rounds build on each other, so a second fit with that many rounds is the same model without the later trees. For the
-    same reason fits start with ``FIRST_ROUNDS`` and double until boosting has ended, so an early end saves the later rounds.
+    ends once ``patience`` rounds in a row have not improved it, and the model of the best round is returned. A fit that
+    is given a ``path`` keeps its state there and goes on from it when called again.
     """
     params = {**PRESETS[preset], **overrides}
     stop_early = preset == "lgbm" if stop_early is None else stop_early
-    cols = [*schemas.FEATURE_COLS, schemas.TARGET_COL]
-    rows = _numeric(train.select(*cols))
-
-    def fit(rounds: int) -> PipelineModel:
-        trees = GBTRegressor(labelCol=schemas.TARGET_COL, lossType="squared", **{**params, "maxIter": rounds})
-        return Pipeline(stages=[_assembler(), trees]).fit(rows)
-
-    context = train.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:  # else the lineage of all rounds is sent with every task
-        context.setCheckpointDir(staging_dir(train.sparkSession))
-    if val is None or not stop_early:
-        return fit(params["maxIter"])
-    held = _assembler().transform(_numeric(val.select(*cols)))
-    rounds = min(FIRST_ROUNDS, params["maxIter"])
-    while True:
-        model = fit(rounds)
-        best = best_round(model.stages[-1].evaluateEachIteration(held, "absolute"), patience)
-        if rounds - best >= patience or rounds == params["maxIter"]:
-            return model if best == rounds else fit(best)
-        rounds = min(2 * rounds, params["maxIter"])
-
-
-def best_round(errors: list[float], patience: int) -> int:
-    """Number of rounds with the least error before ``patience`` rounds in a row bring no improvement."""
-    best, at = float("inf"), 0
-    for i, error in enumerate(errors, 1):
-        if error < best:
-            best, at = error, i
-        elif i - at >= patience:
-            break
-    return max(at, 1)
+    how = boosting.Growth(
+        rate=params["stepSize"], depth=params["maxDepth"], leaves=params["numLeaves"], bins=params["maxBins"],
+        least_rows=params["minInstancesPerNode"], l1=params["regAlpha"], l2=params["regLambda"],
+        row_share=params["subsamplingRate"], column_share=params["columnShare"], seed=params["seed"],
+    )
+    held = val if stop_early else None
+    return boosting.fit(train, held, schemas.FEATURE_COLS, how, params["maxIter"], patience, path)
 
 
 def score(model, df: DataFrame) -> DataFrame:
@@ -117,7 +96,14 @@ def score(model, df: DataFrame) -> DataFrame:
 
 
 def score_saved(spark, path: str, df: DataFrame) -> DataFrame:
-    return score(PipelineModel.load(path), df)
+    return score(load_model(spark, path), df)
+
+
+def load_model(spark, path: str):
+    """A written pipeline or boosted model."""
+    meta = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/nodes")
+    boosted = meta.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(meta)
+    return boosting.BoostedTrees.load(spark, path) if boosted else PipelineModel.load(path)
 
 
 def compare_models(models: dict[str, object], test: DataFrame) -> DataFrame:
@@ -130,50 +116,48 @@ def compare_models(models: dict[str, object], test: DataFrame) -> DataFrame:
     return regression_metrics(long, schemas.TARGET_COL, "prediction", ["model"])
 
 
-def feature_importance(model: PipelineModel) -> DataFrame:
-    """Gain per feature, largest first (normalised to a sum of one)."""
-    trees = model.stages[-1]
-    rows = list(zip(schemas.FEATURE_COLS, [float(v) for v in trees.featureImportances.toArray()]))
-    spark = _session()
-    return spark.createDataFrame(rows, schemas.IMPORTANCE).orderBy(F.col("importance").desc(), "feature")
+def feature_importance(model: boosting.BoostedTrees) -> DataFrame:
+    """Total gain of the splits of each feature, largest first."""
+    rows = model.by_feature("gain")
+    return _session().createDataFrame(rows, schemas.IMPORTANCE).orderBy(F.col("importance").desc(), "feature")
 
 
-def split_counts(model: PipelineModel, nodes_path: str) -> DataFrame:
-    """How often each feature is split on, from the node table of the written model."""
-    spark = _session()
-    model.stages[-1].write().overwrite().save(nodes_path)
-    nodes = spark.read.parquet(f"{nodes_path}/data")
-    data = "nodeData.split.featureIndex" if "nodeData" in nodes.columns else "split.featureIndex"
-    counted = nodes.select(F.col(data).alias("i")).where(F.col("i") >= 0).groupBy("i").agg(F.count("*").alias("n"))
-    names = spark.createDataFrame(list(enumerate(schemas.FEATURE_COLS)), "i int, feature string")
-    return (
-        names.join(counted, "i", "left")
-        .select("feature", F.coalesce(F.col("n").cast("double"), F.lit(0.0)).alias("importance"))
-        .orderBy(F.col("importance").desc(), "feature")
-    )
+def split_counts(model: boosting.BoostedTrees) -> DataFrame:
+    """How often each feature is split on."""
+    rows = model.by_feature("split")
+    return _session().createDataFrame(rows, schemas.IMPORTANCE).orderBy(F.col("importance").desc(), "feature")
+
+
+def tree_attribution(model: boosting.BoostedTrees, df: DataFrame) -> DataFrame:
+    """Mean absolute contribution of each feature along the decision paths, largest first."""
+    names = F.array(*[F.lit(c) for c in model.features])
+    pairs = model.contributions(df).select(F.explode(F.arrays_zip(names.alias("feature"), F.col("contributions"))).alias("p"))
+    means = pairs.groupBy(F.col("p.feature").alias("feature")).agg(F.avg(F.abs("p.contributions")).alias("mean_abs_contribution"))
+    return means.orderBy(F.col("mean_abs_contribution").desc(), "feature")
 
 
 def sample_params(rng: random.Random) -> dict[str, float]:
     """One seeded draw from the search space; rates on a log scale."""
-    low, high = SEARCH_SPACE["learning_rate"]
-    return {
-        "num_leaves": rng.randint(*SEARCH_SPACE["num_leaves"]),
-        "learning_rate": math.exp(rng.uniform(math.log(low), math.log(high))),
-        "max_depth": rng.randint(*SEARCH_SPACE["max_depth"]),
-        "min_child_samples": rng.randint(*SEARCH_SPACE["min_child_samples"]),
-        "subsample": rng.uniform(*SEARCH_SPACE["subsample"]),
-        "colsample_bytree": rng.uniform(*SEARCH_SPACE["colsample_bytree"]),
-    }
+    drawn: dict[str, float] = {}
+    for name, (low, high) in SEARCH_SPACE.items():
+        if name in LOG_SCALE:
+            drawn[name] = math.exp(rng.uniform(math.log(low), math.log(high)))
+        else:
+            drawn[name] = rng.randint(low, high) if isinstance(low, int) else rng.uniform(low, high)
+    return drawn
 
 
 def boosting_params(drawn: dict[str, float]) -> dict[str, object]:
-    """Drawn values as tree parameters: the tighter of leaf count and depth limits the depth."""
+    """Drawn values as tree parameters."""
     return {
-        "maxDepth": min(int(drawn["max_depth"]), math.ceil(math.log2(drawn["num_leaves"]))),
+        "numLeaves": int(drawn["num_leaves"]),
+        "maxDepth": int(drawn["max_depth"]),
         "stepSize": drawn["learning_rate"],
         "minInstancesPerNode": int(drawn["min_child_samples"]),
         "subsamplingRate": drawn["subsample"],
-        "featureSubsetStrategy": f"{drawn['colsample_bytree']:.4f}",
+        "columnShare": drawn["colsample_bytree"],
+        "regAlpha": drawn["reg_alpha"],
+        "regLambda": drawn["reg_lambda"],
     }
 
 
