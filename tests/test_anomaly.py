@@ -1,3 +1,4 @@
+import random
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -121,3 +122,29 @@ def test_kpis_and_map(spark, activity):
     assert table.last_change == "Never (in window)" and table.duration_hours == 2.8
     open_rows = anomaly.unresolved(anomaly.anomaly_records(results, F.current_timestamp()))
     assert open_rows.count() == 1
+
+
+def test_forest_scores_equal_a_walk_in_sql(spark):
+    import duckdb
+
+    from tidedock.operators import forest
+
+    rng = random.Random(4)
+    rows = [(f"s{i}", [rng.random(), rng.gauss(0, 1), float(i % 3)]) for i in range(400)]
+    points = spark.createDataFrame(rows, "station_id string, features array<double>")
+    nodes = forest.fit_forest(points, "station_id", 400, 12, 64, 7).toPandas()
+    scored = forest.score_forest(points, spark.createDataFrame(nodes, forest.NODE_SCHEMA), 64)
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    pts = points.toPandas()  # noqa: F841
+    want = dict(duckdb.sql(f"""
+      WITH RECURSIVE walk AS (
+        SELECT p.station_id, p.features, n.* FROM pts p JOIN nodes n ON n.node = 0
+        UNION ALL
+        SELECT w.station_id, w.features, n.* FROM walk w JOIN nodes n ON n.tree = w.tree AND w.feature >= 0
+          AND n.node = CASE WHEN w.features[w.feature + 1] <= w.threshold THEN w."left" ELSE w."right" END)
+      SELECT station_id, -pow(2, -avg(depth + CASE WHEN size <= 1 THEN 0 WHEN size = 2 THEN 1
+        ELSE 2 * (ln(size - 1) + {forest.EULER_GAMMA}) - 2 * (size - 1) / size END) / {average_path_length(64)!r})
+      FROM walk WHERE feature < 0 GROUP BY station_id""").fetchall())
+    got = {r.station_id: r.raw_score for r in scored.collect()}
+    assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-9 for k in want)

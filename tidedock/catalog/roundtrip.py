@@ -175,7 +175,7 @@ def stream_append(spark, sf):
 @query(
     "stream_stuck",
     with_(f"{DOCUMENTS}, {FIRST}, facts AS (SELECT *, last_reported AS \"timestamp\" FROM first_docs), {STUCK.format(src='facts')}",
-          "SELECT * FROM stuck_all WHERE duration_hours >= 0.5", ["duration_hours"]),
+          "SELECT * FROM stuck_all", ["duration_hours"]),
 )
 def stream_stuck(spark, sf):
     """The last word of the stream on every station."""
@@ -190,8 +190,7 @@ def stream_stuck(spark, sf):
     run.awaitTermination()
     updates = spark.read.parquet(path)
     columns = [c for c in updates.columns if c not in ("station_id", "epoch")]
-    last = updates.groupBy("station_id").agg(F.max_by(F.struct(*columns), "epoch").alias("r")).select("station_id", "r.*")
-    return last.where("duration_hours >= 0.5")
+    return updates.groupBy("station_id").agg(F.max_by(F.struct(*columns), "epoch").alias("r")).select("station_id", "r.*")
 
 
 # -- monitoring and anomalies --------------------------------------------------------------------
@@ -228,7 +227,7 @@ def alert_lines(spark, sf):
     "combined_by_rule",
     with_(f"""{STUCK_SERIES}, act AS (SELECT station_id, CASE WHEN count(*) > 1 THEN
       count(*) FILTER (WHERE num_bikes_available <> prev) / (count(*) - 1) ELSE 0.0 END AS rate FROM moves GROUP BY 1),
-      s AS (SELECT * FROM stuck_all WHERE duration_hours >= 0.5), o AS (SELECT * FROM act WHERE rate < 0.19)""",
+      s AS (SELECT * FROM stuck_all WHERE duration_hours >= 0.25), o AS (SELECT * FROM act WHERE rate < 0.5)""",
           """SELECT coalesce(s.station_id, o.station_id) AS station_id, s.station_id IS NOT NULL AS is_stuck,
       o.station_id IS NOT NULL AS is_statistical_outlier, coalesce(duration_hours, 0.0) AS stuck_duration_hours,
       coalesce(c.rate, 0.0) AS isolation_score, true AS is_anomalous
@@ -240,9 +239,9 @@ def combined_by_rule(spark, sf):
     profiles = stage(anomaly.station_profiles(a.series(spark, sf)), "profiles")
     rate = F.col("change_rate")
     scored = anomaly._activity(profiles).select(
-        "station_id", F.when(rate < 0.19, -1).otherwise(1).alias("anomaly_label"), rate.alias("anomaly_score")
+        "station_id", F.when(rate < 0.5, -1).otherwise(1).alias("anomaly_label"), rate.alias("anomaly_score")
     )
-    return anomaly.combine(anomaly._stuck(profiles, 0.5), scored)
+    return anomaly.combine(anomaly._stuck(profiles, 0.25), scored)
 
 
 # -- models in closed form -----------------------------------------------------------------------

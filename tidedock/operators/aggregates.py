@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from itertools import combinations
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -139,28 +141,54 @@ def histogram(df: DataFrame, value: str, n_bins: int = 30, by: str | None = None
     )
 
 
+#: Per pair of columns: rows with both, sums, sums of squares and of products; least (negated) and greatest values.
+_MOMENTS = ["n", "x", "y", "xx", "yy", "xy", "x_low", "y_low", "x_high", "y_high"]
+
+
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Pearson correlation of every unordered pair over the rows that have both values.
 
-    One aggregation per pair number with map-side combine, so a row never leaves its task.
+    Every task adds up one set of moment matrices of its rows, about the means of a first pass, so that large means cost no digits;
+    matrices merge by sum, and a row never leaves its task.
     Columns without variation give null, null and NaN are missing.
     """
     columns = columns or [*schemas.FEATURE_COLS, schemas.TARGET_COL]
     rows = df.select(*[labels.null_if_nan(F.col(c).cast("double")).alias(c) for c in columns])
-    pairs = list(combinations(columns, 2))
-    values = F.array(*[F.struct(F.col(x).alias("x"), F.col(y).alias("y")) for x, y in pairs])
-    long = rows.select(F.posexplode(values).alias("pair", "v")).select("pair", "v.x", "v.y")
-    found = long.where("x IS NOT NULL AND y IS NOT NULL").groupBy("pair").agg(
-        (F.min("x") < F.max("x")).alias("x_varies"),
-        (F.min("y") < F.max("y")).alias("y_varies"),
-        F.try_divide(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y")).alias("r"),
+    first = rows.agg(*[F.avg(c) for c in columns]).first()
+    shift = np.array([0.0 if m is None else m for m in first])
+    i, j = np.triu_indices(len(columns), 1)
+
+    def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            x = np.array([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns]).T - shift
+            here = ~np.isnan(x)
+            z, m = np.where(here, x, 0.0), here.astype(float)
+            sums, squares = z.T @ m, (z * z).T @ m  # of a row's column where the other is present
+            low = np.array([np.where(here & here[:, [k]], x, np.inf).min(0, initial=np.inf) for k in range(len(columns))])
+            high = np.array([np.where(here & here[:, [k]], x, -np.inf).max(0, initial=-np.inf) for k in range(len(columns))])
+            part = [
+                (m.T @ m)[i, j], sums[i, j], sums[j, i], squares[i, j], squares[j, i], (z.T @ z)[i, j],
+                -low[j, i], -low[i, j], high[j, i], high[i, j],
+            ]
+            total = part if total is None else [*map(np.add, total[:6], part[:6]), *map(np.maximum, total[6:], part[6:])]
+        if total is not None:
+            yield pa.record_batch([pa.array([v.tolist()], pa.list_(pa.float64())) for v in total], names=_MOMENTS)
+
+    found = rows.mapInArrow(moments, ", ".join(f"{c} array<double>" for c in _MOMENTS))
+    cells = found.select(F.posexplode(F.arrays_zip(*_MOMENTS)).alias("pair", "v")).groupBy("pair").agg(
+        *[F.sum(f"v.{c}").alias(c) for c in _MOMENTS[:6]], *[F.max(f"v.{c}").alias(c) for c in _MOMENTS[6:]]
     )
-    names = F.array(*[F.struct(F.lit(x).alias("a"), F.lit(y).alias("b")) for x, y in pairs])
-    every = df.sparkSession.range(len(pairs)).select(F.col("id").cast("int").alias("pair"))
-    return every.join(found, "pair", "left").select(
+    n = F.col("n")
+    both = F.col("xy") - F.col("x") * F.col("y") / n
+    spread = F.sqrt((F.col("xx") - F.col("x") * F.col("x") / n) * (F.col("yy") - F.col("y") * F.col("y") / n))
+    varies = (n > 0) & (-F.col("x_low") < F.col("x_high")) & (-F.col("y_low") < F.col("y_high"))
+    names = F.array(*[F.struct(F.lit(columns[a]).alias("a"), F.lit(columns[b]).alias("b")) for a, b in zip(i, j)])
+    every = df.sparkSession.range(len(i)).select(F.col("id").cast("int").alias("pair"))
+    return every.join(cells, "pair", "left").select(
         F.get(names, F.col("pair"))["a"].alias("column_a"),
         F.get(names, F.col("pair"))["b"].alias("column_b"),
-        F.when(F.col("x_varies") & F.col("y_varies"), F.col("r")).alias("correlation"),
+        F.when(varies, F.try_divide(both, spread)).alias("correlation"),
     )
 
 

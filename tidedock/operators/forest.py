@@ -7,14 +7,12 @@ ever sees its own subsample (at most 256 rows), and the finished forest is at mo
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidedock.operators.ordered import exact_quantiles
 from tidedock.staging import stage
@@ -103,34 +101,39 @@ def fit_forest(points: DataFrame, key: str, n_points: int, trees: int, size: int
     return drawn.groupBy("tree").applyInPandas(grow, NODE_SCHEMA)
 
 
+def forest_row(nodes: DataFrame) -> DataFrame:
+    """The forest as one row: an array of trees, each with its nodes as columns in order of their numbers.
+
+    At most trees x (2 x subsample size - 1) nodes. ``length`` is the depth of a leaf and what points in it would still need.
+    """
+    n = F.col("size").cast("double")
+    rest = F.when(n <= 1, 0.0).when(n == 2, 1.0).otherwise(2.0 * (F.log(n - 1.0) + EULER_GAMMA) - 2.0 * (n - 1.0) / n)
+    columns = ["feature", "threshold", "left", "right", "length"]
+    node = F.struct("node", *columns[:4], (F.col("depth") + rest).alias("length"))
+    trees = nodes.groupBy("tree").agg(F.array_sort(F.collect_list(node)).alias("nodes"))
+    tree = F.struct("tree", *[F.col(f"nodes.{c}").alias(c) for c in columns])
+    return trees.agg(F.array_sort(F.collect_list(tree)).alias("forest"))
+
+
 def score_forest(points: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
-    """``points`` with ``raw_score`` in [-1, 0]; lower is more isolated."""
-    model = nodes.toPandas().sort_values(["tree", "node"])  # bounded: trees x (2 * size - 1) rows
-    forest = [
-        tuple(t[c].to_numpy() for c in ("feature", "threshold", "left", "right"))
-        + ((t["depth"] + t["size"].map(average_path_length)).to_numpy(),)
-        for _, t in model.groupby("tree")
-    ]
-    shared = points.sparkSession.sparkContext.broadcast(forest)
-    scale = len(forest) * max(average_path_length(size), 1e-12)
-    schema = T.StructType([*points.schema.fields, T.StructField("raw_score", T.DoubleType(), True)])
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            x = np.vstack(pdf["features"].to_numpy())
-            row = np.arange(len(x))
-            depth = np.zeros(len(x))
-            for feature, threshold, left, right, length in shared.value:
-                at = np.zeros(len(x), dtype=int)
-                while (inner := feature[at] >= 0).any():
-                    go_left = x[row, np.maximum(feature[at], 0)] <= threshold[at]
-                    at = np.where(inner, np.where(go_left, left[at], right[at]), at)
-                depth += length[at]
-            yield pdf.assign(raw_score=-(2.0 ** (-depth / scale)))
-
-    return points.mapInPandas(score, schema)
+    """``points`` with ``raw_score`` in [-1, 0]; lower is more isolated. Trees are walked by expressions over the broadcast forest."""
+    depth = nodes.agg(F.max("depth")).first()[0] or 0
+    scale = max(average_path_length(size), 1e-12)
+    steps = F.sequence(F.lit(1), F.lit(max(depth, 1)))
+
+    def leaf(tree: Column) -> Column:
+        def step(at: Column, _: Column) -> Column:
+            feature = F.get(tree["feature"], at)
+            goes_left = F.get(F.col("features"), F.greatest(feature, F.lit(0))) <= F.get(tree["threshold"], at)
+            return F.when(feature < 0, at).when(goes_left, F.get(tree["left"], at)).otherwise(F.get(tree["right"], at))
+
+        return F.aggregate(steps, F.lit(0), step)
+
+    lengths = F.aggregate("forest", F.lit(0.0), lambda total, t: total + F.get(t["length"], leaf(t)))
+    forest = F.broadcast(forest_row(nodes).withColumn("_one", F.lit(1)))
+    scored = points.withColumn("_one", F.lit(1)).join(forest, "_one")
+    raw = -F.pow(F.lit(2.0), -lengths / (F.size("forest") * scale))
+    return scored.withColumn("raw_score", raw).drop("forest", "_one")
 
 
 def isolation_forest(
@@ -157,7 +160,7 @@ def isolation_forest(
         return points.drop("features").withColumns(
             {"anomaly_label": F.lit(1), "anomaly_score": F.lit(0.0)}
         )
-    nodes = fit_forest(points, key, n_points, trees, size, seed)
+    nodes = stage(fit_forest(points, key, n_points, trees, size, seed), "forest")
     scored = stage(score_forest(points, nodes, min(size, n_points)).drop("features"), "isolation-scores")
     offset = exact_quantiles(scored, "raw_score", [contamination]).scalar()
     score = F.col("raw_score") - offset
