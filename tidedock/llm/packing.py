@@ -169,7 +169,6 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = No
                 kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
                 names = ["doc_id", "piece", "start", "length", "ids_crc32"]
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
-        encoder.old = {}  # a worker that waits for its next task keeps one generation
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(trimmed(cut), PIECE_SCHEMA)
 
