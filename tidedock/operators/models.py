@@ -17,6 +17,7 @@ from tidedock import schemas
 from tidedock.functions.labels import clamp_prediction
 from tidedock.functions.timefns import interval
 from tidedock.operators import boosting
+from tidedock.operators.boosting import best_round  # noqa: F401
 from tidedock.operators.curate import newest_rows
 from tidedock.operators.metrics import regression_metrics
 from tidedock.staging import stage
