@@ -134,9 +134,10 @@ def test_line_bitmaps_equal_brute_force(spark, support):
     df = cases.documents(spark, [t for _, t in rows]).withColumn("pos", F.lit(1)).repartition(3)
     want = cases.dropped_lines(rows)
     assert sum(map(len, want.values())) > 5
-    for r in lines.line_bitmaps(df, support=support).collect():
+    got = lines.line_bitmaps(df, support=support)
+    for r in got.withColumn("n", lines.n_dropped(F.col("keep_bitmap"))).collect():
         parts = (rows[r.doc_id][1] or "").split("\n")
-        assert r.drops == want[r.doc_id] and r.n_lines == len(parts)
+        assert r.n_lines == len(parts) == sum(r.keep_bitmap) and r.n == len(want[r.doc_id])
         assert r.kept_text == "\n".join(x for p, x in enumerate(parts) if p not in want[r.doc_id])
         decoded = [bool(k % 2) for k, n in enumerate(r.keep_bitmap) for _ in range(n)]
         assert decoded == [p in want[r.doc_id] for p in range(len(parts))]
@@ -145,6 +146,17 @@ def test_line_bitmaps_equal_brute_force(spark, support):
 def test_lines_of_repeated_and_null_ids(spark):
     line = "this line is certainly longer than forty characters"
     df = cases.documents(spark, [line] * 7, [None, 1, 2, 3, 4, 9, 9])
-    got = sorted((r.doc_id or 0, r.drops) for r in lines.line_bitmaps(df).collect())
-    assert got == [(0, [0]), (1, [0]), (2, [0]), (3, [0]), (4, [0]), (9, []), (9, [])]
+    got = sorted((r.doc_id or 0, r.keep_bitmap, r.kept_text) for r in lines.line_bitmaps(df).collect())
+    assert got == [*((k, [0, 1], "") for k in range(5)), (9, [1], line), (9, [1], line)]
     assert lines.line_bitmaps(df.limit(0)).count() == 0
+
+
+def test_bitmap_of_a_long_text_is_linear(spark):
+    """100,000 lines of which every second one goes."""
+    lost = "this passage is in every one of these six documents %d"
+    long = "\n".join(x for i in range(50000) for x in (lost % (i % 7), f"own {i}"))
+    others = "\n".join(lost % i for i in range(7))
+    df = cases.documents(spark, [long, *[others] * 5], [1, 2, 3, 4, 5, 6])
+    rows = {r.doc_id: r for r in lines.line_bitmaps(df).collect()}
+    assert rows[1].keep_bitmap == [0, *[1] * 100000] and rows[1].kept_text == "\n".join(f"own {i}" for i in range(50000))
+    assert rows[6].keep_bitmap == [7] and rows[2].keep_bitmap == [0, 7] and rows[2].kept_text == ""

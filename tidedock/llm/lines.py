@@ -72,42 +72,39 @@ def dropped_lines(rows: DataFrame, min_docs: int = MIN_DOCS, support: float = SU
     return hot.select("doc", "version", "pos").unionByName(cold.select("doc", "version", "pos"))
 
 
-def _keep_runs(drops: Column, n_lines: Column) -> Column:
-    """Kept stretches as (start, length), between sorted dropped positions."""
-    ends = F.concat(drops, F.array(n_lines))
-    starts = F.concat(F.array(F.lit(-1)), drops)
-    runs = F.zip_with(starts, ends, lambda a, b: F.struct((a + 1).alias("start"), (b - a - 1).alias("length")))
-    return F.filter(runs, lambda r: r["length"] > 0)
-
-
 def _bitmap(drops: Column, n_lines: Column) -> Column:
-    """Lengths of alternating runs of kept and dropped lines, from sorted dropped positions."""
-    start = F.struct(
-        F.array().cast("array<int>").alias("runs"), F.lit(0).alias("kept"), F.lit(0).alias("lost"), F.lit(-1).alias("last")
-    )
+    """Lengths of alternating runs of kept and dropped lines, from sorted dropped positions; one pass, no growing array."""
+    before = F.concat(F.array(F.lit(-2)), drops)
+    after = F.concat(F.slice(drops, 2, F.greatest(F.size(drops), F.lit(1))), F.array(F.lit(2**31 - 1)))
+    near = F.arrays_zip(drops.alias("p"), F.slice(before, 1, F.size(drops)).alias("b"), after.alias("a"))
+    begins = F.transform(F.filter(near, lambda x: x["p"] - x["b"] > 1), lambda x: x["p"])
+    ends = F.transform(F.filter(near, lambda x: x["a"] - x["p"] > 1), lambda x: x["p"] + 1)
+    bounds = F.flatten(F.zip_with(begins, ends, lambda x, y: F.array(x, y)))
+    runs = F.zip_with(F.concat(bounds, F.array(n_lines)), F.concat(F.array(F.lit(0)), bounds), lambda x, y: x - y)
+    open_end = F.element_at(drops, -1) < n_lines - 1
+    return F.when(F.size(drops) == 0, F.array(n_lines)).when(open_end, runs).otherwise(F.slice(runs, 1, F.size(runs) - 1))
 
-    def step(s: Column, p: Column) -> Column:
-        adjacent = (p == s["last"] + 1) & (s["lost"] > 0)
-        closed = F.when(s["lost"] > 0, F.concat(s["runs"], F.array(s["kept"], s["lost"]))).otherwise(s["runs"])
-        return F.struct(
-            F.when(adjacent, s["runs"]).otherwise(closed).alias("runs"),
-            F.when(adjacent, s["kept"]).otherwise(p - s["last"] - 1).alias("kept"),
-            F.when(adjacent, s["lost"] + 1).otherwise(F.lit(1)).alias("lost"),
-            p.alias("last"),
-        )
 
-    def finish(s: Column) -> Column:
-        tail = n_lines - s["last"] - 1
-        some = F.concat(s["runs"], F.array(s["kept"], s["lost"]), F.when(tail > 0, F.array(tail)).otherwise(F.array().cast("array<int>")))
-        return F.when(s["lost"] > 0, some).otherwise(F.array(n_lines))
+def n_dropped(bitmap: Column) -> Column:
+    """Number of lines that a keep bitmap drops."""
+    return F.aggregate(F.transform(bitmap, lambda n, i: n * (i % 2)), F.lit(0), lambda a, n: a + n)
 
-    return F.aggregate(drops, start, step, finish)
+
+def kept_text(text: Column, bitmap: Column) -> Column:
+    """``text`` with the lines that its keep bitmap keeps; no kept line gives an empty text."""
+    keeps = F.flatten(F.transform(bitmap, lambda n, i: F.array_repeat(i % 2 == 0, n)))
+    pairs = F.arrays_zip(F.split(text, "\n").alias("line"), keeps.alias("keep"))
+    left = F.transform(F.filter(pairs, lambda x: x["keep"]), lambda x: x["line"])
+    return F.when(F.size(bitmap) == 1, text).otherwise(F.array_join(left, "\n"))
 
 
 def line_bitmaps(
     docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, support: float = SUPPORT
 ) -> DataFrame:
-    """(doc_id, version, n_lines, drops, keep_bitmap, kept_text) for every row of ``docs``."""
+    """(doc_id, version, n_lines, keep_bitmap, kept_text) for every row of ``docs``; the text follows from the bitmap.
+
+    An empty table gives no rows; a text of any length is one row with one bitmap.
+    """
     rows = stage(line_rows(docs, min_chars), "lines")
     drops = dropped_lines(rows, min_docs, support).distinct()  # rows given twice name their lines twice
     per_doc = drops.groupBy("doc", "version").agg(F.sort_array(F.collect_list("pos")).alias("drops"))
@@ -118,15 +115,10 @@ def line_bitmaps(
         text_or_empty().alias("text"),
     )
     joined = whole.join(per_doc, ["doc", "version"], "left")
-    joined = joined.withColumn("lines", F.split("text", "\n"))
-    joined = joined.withColumn("runs", _keep_runs(F.col("drops"), F.size("lines")))
-    kept = F.array_join(F.flatten(F.transform("runs", lambda r: F.slice("lines", r["start"] + 1, r["length"]))), "\n")
-    none = F.array().cast("array<int>")
-    return joined.select(
-        "doc_id",
-        "version",
-        F.size("lines").alias("n_lines"),
-        F.coalesce("drops", none).alias("drops"),
-        _bitmap(F.coalesce("drops", none), F.size("lines")).alias("keep_bitmap"),
-        F.when(F.col("drops").isNull(), F.col("text")).otherwise(kept).alias("kept_text"),
+    # A text has one line more than line breaks; cheaper than a split of texts that keep all lines.
+    n_lines = F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"), F.lit(""))) + 1
+    bitmap = F.when(F.col("drops").isNull(), F.array("n_lines")).otherwise(_bitmap(F.col("drops"), F.col("n_lines")))
+    marked = joined.withColumn("n_lines", n_lines).withColumn("keep_bitmap", bitmap)
+    return marked.select(
+        "doc_id", "version", "n_lines", "keep_bitmap", kept_text(F.col("text"), F.col("keep_bitmap")).alias("kept_text")
     )

@@ -203,7 +203,7 @@ def line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select(
         "doc_id",
         F.col("n_lines").cast("long").alias("n_lines"),
-        F.size("drops").cast("long").alias("n_dropped"),
+        lines.n_dropped(F.col("keep_bitmap")).cast("long").alias("n_dropped"),
         F.sha2("kept_text", 256).alias("kept_sha256"),
     )
 
