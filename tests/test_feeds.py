@@ -127,7 +127,7 @@ def test_prediction_and_anomaly_sinks(spark, tmp_path):
         AS t(station_id, prediction_time, target_time, model_name, predicted_value)""")
     assert writers.save_predictions(batch, path, _now(), ["predicted_value"]) == 2
     assert writers.save_predictions(batch, path, _now(), ["predicted_value"]) == 0
-    stored = spark.read.parquet(path)
+    stored = tables.read_predictions(spark, path)
     assert stored.where("actual_value is null").count() == 2
     results = spark.sql("SELECT 'a' station_id, true is_stuck, false is_statistical_outlier, 3.0D stuck_duration_hours,"
                         " 0.0D isolation_score")
@@ -147,7 +147,7 @@ def test_append_reads_only_the_days_of_its_batch(spark, raw_status, tmp_path):
     stored = tables.read_status(spark, path)
     assert stored.where("station_id = 'a' AND num_bikes_available = 99").count() == 0 and stored.count() == 11
     batch = late.withColumn("reported_on", F.to_date("last_reported"))
-    scan = writers._of_days(stored, batch, "reported_on").select("station_id")
+    scan = writers.of_days(stored, batch, "reported_on").select("station_id")
     assert scan.count() == 2
     plan = scan._jdf.queryExecution().executedPlan().toString()
     partition_filters = plan[plan.index("PartitionFilters"):plan.index("PushedFilters")]

@@ -76,6 +76,27 @@ def test_stuck_stream_equals_the_batch_rule_on_late_files(spark, tmp_path):
     assert batch["a"][2] == pytest.approx(10 / 60) and batch["b"][2] == pytest.approx(100 / 60)
 
 
+def test_stuck_stream_reads_the_same_facts_however_long_the_history(spark, tmp_path, monkeypatch):
+    days = 6
+    polls = [[("a", 1440 * d + m, d + m) for m in (0, 5, 10)] for d in range(days)] + [[("a", 1440 * 2 + 7, 50)]]
+    _land(tmp_path / "in", polls)
+    docs = feed.read_document_stream(spark, str(tmp_path / "in"), files_per_trigger=1)
+    read, states, whole = [], {}, feed.slice_summaries
+
+    def counted(facts):
+        read.append(facts.count())
+        return whole(facts)
+
+    def keep(rows, epoch):
+        states.update({r.station_id: tuple(r) for r in rows.collect()})
+
+    monkeypatch.setattr(feed, "slice_summaries", counted)
+    feed.stuck_stream(feed.status_stream(docs), str(tmp_path / "t"), str(tmp_path / "c"), keep, 0.0).awaitTermination()
+    assert sorted(read) == [3] * days + [4]
+    facts = tables.read_status(spark, str(tmp_path / "t")).withColumnRenamed("last_reported", "timestamp")
+    assert states == {r.station_id: tuple(r) for r in stuck_stations(facts, 0.0).collect()}
+
+
 def test_quality_stream_counts(spark, tmp_path):
     _land(tmp_path / "in", [[("a", 0, -1), ("b", 0, 3), ("b", 0, 4)]])
     seen = []

@@ -66,8 +66,11 @@ def slice_summaries(df: DataFrame, slice_width: str = SLICE) -> DataFrame:
 
 
 def station_profiles(df: DataFrame, slice_width: str = SLICE) -> DataFrame:
+    return chained(slice_summaries(df, slice_width))
+
+
+def chained(slices: DataFrame) -> DataFrame:
     """Slices chained per station: a first value unlike the last one before it is a change too."""
-    slices = slice_summaries(df, slice_width)
     chain = W.partitionBy("station_id").orderBy("slice")
     station = W.partitionBy("station_id")
     slices = slices.withColumn(
@@ -121,6 +124,11 @@ def stuck_stations(df: DataFrame, threshold_hours: float = STUCK_HOURS) -> DataF
     return _stuck(station_profiles(df), threshold_hours)
 
 
+def stuck_from_slices(slices: DataFrame, threshold_hours: float = STUCK_HOURS) -> DataFrame:
+    """``stuck_stations`` from stored slice summaries."""
+    return _stuck(chained(slices), threshold_hours)
+
+
 def station_activity(df: DataFrame) -> DataFrame:
     """Mean, population deviation, zero share, change rate and, if present, docks and capacity."""
     return _activity(station_profiles(df))

@@ -72,6 +72,24 @@ PREDICTIONS = _struct(
     ("created_at", _TS),
 )
 
+#: Summaries of the reports of a station on a UTC day (``anomaly.slice_summaries``).
+SLICES = _struct(
+    ("station_id", T.StringType()),
+    ("slice", _TS),
+    ("n", T.LongType()),
+    ("total", T.LongType()),
+    ("var", T.DoubleType()),
+    ("zeros", T.LongType()),
+    ("changes", T.LongType()),
+    ("last_change", _TS),
+    ("first_ts", _TS),
+    ("last_ts", _TS),
+    ("first_value", T.IntegerType()),
+    ("last_value", T.IntegerType()),
+    ("is_renting", T.BooleanType()),
+    ("slice_on", T.DateType()),
+)
+
 ANOMALIES = _struct(
     ("station_id", T.StringType()),
     ("detected_at", _TS),

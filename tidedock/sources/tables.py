@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from tidedock import schemas
 from tidedock.functions.labels import null_if_nan
+from tidedock.sources import versions
 from tidedock.sources.feeds import parse_station_information, read_documents
 
 ENRICHED_SCAN = ["station_id", "last_reported", *schemas.COUNT_COLS, *schemas.FLAG_COLS, *schemas.STATIC_COLS]
@@ -17,21 +18,21 @@ def read_status(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(_with_day(schemas.STATUS)).parquet(path)
 
 
-def read_predictions(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(_with_day(schemas.PREDICTIONS, "target_on")).parquet(path)
+#: Partitions of the prediction table: model and UTC day of the target time.
+PREDICTION_PARTS = ["model_name", "target_on"]
+
+
+def read_predictions(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    return versions.read(spark, path, _with_day(schemas.PREDICTIONS, "target_on"), PREDICTION_PARTS, version)
 
 
 def _with_day(schema: T.StructType, name: str = "reported_on") -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(name, T.DateType(), True)])
 
 
-def read_snapshot(spark: SparkSession, path: str, schema=schemas.INFORMATION) -> DataFrame:
-    """Newest version of a versioned snapshot (see ``writers.write_snapshot``)."""
-    table = spark.read.schema(T.StructType([*schema.fields, T.StructField("version", T.LongType(), True)])).parquet(
-        path
-    )
-    newest = table.agg(F.max("version").alias("v"))
-    return table.where(F.col("version") == newest.scalar()).drop("version")
+def read_snapshot(spark: SparkSession, path: str, schema=schemas.INFORMATION, version: int | None = None) -> DataFrame:
+    """A version of a snapshot, by default the newest (see ``writers.write_snapshot``)."""
+    return versions.read(spark, path, schema, [], version)
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:

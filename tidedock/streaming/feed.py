@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidedock import schemas
-from tidedock.functions.timefns import GRID
+from tidedock.functions.timefns import GRID, utc_day
 from tidedock.operators import quality
-from tidedock.operators.anomaly import STUCK_HOURS, stuck_stations
+from tidedock.operators.anomaly import STUCK_HOURS, slice_summaries, stuck_from_slices
+from tidedock.sources import versions
 from tidedock.sources.feeds import parse_station_status
 from tidedock.sources.tables import read_status
-from tidedock.sources.writers import append_status
+from tidedock.sources.writers import append_status, of_days
 from tidedock.staging import stage
 
 LATENESS = "1 hour"
@@ -80,22 +81,49 @@ def binned_stream(status: DataFrame, freq: str = GRID, lateness: str = LATENESS)
     )
 
 
+def update_slices(spark: SparkSession, table: str, slices: str, touched: DataFrame) -> None:
+    """Summarise the (station_id, reported_on) slices in ``touched`` anew from the status table.
+
+    Reads the days that occur in ``touched`` and nothing else of the facts; other stations' summaries of these days are
+    carried over. The days are replaced in one committed version, so a repeated call changes nothing.
+    """
+    facts = of_days(read_status(spark, table), touched, "reported_on")
+    facts = facts.join(touched, ["station_id", "reported_on"], "left_semi")
+    facts = facts.select("station_id", F.col("last_reported").alias("timestamp"), "num_bikes_available", "is_renting")
+    fresh = slice_summaries(facts)
+    fresh = fresh.withColumn("slice_on", utc_day(fresh, "slice")).select(*schemas.SLICES.fieldNames())
+    base = versions.current(spark, slices)
+    if base is not None:
+        days = touched.withColumnRenamed("reported_on", "slice_on")
+        stored = of_days(versions.read(spark, slices, schemas.SLICES, ["slice_on"], base), days, "slice_on")
+        fresh = fresh.unionByName(stored.join(days, ["station_id", "slice_on"], "left_anti"))
+    versions.replace(fresh, slices, ["slice_on"], base)
+
+
 def stuck_stream(
     status: DataFrame, table: str, checkpoint: str, sink: Callable[[DataFrame, int], None],
-    threshold_hours: float = STUCK_HOURS, order_by: list[str] = ORDER,
+    threshold_hours: float = STUCK_HOURS, order_by: list[str] = ORDER, slices: str | None = None,
 ):
-    """The stuck rule for every station of a micro-batch, from all of its stored reports.
+    """The stuck rule for every station of a micro-batch, from its stored slice summaries.
 
-    A late report can move a change that lies behind newer ones, so the rule needs the station's history. That is the
-    appended table: each micro-batch is appended first, then the batch operator runs over the stations in it.
-    Stream and batch agree in whatever order files arrive.
+    A late report can move a change that lies behind newer ones, but only inside its day or at the day's edges. Each
+    micro-batch is appended, the (station, day) slices in it are summarised anew, and the summaries of its
+    stations, one row per station and day, are chained. Facts of other days are not read, however long the history is.
+    Stream and batch agree in whatever order files arrive, and a replayed batch ends in the same state.
     """
+    slices = slices or f"{table}-slices"
 
     def follow(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        batch = stage(batch, "stuck-batch")
+        if batch.isEmpty():
+            return
         append_status(batch, table, order_by)
-        seen = stage(batch.select("station_id").distinct(), "stuck-stations")
-        history = read_status(batch.sparkSession, table).join(seen, "station_id", "left_semi")
-        sink(stuck_stations(history.withColumnRenamed("last_reported", "timestamp"), threshold_hours), epoch)
+        touched = batch.select("station_id", utc_day(batch, "last_reported").alias("reported_on")).distinct()
+        touched = stage(touched, "stuck-slices")
+        update_slices(spark, table, slices, touched)
+        known = versions.read(spark, slices, schemas.SLICES, ["slice_on"])
+        sink(stuck_from_slices(known.join(touched, "station_id", "left_semi"), threshold_hours), epoch)
 
     return _started(status, follow, checkpoint)
 
