@@ -1,3 +1,4 @@
+import itertools
 import math
 
 import numpy as np
@@ -82,6 +83,25 @@ def test_kolmogorov_tail(spark):
         assert got == pytest.approx(p, abs=1e-4)
 
 
+@pytest.mark.parametrize("n, m", [(2, 3), (5, 5), (6, 4), (1, 7)])
+def test_small_sample_share_equals_a_count_of_all_orderings(n, m):
+    gaps = []
+    for chosen in itertools.combinations(range(n + m), n):
+        i = np.cumsum(np.isin(np.arange(n + m), chosen))
+        gaps.append(np.abs(i * m - (np.arange(1, n + m + 1) - i) * n).max())
+    for reach in {0, *gaps}:
+        want = np.mean([g >= reach for g in gaps])
+        assert drift.exceeding_share(reach / (n * m), n, m) == pytest.approx(want, rel=1e-12)
+
+
+def test_p_values_switch_at_the_parameter(spark):
+    rows = spark.createDataFrame([(0.5, 30, 40), (0.2, 50, 5), (0.03, 9000, 8000)], "ks_statistic double, n_ref long, n_cur long")
+    got = {r.n_ref: r.ks_p_value for r in drift.with_p_values(rows).collect()}
+    plain = {r.n_ref: r.ks_p_value for r in drift.with_p_values(rows, 0).collect()}
+    assert got[9000] == plain[9000] and got[30] != plain[30]
+    assert got[30] == pytest.approx(drift.exceeding_share(0.5, 30, 40)) and got[50] == pytest.approx(plain[50], abs=0.05)
+
+
 def test_bin_index_follows_histogram(spark):
     rng = np.random.default_rng(5)
     values = np.concatenate([rng.normal(0, 3, 500), np.linspace(-9, 9, 37)])

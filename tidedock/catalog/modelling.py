@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidedock import schemas
 from tidedock.catalog import adapters as a
 from tidedock.catalog.oracles import (
-    PREDICTIONS, STUCK, drift_ctes, feature_ctes, feature_long, metrics, series_ctes, split_ctes, with_,
+    PREDICTIONS, STATUS, STUCK, drift_ctes, feature_ctes, feature_long, metrics, series_ctes, split_ctes, with_,
 )
 from tidedock.catalog.registry import query
 from tidedock.functions import labels
@@ -209,6 +209,40 @@ def ks_p_value(spark, sf):
     return drift.compare_distributions(_split_long(spark, sf)).select("feature", "ks_p_value")
 
 
+HALVES = """SELECT station_id, num_bikes_available AS value, (hour(last_reported) < 12)::INT AS ref,
+  (hour(last_reported) >= 12)::INT AS cur FROM status"""
+#: The share of orderings that reach the statistic, diagonal by diagonal, as one list per station.
+EXACT_KS = f"""{STATUS}, {drift_ctes('station_id', HALVES)},
+start AS (SELECT station_id, nr::BIGINT AS n, nc::BIGINT AS m, round(ks_statistic * nr * nc)::BIGINT AS g
+  FROM ks JOIN lim USING (station_id) WHERE nr >= 2 AND nc >= 2),
+sweep AS (
+  SELECT station_id, n, m, g, 0::BIGINT AS s, [CASE WHEN g <= 0 THEN 1.0::DOUBLE ELSE 0.0 END FOR i IN range(n + 1)] AS b
+  FROM start WHERE n * m <= 250000
+  UNION ALL
+  SELECT station_id, n, m, g, s + 1, list_transform(range(n + 1), lambda i: CASE WHEN abs(i * m - (s + 1 - i) * n) >= g THEN 1.0
+    ELSE (CASE WHEN i > 0 THEN i * b[i] ELSE 0 END + greatest(s + 1 - i, 0) * b[i + 1]) / (s + 1)::DOUBLE END)
+  FROM sweep WHERE s < n + m)"""
+
+
+@query(
+    "station_ks",
+    f"""WITH RECURSIVE {EXACT_KS} SELECT station_id, round(ks_statistic, 6) AS ks_statistic, n AS n_ref, m AS n_cur,
+      round(coalesce(w.b[w.n + 1], ks_p_value), 6) AS ks_p_value
+      FROM start JOIN drift USING (station_id)
+      LEFT JOIN (SELECT station_id, n, b FROM sweep WHERE s = n + m) w USING (station_id)""".replace("n AS n_ref", "start.n AS n_ref"),
+)
+def station_ks(spark, sf):
+    """Loads of each station before and after noon; stations have few reports, so most p-values are exact."""
+    early = F.hour("last_reported") < 12
+    long = a.status(spark, sf).select(
+        "station_id",
+        F.col("num_bikes_available").cast("double").alias("value"),
+        early.cast("int").alias("ref"),
+        (~early).cast("int").alias("cur"),
+    )
+    return drift.with_p_values(drift.ks_statistics(long, "station_id"))
+
+
 @query("feature_drift", with_(FEATURE_DRIFT, VERDICT, DRIFT))
 def feature_drift(spark, sf):
     return drift.ranked(drift.split_feature_drift(a.drift_splits(spark, sf)))

@@ -10,7 +10,7 @@ from tidedock import schemas
 from tidedock.catalog import adapters as a
 from tidedock.catalog.curated import DAILY, DOCUMENTS, FACTS
 from tidedock.catalog.modelling import BASELINES, ERRORS, REPORT, REPORT_DOUBLES, STUCK_SERIES, TEST
-from tidedock.catalog.oracles import PREDICTIONS, STATUS, STUCK, feature_ctes, metrics, split_ctes, with_
+from tidedock.catalog.oracles import INFO, PREDICTIONS, STATUS, STUCK, feature_ctes, metrics, split_ctes, with_
 from tidedock.catalog.registry import query
 from tidedock.operators import anomaly, drift, models
 from tidedock.operators import metrics as m
@@ -119,16 +119,16 @@ def rejected_records(spark, sf):
 
 @query(
     "discover_feeds",
-    """SELECT lower(n_name) || '_status' AS name, 'https://feeds.invalid/' || CASE WHEN n_nationkey % 3 = 0 THEN 'pt' ELSE 'en' END
-      || '/' || n_nationkey AS url FROM nation""",
+    """SELECT lower(s_name) || '_status' AS name, 'https://feeds.invalid/' || CASE WHEN s_suppkey % 3 = 0 THEN 'pt' ELSE 'en' END
+      || '/' || s_suppkey AS url FROM supplier""",
 )
 def discover_feeds(spark, sf):
-    """One discovery document per nation; some offer the fallback language only."""
-    documents = a.table(spark, sf, "nation").selectExpr(
-        "CASE WHEN n_nationkey % 3 = 0 THEN 'pt' ELSE 'en' END AS lang", "n_name", "n_nationkey"
+    """One discovery document per supplier; some offer the fallback language only."""
+    documents = a.table(spark, sf, "supplier").selectExpr(
+        "CASE WHEN s_suppkey % 3 = 0 THEN 'pt' ELSE 'en' END AS lang", "s_name", "s_suppkey"
     ).selectExpr(
         """to_json(named_struct('ttl', 60, 'data', map(lang, named_struct('feeds', array(named_struct(
-             'name', concat(lower(n_name), '_status'), 'url', concat('https://feeds.invalid/', lang, '/', n_nationkey))))))) AS document"""
+             'name', concat(lower(s_name), '_status'), 'url', concat('https://feeds.invalid/', lang, '/', s_suppkey))))))) AS document"""
     )
     return feeds.discover_feeds(documents)
 
@@ -193,6 +193,33 @@ def stream_stuck(spark, sf):
     return updates.groupBy("station_id").agg(F.max_by(F.struct(*columns), "epoch").alias("r")).select("station_id", "r.*")
 
 
+@query(
+    "stream_quality",
+    with_(f"""{DOCUMENTS}, {INFO}, parsed AS (SELECT *, event_id % 4 AS batch FROM docs WHERE NOT broken AND status IS NOT NULL)""",
+          """SELECT batch, count(*) AS n_rows,
+      count(*) FILTER (WHERE station_id NOT IN (SELECT station_id FROM station_information)) AS orphan_status_rows,
+      count(*) FILTER (WHERE num_bikes_available < 0 OR num_docks_available < 0) AS negative_availability,
+      0::BIGINT AS ingestion_before_last_reported,
+      (SELECT count(*) FROM (SELECT 1 FROM parsed q WHERE q.batch = p.batch GROUP BY q.station_id, q.last_reported
+        HAVING count(*) > 1)) AS duplicate_grain_keys
+      FROM parsed p GROUP BY batch"""),
+)
+def stream_quality(spark, sf):
+    """Quality counters of four micro-batches, one landed file each."""
+    path, out = _path(spark, "landed"), _path(spark, "quality-updates")
+    documents = a.status_documents(spark, sf).withColumn("batch", F.col("event_id") % 4)
+    documents.repartition("batch").write.partitionBy("batch").parquet(path)
+
+    def keep(counters, epoch):
+        counters.write.mode("append").parquet(out)
+
+    kinds = "event_id long, document string, batch long"
+    landed = spark.readStream.schema(kinds).option("maxFilesPerTrigger", 1).parquet(path)
+    run = feed.quality_stream(feed.status_stream(landed), a.information(spark, sf), keep, _path(spark, "quality-state"), ["batch"])
+    run.awaitTermination()
+    return spark.read.parquet(out)
+
+
 # -- monitoring and anomalies --------------------------------------------------------------------
 
 

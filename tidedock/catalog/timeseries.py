@@ -368,6 +368,11 @@ def feature_summary_delta(spark, sf):
     return aggregates.summary_delta(split_sides(a.splits(spark, sf), schemas.FEATURE_COLS))
 
 
-@query("hash_sample")
+@query(
+    "hash_sample",
+    with_(feature_ctes(), f"""SELECT {KEY}, {', '.join(FEATURES)}, y FROM features
+      ORDER BY md5(concat_ws('|', station_id, CAST("timestamp" AS VARCHAR), '42')), station_id, "timestamp" LIMIT 5000""",
+          FEATURE_DOUBLES),
+)
 def hash_sample(spark, sf):
     return features.hash_sample(a.features(spark, sf), 5000, ["station_id", "timestamp"])

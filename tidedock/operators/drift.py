@@ -8,9 +8,12 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidedock import schemas
 from tidedock.functions import labels
@@ -25,6 +28,8 @@ KS_ALPHA = 0.05
 PSI_THRESHOLD = 0.2
 ROLLING_ROWS = 96
 MIN_PREDICTIONS = 96
+#: Up to so many pairs of sample sizes the p-value counts orderings exactly; a parameter, not a property of the data.
+EXACT_PAIRS = 250_000
 
 
 def _rolling_mae(rows: DataFrame, order: WindowSpec, window: int) -> DataFrame:
@@ -141,12 +146,47 @@ def ks_statistics(long: DataFrame, group: str = "feature") -> DataFrame:
     )
 
 
-def compare_distributions(long: DataFrame, group: str = "feature", n_bins: int = PSI_BINS) -> DataFrame:
+def exceeding_share(statistic: float, n: int, m: int) -> float:
+    """Share of the equally likely orderings of two samples whose KS statistic reaches ``statistic``.
+
+    An ordering is a path from (0, 0) to (n, m). The share of paths to a point that have touched the bound before is a weighted
+    mean of the shares at the two points ahead of it, so one sweep over the diagonals needs only sums of
+    positive terms and keeps small values exact to many digits.
+    """
+    reach = round(statistic * n * m)
+    i = np.arange(n + 1)
+    share = np.full(n + 1, float(reach <= 0))
+    for s in range(1, n + m + 1):
+        j = s - i
+        share = (i * np.r_[0.0, share[:-1]] + np.maximum(j, 0) * share) / s
+        share[np.abs(i * m - j * n) >= reach] = 1.0
+    return float(share[n])
+
+
+@F.pandas_udf(T.DoubleType())
+def _exact_p(statistic: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+    """One value per compared group, not per row of the data."""
+    return pd.Series([exceeding_share(d, int(a), int(b)) for d, a, b in zip(statistic, n, m)], dtype="float64")
+
+
+def with_p_values(ks: DataFrame, exact_pairs: int = EXACT_PAIRS) -> DataFrame:
+    """``ks_p_value`` for (ks_statistic, n_ref, n_cur): exact for small samples, the Kolmogorov series beyond."""
+    series = ks_p_value(F.col("ks_statistic"), F.col("n_ref"), F.col("n_cur"))
+    # Larger groups enter the function as samples of one value each, so its work stays bounded.
+    small = F.col("n_ref") * F.col("n_cur") <= exact_pairs
+    size = lambda c: F.when(small, F.col(c)).otherwise(1)
+    return ks.withColumn("_exact", _exact_p("ks_statistic", size("n_ref"), size("n_cur"))).select(
+        *ks.columns, F.when(small, F.col("_exact")).otherwise(series).alias("ks_p_value")
+    )
+
+
+def compare_distributions(
+    long: DataFrame, group: str = "feature", n_bins: int = PSI_BINS, exact_pairs: int = EXACT_PAIRS
+) -> DataFrame:
     """PSI, KS statistic and its p-value per group from ``(group, value, ref, cur)`` rows, which are read three times."""
-    ks = ks_statistics(long, group)
-    p_value = ks_p_value(F.col("ks_statistic"), F.col("n_ref"), F.col("n_cur")).alias("ks_p_value")
+    ks = with_p_values(ks_statistics(long, group), exact_pairs)
     both = psi_scores(long, group, n_bins).select(group, "psi").join(ks, group)
-    return both.select(group, "psi", "ks_statistic", p_value, "n_ref", "n_cur")
+    return both.select(group, "psi", "ks_statistic", "ks_p_value", "n_ref", "n_cur")
 
 
 def feature_drift(

@@ -121,5 +121,6 @@ def feature_frame(df: DataFrame) -> DataFrame:
 
 
 def hash_sample(df: DataFrame, n: int, keys: list[str], seed: int = 42) -> DataFrame:
-    """Exactly ``min(n, rows)`` rows, the same ones on every run: the smallest key hashes."""
-    return df.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys).limit(n)
+    """Exactly ``min(n, rows)`` rows, the same ones on every run: the smallest MD5 digests of keys and seed."""
+    text = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
+    return df.orderBy(F.md5(F.concat_ws("|", *text, F.lit(seed))), *keys).limit(n)

@@ -129,14 +129,19 @@ def stuck_stream(
 
 
 def quality_stream(
-    status: DataFrame, information: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str
+    status: DataFrame, information: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str,
+    labels: list[str] | None = None,
 ):
-    """The four quality counters of every micro-batch, handed to ``sink`` with its row count."""
+    """The four quality counters of every micro-batch, handed to ``sink`` with its row count.
+
+    ``labels`` are columns with one value per micro-batch, such as a partition of the landed files; the least is passed on.
+    """
 
     def check(batch: DataFrame, epoch: int) -> None:
         rows = stage(batch, "quality-batch")
         report = quality.dq_report(rows, information)
         counters = report.groupBy().pivot("name", quality.CHECKS).agg(F.first("violation_count"))
-        sink(counters.withColumn("n_rows", F.lit(rows.count())), epoch)
+        sizes = rows.agg(F.count("*").alias("n_rows"), *[F.min(c).alias(c) for c in labels or []]).first().asDict()
+        sink(counters.withColumns({c: F.lit(v) for c, v in sizes.items()}), epoch)
 
     return _started(status, check, checkpoint)
