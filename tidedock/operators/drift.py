@@ -8,12 +8,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidedock import schemas
 from tidedock.functions import labels
@@ -146,38 +143,35 @@ def ks_statistics(long: DataFrame, group: str = "feature") -> DataFrame:
     )
 
 
-def exceeding_share(statistic: float, n: int, m: int) -> float:
+def exceeding_share(statistic: Column, n: Column, m: Column) -> Column:
     """Share of the equally likely orderings of two samples whose KS statistic reaches ``statistic``.
 
     An ordering is a path from (0, 0) to (n, m). The share of paths to a point that have touched the bound before is a weighted
     mean of the shares at the two points ahead of it, so one sweep over the diagonals needs only sums of
-    positive terms and keeps small values exact to many digits.
+    positive terms and keeps small values exact to many digits. A diagonal has as many points as the smaller sample.
     """
-    reach = round(statistic * n * m)
-    i = np.arange(n + 1)
-    share = np.full(n + 1, float(reach <= 0))
-    for s in range(1, n + m + 1):
-        j = s - i
-        share = (i * np.r_[0.0, share[:-1]] + np.maximum(j, 0) * share) / s
-        share[np.abs(i * m - j * n) >= reach] = 1.0
-    return float(share[n])
+    small, large = F.least(n, m).cast("long"), F.greatest(n, m).cast("long")
+    reach = F.round(statistic * small * large)
+    places = F.sequence(F.lit(0).cast("long"), small)
 
+    def next_diagonal(share: Column, s: Column) -> Column:
+        def at(i: Column) -> Column:
+            left = F.coalesce(F.get(share, (i - 1).cast("int")), F.lit(0.0)) * i
+            below = F.get(share, i.cast("int")) * F.greatest(s - i, F.lit(0).cast("long"))
+            return F.when(F.abs(i * large - (s - i) * small) >= reach, 1.0).otherwise((left + below) / s)
 
-@F.pandas_udf(T.DoubleType())
-def _exact_p(statistic: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
-    """One value per compared group, not per row of the data."""
-    return pd.Series([exceeding_share(d, int(a), int(b)) for d, a, b in zip(statistic, n, m)], dtype="float64")
+        return F.transform(places, at)
+
+    first = F.transform(places, lambda i: F.when(reach <= 0, 1.0).otherwise(0.0))
+    last = F.aggregate(F.sequence(F.lit(1).cast("long"), small + large), first, next_diagonal)
+    return F.element_at(last, -1)
 
 
 def with_p_values(ks: DataFrame, exact_pairs: int = EXACT_PAIRS) -> DataFrame:
     """``ks_p_value`` for (ks_statistic, n_ref, n_cur): exact for small samples, the Kolmogorov series beyond."""
-    series = ks_p_value(F.col("ks_statistic"), F.col("n_ref"), F.col("n_cur"))
-    # Larger groups enter the function as samples of one value each, so its work stays bounded.
-    small = F.col("n_ref") * F.col("n_cur") <= exact_pairs
-    size = lambda c: F.when(small, F.col(c)).otherwise(1)
-    return ks.withColumn("_exact", _exact_p("ks_statistic", size("n_ref"), size("n_cur"))).select(
-        *ks.columns, F.when(small, F.col("_exact")).otherwise(series).alias("ks_p_value")
-    )
+    sizes = F.col("ks_statistic"), F.col("n_ref"), F.col("n_cur")
+    exact = F.when(F.col("n_ref") * F.col("n_cur") <= exact_pairs, exceeding_share(*sizes))
+    return ks.select(*ks.columns, exact.otherwise(ks_p_value(*sizes)).alias("ks_p_value"))
 
 
 def compare_distributions(
