@@ -11,8 +11,10 @@ overlap and are judged on the input. Only a part of all suffixes is sorted:
    order have the same window; all but those in the smallest document are removed (`repeated_stretches`).
 3. Stretches are united per document (`remove_repeats`).
 
-Keys with very many runs (found in step 1, a bounded number, broadcast) are cut into single windows that meet
-by their own hash, so no group grows with one frequent passage. Nothing is sampled or capped.
+Keys with at least ``HOT_RUNS`` runs (found in step 1) are broadcast and cut into single windows that meet
+by their own hash, so no group grows with one frequent passage. At most ``HOT_KEYS`` keys, those with most runs, are
+broadcast; further ones are sorted like all others. The number of buckets follows the bytes of the texts, so a bucket, which
+a task holds whole, does not grow with the table. Nothing is sampled or capped.
 
 Null text is empty and a null id counts as smaller than all others. Rows with equal ``doc_id`` never remove
 anything from each other; each row is judged by its own text. Texts shorter than ``span`` bytes stay whole.
@@ -37,8 +39,12 @@ SPAN = 50
 GRAM = 20
 #: Longest run, in windows, that travels as one record.
 MAX_RUN = 64
-#: Runs from which a key counts as hot, at least; see ``hot_limit``.
+#: Runs from which a key counts as hot, whatever the size of the table.
 HOT_RUNS = 20_000
+#: Most hot keys that are broadcast (8 bytes each).
+HOT_KEYS = 1_000_000
+#: Bytes of text per shuffle partition, each of two buckets; their keys and marked runs take about as much.
+PARTITION_BYTES = 64 << 20
 
 _KEY = np.uint64(0xA0761D6478BD642F)
 _NULL_ID = -(2**63)
@@ -170,7 +176,7 @@ def _shared_keys(hot_limit: int):
         count = _joined(table, "counts", np.int32)
         order = np.lexsort((doc, key))
         key, doc, number, count = key[order], doc[order], number[order], count[order]
-        hot = np.zeros(0, np.uint64)
+        hot, hot_size = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         docs, numbers = np.zeros(0, np.int64), np.zeros(0, np.int32)
         if len(key):
             first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
@@ -179,14 +185,15 @@ def _shared_keys(hot_limit: int):
             shared = (doc[first] != doc[last]) | (np.maximum.reduceat(count, first) > 1)
             marked = np.repeat(shared, size) & (count == 1)
             docs, numbers = doc[marked], number[marked]
-            hot = key[first][np.add.reduceat(count.astype(np.int64), first) >= hot_limit]
+            runs = np.add.reduceat(count.astype(np.int64), first)
+            hot, hot_size = key[first][runs >= hot_limit], np.minimum(runs[runs >= hot_limit], 2**31 - 1)
         docs = np.r_[docs, _joined(table, "found_docs", np.int64)]
         numbers = np.r_[numbers, _joined(table, "found_numbers", np.int32)]
-        # One row of null documents per hot key.
+        # One row without document per hot key; its number is that of the key's runs.
         return pa.table(
             {
                 "doc": pa.array(np.r_[docs, np.zeros(len(hot), np.int64)], mask=np.r_[np.zeros(len(docs), bool), np.ones(len(hot), bool)]),
-                "number": pa.array(np.r_[numbers, np.zeros(len(hot), np.int32)]),
+                "number": pa.array(np.r_[numbers, hot_size].astype(np.int32)),
                 "hot_key": pa.array(np.r_[np.zeros(len(docs), np.int64), hot.view(np.int64)], mask=np.r_[np.ones(len(docs), bool), np.zeros(len(hot), bool)]),
             }
         )
@@ -194,8 +201,9 @@ def _shared_keys(hot_limit: int):
     return reduce
 
 
-def shared_runs(docs: DataFrame, buckets: int, hot_limit: int, flush: int = 1 << 19) -> DataFrame:
+def shared_runs(docs: DataFrame, partitions: int, hot_limit: int, flush: int = 1 << 19) -> DataFrame:
     """(doc, number) of runs whose key occurs in two documents; and rows with a ``hot_key``."""
+    buckets = 2 * partitions
 
     def keys_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
@@ -212,7 +220,7 @@ def shared_runs(docs: DataFrame, buckets: int, hot_limit: int, flush: int = 1 <<
             yield _send_keys(*map(np.concatenate, zip(*held)), buckets, turn)
 
     rows = docs.select(_doc().alias("doc"), "text").mapInArrow(trimmed(keys_of), _KEY_ROWS)
-    return rows.groupBy("bucket").applyInArrow(_shared_keys(hot_limit), _FOUND)
+    return rows.repartition(partitions, "bucket").groupBy("bucket").applyInArrow(_shared_keys(hot_limit), _FOUND)
 
 
 # --- 2: marked runs meet and are sorted -------------------------------------------------------------------------
@@ -366,8 +374,9 @@ def _sort_runs(span: int, limit: int = 1 << 20):
     return reduce
 
 
-def repeated_stretches(docs: DataFrame, found: DataFrame, hot: np.ndarray, buckets: int, flush: int = 3 << 20) -> DataFrame:
+def repeated_stretches(docs: DataFrame, found: DataFrame, hot: np.ndarray, partitions: int, flush: int = 3 << 20) -> DataFrame:
     """(doc, version, start, stop) of byte stretches to remove; several rows per document, which may overlap."""
+    buckets = 2 * partitions
     marks = found.where("doc IS NOT NULL").groupBy("doc").agg(F.collect_list("number").alias("numbers"))
     rows = docs.select(_doc().alias("doc"), F.xxhash64(text_or_empty()).alias("version"), "text").join(marks, "doc")
 
@@ -406,26 +415,28 @@ def repeated_stretches(docs: DataFrame, found: DataFrame, hot: np.ndarray, bucke
             yield _send_runs(held, buckets, SPAN, turn)
 
     sent = rows.mapInArrow(trimmed(runs_of), _RUN_ROWS)
-    return sent.groupBy("bucket").applyInArrow(_sort_runs(SPAN), _STRETCHES)
+    return sent.repartition(partitions, "bucket").groupBy("bucket").applyInArrow(_sort_runs(SPAN), _STRETCHES)
 
 
 # --- 3: documents without the repeats -----------------------------------------------------------------------------
 
 
-def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = (), hot_runs: int = HOT_RUNS) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, carry: tuple[str, ...] = (), hot_runs: int = HOT_RUNS, hot_keys: int = HOT_KEYS,
+    partition_bytes: int = PARTITION_BYTES,
+) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept) and the columns in ``carry`` for every row of ``docs``.
 
-    ``kept`` holds the remaining bytes. A key is hot if it has at least ``hot_runs`` runs and as many as a
-    thousandth of all documents.
+    ``kept`` holds the remaining bytes. The result does not depend on ``hot_runs``, ``hot_keys`` and ``partition_bytes``.
     """
     spark = docs.sparkSession
-    buckets = 2 * shuffle_partitions(spark)
-    hot_limit = max(hot_runs, docs.count() // 1000)
-    found = stage(shared_runs(docs, buckets, hot_limit), "shared-runs")
-    # Every document has a bounded number of runs on average, so hot keys are a few thousand times that at most.
-    hot_rows = found.where("hot_key IS NOT NULL").select("hot_key").distinct().collect()
-    hot = np.array([r[0] for r in hot_rows], np.int64).view(np.uint64)
-    stretches = stage(repeated_stretches(docs, found, hot, buckets), "stretches")
+    n_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    partitions = max(shuffle_partitions(spark), -(-n_bytes // partition_bytes))
+    found = stage(shared_runs(docs, partitions, hot_runs), "shared-runs")
+    # A key lies in one bucket, so it is named once.
+    most = found.where("hot_key IS NOT NULL").orderBy(F.col("number").desc(), "hot_key").limit(hot_keys)
+    hot = np.array([r[0] for r in most.select("hot_key").collect()], np.int64).view(np.uint64)
+    stretches = stage(repeated_stretches(docs, found, hot, partitions), "stretches")
     per_doc = stretches.groupBy("doc", "version").agg(
         F.collect_list("start").alias("starts"), F.collect_list("stop").alias("stops")
     )
