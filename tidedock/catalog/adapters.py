@@ -160,8 +160,16 @@ def drift_splits(spark: SparkSession, sf: str) -> DataFrame:
 
     Equal windows can differ in the last digit of their deviation, which would count as different values.
     """
-    cols = ["bikes_rolling_mean_1h", "bikes_rolling_std_1h"]
-    return splits(spark, sf).withColumns({c: F.round(c, 9) for c in cols})
+    return _nine_decimals(splits(spark, sf))
+
+
+def drift_features(spark: SparkSession, sf: str) -> DataFrame:
+    """Feature rows with the rolling features at nine decimals, as in `drift_splits`."""
+    return _nine_decimals(features(spark, sf))
+
+
+def _nine_decimals(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({c: F.round(c, 9) for c in ["bikes_rolling_mean_1h", "bikes_rolling_std_1h"]})
 
 
 def baselines_of(rows: DataFrame) -> DataFrame:

@@ -12,11 +12,12 @@ from tidedock.catalog.oracles import (
 from tidedock.catalog.registry import query
 from tidedock.functions import labels
 from tidedock.functions.stats import mae_alert as mae_alert_expr
-from tidedock.operators import aggregates, anomaly, drift, models
+from tidedock.operators import aggregates, anomaly, drift, models, profiles
 from tidedock.operators import metrics as m
 from tidedock.plans import anomalies as anomaly_plan
 from tidedock.plans import monitoring, training
 from tidedock.sources import tables
+from tidedock.staging import stage
 
 ERRORS = ["mae", "rmse", "r2"]
 PLACE = ["lat", "lon"]
@@ -248,6 +249,38 @@ def feature_drift(spark, sf):
     return drift.ranked(drift.split_feature_drift(a.drift_splits(spark, sf)))
 
 
+#: Days up to this one are the reference side of stored profiles, later ones the current side.
+PROFILE_CUT = "2024-01-20"
+
+
+@query(
+    "feature_drift_from_profiles",
+    with_(f"""{split_ctes()}, {drift_ctes('feature', feature_long(
+        f'"timestamp" < DATE {chr(39)}{PROFILE_CUT}{chr(39)}', f'"timestamp" >= DATE {chr(39)}{PROFILE_CUT}{chr(39)}'))}""",
+          VERDICT, DRIFT),
+)
+def feature_drift_from_profiles(spark, sf):
+    counts = stage(profiles.daily_counts(a.drift_features(spark, sf)), "daily-counts")
+    early = F.col("day") < F.lit(PROFILE_CUT).cast("date")
+    return profiles.feature_drift_from_profiles(counts, early, ~early)
+
+
+@query(
+    "feature_summary_sketched",
+    with_(f"""{feature_ctes()}, long AS (SELECT feature, value FROM (SELECT {', '.join(
+        f'CAST({c} AS DOUBLE) AS {c}' for c in schemas.FEATURE_COLS)} FROM features)
+      UNPIVOT (value FOR feature IN ({', '.join(schemas.FEATURE_COLS)})))""",
+          """SELECT feature, count(*) AS n, avg(value) AS mean, min(value) AS min, max(value) AS max,
+      true AS q25_within, true AS q50_within, true AS q75_within FROM long GROUP BY 1""", ["mean", "min", "max"]),
+)
+def feature_summary_sketched(spark, sf):
+    """Daily sketches merged over all days; the flags compare each estimate's exact rank with 1 % tolerance."""
+    rows = a.staged_features(spark, sf)
+    summary = profiles.merged_summary(profiles.daily_sketches(rows), ["feature"])
+    checked = profiles.quantiles_within(summary, profiles.daily_counts(rows), 0.01)
+    return checked.select("feature", "n", "mean", "min", "max", "q25_within", "q50_within", "q75_within")
+
+
 @query(
     "drift_summary",
     with_(FEATURE_DRIFT, f"""SELECT *, CASE WHEN drift_score * 100 < 20 THEN 'low' WHEN drift_score * 100 < 50

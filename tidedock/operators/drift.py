@@ -192,7 +192,7 @@ def feature_drift(
 ) -> DataFrame:
     """One row per feature; features with fewer than two values on a side are left out."""
     compared = compare_distributions(two_sides(reference, current, features))
-    return _with_verdict(compared, psi_threshold, ks_alpha)
+    return with_verdict(compared, psi_threshold, ks_alpha)
 
 
 def split_sides(
@@ -212,10 +212,11 @@ def split_feature_drift(
     splits: DataFrame, features: list[str] = schemas.FEATURE_COLS, reference: str = "train", current: str = "test"
 ) -> DataFrame:
     long = split_sides(splits, features, reference, current)
-    return _with_verdict(compare_distributions(long), PSI_THRESHOLD, KS_ALPHA)
+    return with_verdict(compare_distributions(long), PSI_THRESHOLD, KS_ALPHA)
 
 
-def _with_verdict(compared: DataFrame, psi_threshold: float, ks_alpha: float) -> DataFrame:
+def with_verdict(compared: DataFrame, psi_threshold: float, ks_alpha: float) -> DataFrame:
+    """Drift flag, status and severity of compared distributions."""
     drifted = (F.col("psi") > psi_threshold) | (F.col("ks_p_value") < ks_alpha)
     return compared.select(
         "feature",

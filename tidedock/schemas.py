@@ -152,3 +152,18 @@ def require_columns(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     if missing:
         raise KeyError(f"missing columns: {', '.join(missing)}")
     return df
+
+#: Stored daily profiles, see ``operators/profiles.py``; partitioned by ``day``.
+VALUE_COUNTS = _struct(
+    ("day", T.DateType()), ("feature", T.StringType()), ("value", T.DoubleType()), ("n", T.LongType())
+)
+VALUE_SKETCHES = _struct(
+    ("day", T.DateType()),
+    ("feature", T.StringType()),
+    ("n", T.LongType()),
+    ("total", T.DoubleType()),
+    ("lo", T.DoubleType()),
+    ("hi", T.DoubleType()),
+    ("quantiles", T.BinaryType()),
+    ("distinct", T.BinaryType()),
+)

@@ -102,6 +102,11 @@ def read_feature_importance(spark: SparkSession, path: str) -> DataFrame:
     return _read_json(spark, path, schemas.IMPORTANCE, missing_ok=True)
 
 
+def read_profiles(spark: SparkSession, path: str, schema: T.StructType, version: int | None = None) -> DataFrame:
+    """Stored daily profiles (``schemas.VALUE_COUNTS`` or ``VALUE_SKETCHES``); a filter on ``day`` prunes partitions."""
+    return versions.read(spark, path, schema, ["day"], version)
+
+
 def _read_json(spark: SparkSession, path: str, schema, missing_ok: bool) -> DataFrame:
     from pyspark.errors import AnalysisException
 
