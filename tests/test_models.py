@@ -132,6 +132,28 @@ def test_path_contributions_add_up_to_the_prediction(splits):
     assert {model.features[r.feature]: pytest.approx(r.g) for r in nodes} == {k: v for k, v in gain.items() if v}
 
 
+def test_a_pass_adds_up_the_smaller_siblings_in_at_most_one_task_a_core(spark, splits, monkeypatch):
+    train = _part(splits, "train").repartition(9)
+    passes, total = [], boosting.Blocks.total
+
+    def watched(blocks, work, trees):
+        passes.append((blocks.rdd.getNumPartitions(), total(blocks, work, trees)))
+        return passes[-1][1]
+
+    monkeypatch.setattr(boosting.Blocks, "total", watched)
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 50)
+    model = models.fit_boosted(train, None, maxIter=1, maxDepth=4, minInstancesPerNode=5)
+    counted = [int(sums[0, :, 0].sum()) for _, sums in passes]
+    rows = train.select(*schemas.FEATURE_COLS, "y").toPandas().astype(float)
+    assert counted[0] == len(rows) and len(counted) == 4 and all(n <= len(rows) / 2 for n in counted[1:])
+    assert all(tasks <= spark.sparkContext.defaultParallelism for tasks, _ in passes)
+    tree, x = model.trees[0], rows[schemas.FEATURE_COLS].to_numpy().T
+    at = tree.of_values(np.ascontiguousarray(x))
+    for leaf in np.flatnonzero(tree.feature < 0):
+        assert (at == leaf).sum() == tree.n[leaf]
+        assert tree.value[leaf] == pytest.approx(0.05 * (rows["y"][at == leaf] - model.base).mean())
+
+
 def test_boosting_without_rows(splits):
     none = _part(splits, "train").limit(0)
     model = models.fit_boosted(none, none, maxIter=2)
