@@ -229,6 +229,27 @@ def test_language_held_out_accuracy_and_edges(spark):
     assert language.identify(df.limit(0), learned).count() == 0
 
 
+def test_toxicity_sample_moves_texts_of_the_first_cut_only(spark, monkeypatch):
+    rows = [(i % 590, f"text {i % 595}", int(i % 590 < 40)) for i in range(600)]  # repeated ids, with equal and with other texts
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    whole = {k: toxicity.bounded_sample(df.where(f"toxic = {k}"), "toxic", 10, toxicity.SALT).collect() for k in (0, 1)}
+    moved, learned, sample = [], [], toxicity.bounded_sample
+    monkeypatch.setattr(toxicity, "SAMPLE_TOXIC", 10)
+    monkeypatch.setattr(toxicity, "SAMPLE_ORDINARY", 10)
+
+    def watched(rows, *rest):
+        moved.append(rows.count())
+        return sample(rows, *rest)
+
+    monkeypatch.setattr(toxicity, "bounded_sample", watched)
+    monkeypatch.setattr(toxicity, "fit", lambda sample, counts: learned.append((sample, counts)))
+    toxicity.learn(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+    (got, counts), = learned
+    assert sum(moved) < 200 and counts == {k: sum(r[2] == k for r in rows) for k in (0, 1)}
+    for k in (0, 1):
+        assert sorted((r.doc_id, r.text) for r in got if r.toxic == k) == sorted((r.doc_id, r.text) for r in whole[k])
+
+
 def test_toxicity_held_out_accuracy_and_edges(spark):
     rng = random.Random(2)
     plain = ["".join(rng.choice("abdeilmnorstu") for _ in range(rng.randint(2, 8))) for _ in range(400)]

@@ -22,11 +22,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidedock.llm.compression import bounded_sample, compressor, dictionary, distinct_texts, document_frequency, letters, passage
+from tidedock.llm.compression import (
+    bounded_sample, compressor, cut_share, dictionary, distinct_texts, document_frequency, hash_share, letters, passage,
+)
 
 SAMPLE_TOXIC = 3_000
 SAMPLE_ORDINARY = 6_000
 SAMPLE_CHARS = 20_000
+SALT = 3
 WINDOW = 256
 OVERLAP = 12
 LEVEL = 7
@@ -123,12 +126,18 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     """``docs`` (doc_id, text) and ``labels`` (doc_id, toxic), both only of rows that may be learned from."""
     marks = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     rows = docs.where(F.col("text").isNotNull()).select("doc_id", passage(SAMPLE_CHARS).alias("text"))
-    rows = rows.join(marks, "doc_id").withColumn("toxic", (F.col("toxic") > 0).cast("int"))
-    counts = {r[0]: r[1] for r in rows.groupBy("toxic").count().collect()}
+    marks = marks.withColumn("toxic", (F.col("toxic") > 0).cast("int"))
+    counts = {r[0]: r[1] for r in rows.select("doc_id").join(marks, "doc_id").groupBy("toxic").count().collect()}
     if not counts.get(0) or not counts.get(1):
         return Model(b" ", b" ")
-    toxic = bounded_sample(rows.where("toxic = 1"), "toxic", SAMPLE_TOXIC, 3)
-    ordinary = bounded_sample(rows.where("toxic = 0"), "toxic", SAMPLE_ORDINARY, 3)
+    # Which rows the first cut keeps is decided on hashes; texts move only for the ids that it names, few at any size.
+    sizes = {1: SAMPLE_TOXIC, 0: SAMPLE_ORDINARY}
+    hashed = rows.select("doc_id", hash_share(SALT).alias("share")).join(marks, "doc_id")
+    least = F.create_map(*[F.lit(v) for k, n in sizes.items() for v in (k, cut_share(n, counts[k]))])
+    named = hashed.where(F.col("share") < least[F.col("toxic")]).select("doc_id", "toxic").distinct()
+    rows = rows.join(F.broadcast(named), "doc_id")
+    toxic = bounded_sample(rows.where("toxic = 1"), "toxic", SAMPLE_TOXIC, SALT, {1: counts[1]})
+    ordinary = bounded_sample(rows.where("toxic = 0"), "toxic", SAMPLE_ORDINARY, SALT, {0: counts[0]})
     sample = toxic.unionByName(ordinary).select("doc_id", "text", "toxic").collect()  # bounded by the parameters
     return fit(sample, counts)
 
