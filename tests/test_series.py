@@ -46,6 +46,18 @@ def test_grid_equals_pandas_and_dense_form(spark, raw_status):
     assert sorted((r.station_id, r.timestamp, r.num_bikes_available) for r in dense.collect()) == got
 
 
+def test_dense_grid_shuffles_bins_and_not_the_grid(spark, raw_status):
+    bins = regularise.bin_status(raw_status([("a", 0, 1), ("a", 60, 2), ("b", 30, 3)]), lasts=[]).drop("first_seen", "last_seen")
+    filled = regularise.ffill_limited(regularise.dense_grid(bins), schemas.COUNT_COLS)
+    plan = filled._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+    physical = filled._jdf.queryExecution().sparkPlan().toString()
+    prepared = filled._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" in physical and "Exchange" not in prepared.split("Generate")[0]
+    grid = regularise.dense_grid(bins).groupBy("station_id").agg(F.count("*").alias("n"), F.count("num_bikes_available").alias("v"))
+    assert {r.station_id: (r.n, r.v) for r in grid.collect()} == {"a": (5, 2), "b": (1, 1)}
+
+
 def test_last_non_null_flags(spark, raw_status):
     raw = raw_status([("a", 0, 1), ("a", 3, 1)]).withColumn(
         "is_renting", F.when(F.minute("last_reported") == 0, F.lit(False)))
