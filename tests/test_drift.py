@@ -195,3 +195,12 @@ def test_metrics_edge_cases(spark):
     row = get([(1.0, 2.0), (3.0, 2.0), (5.0, 5.0)])
     assert (row.mae, row.rmse) == (pytest.approx(2 / 3), pytest.approx(math.sqrt(2 / 3)))
     assert row.r2 == pytest.approx(1 - 2 / 8)
+
+
+def test_exact_p_values_are_spread_over_tasks(spark):
+    rows = [(f"s{g}", float((g * 7 + i * 3) % 11), i % 2, 1 - i % 2) for g in range(40) for i in range(12)]
+    long = spark.createDataFrame(rows, "station_id string, value double, ref int, cur int")
+    out = drift.with_p_values(drift.ks_statistics(long, "station_id"))
+    out.collect()
+    per_task = out.rdd.glom().map(len).collect()
+    assert sum(per_task) == 40 and max(per_task) < 40 and sum(n > 0 for n in per_task) > 1

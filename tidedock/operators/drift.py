@@ -169,6 +169,8 @@ def exceeding_share(statistic: Column, n: Column, m: Column) -> Column:
 
 def with_p_values(ks: DataFrame, exact_pairs: int = EXACT_PAIRS) -> DataFrame:
     """``ks_p_value`` for (ks_statistic, n_ref, n_cur): exact for small samples, the Kolmogorov series beyond."""
+    # Few bytes but long sweeps: dealt by a given number, which adaptive execution does not merge into one task.
+    ks = ks.repartition(int(ks.sparkSession.conf.get("spark.sql.shuffle.partitions")), *ks.columns)
     sizes = F.col("ks_statistic"), F.col("n_ref"), F.col("n_cur")
     exact = F.when(F.col("n_ref") * F.col("n_cur") <= exact_pairs, exceeding_share(*sizes))
     return ks.select(*ks.columns, exact.otherwise(ks_p_value(*sizes)).alias("ks_p_value"))
