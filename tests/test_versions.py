@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tidedock import schemas
+from tidedock import schemas, staging
 from tidedock.sources import tables, versions, writers
 
 
@@ -62,3 +62,32 @@ def test_backfill_that_is_lost_before_it_is_published(spark, tmp_path, monkeypat
     schema = tables._with_day(schemas.PREDICTIONS, "target_on")
     versions.expire(spark, path, tables.PREDICTION_PARTS, schema)
     assert tables.read_predictions(spark, path).where("actual_value = 7").count() == 2
+
+
+def test_predictions_are_written_once_and_actuals_read_once(spark, tmp_path):
+    path = str(tmp_path / "p")
+    batch = spark.sql("""SELECT concat('s', id) AS station_id, TIMESTAMP'2026-03-01' AS prediction_time,
+      TIMESTAMP'2026-03-01' + make_interval(0, 0, 0, CAST(id % 2 AS INT)) AS target_time, concat('m', id % 3) AS model_name,
+      double(id) AS predicted_value FROM range(60)""")
+    staged = len(staging._written)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small data would end in one task
+    try:
+        assert writers.save_predictions(batch, path, F.lit("2026-03-01").cast("timestamp"), ["predicted_value"]) == 60
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(staging._written) == staged
+    assert len(list((tmp_path / "p" / "data").rglob("*.parquet"))) == 6  # one file per model and day
+    assert writers.save_predictions(batch, path, F.lit("2026-03-01").cast("timestamp"), ["predicted_value"]) == 0
+    assert versions.current(spark, path) == 1
+
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    actuals = batch.select("station_id", "target_time", (F.col("predicted_value") + 1).alias("actual_value"))
+    assert writers.backfill_predictions(spark, path, actuals.mapInArrow(seen, actuals.schema), ["actual_value"]) == 60
+    assert read.value == 60
+    assert tables.read_predictions(spark, path).where("actual_value = predicted_value + 1").count() == 60

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidedock.functions.labels import null_if_nan
@@ -31,7 +31,10 @@ def new_rows(target: DataFrame | None, batch: DataFrame, keys: list[str], order_
     other columns, so the result never depends on how the batch is spread.
     """
     rest = [c for c in batch.columns if c not in (*keys, *order_by)]
-    unique = first_per_key(batch, keys, [*order_by, *rest])
+    # A rank and not ``first_per_key``: whole rows as aggregates take two sorts and no generated code. Spark limits such
+    # a rank to one before the shuffle too, so each map task already reduces a repeated key to one row.
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order_by, *rest))
+    unique = batch.withColumn("_place", place).where("_place = 1").drop("_place")
     return unique if target is None else unique.join(target.select(*keys), keys, "left_anti")
 
 
@@ -54,18 +57,27 @@ def upsert_latest_wins(
     return kept.unionByName(winners.select(*current.columns))
 
 
+def first_actuals(actuals: DataFrame, order_by: list[str]) -> DataFrame:
+    """The observation per ``(station_id, target_time)`` that a backfill uses: the first known one in ``order_by`` order."""
+    known = actuals.withColumn("actual_value", null_if_nan(F.col("actual_value").cast("double"))).where("actual_value IS NOT NULL")
+    order = F.struct(*order_by) if len(order_by) > 1 else F.col(order_by[0])
+    return known.groupBy("station_id", "target_time").agg(F.min_by("actual_value", order).alias("actual_value"))
+
+
 def backfill_actuals(predictions: DataFrame, actuals: DataFrame, order_by: list[str]) -> DataFrame:
     """Set missing ``actual_value`` from observations at exactly ``(station_id, target_time)``.
 
     All models are filled alike; the first observation per key in ``order_by`` order is the one used. Null and
     NaN are missing on both sides. The extra column ``updated`` marks the rows that changed.
     """
+    return fill_actuals(predictions, first_actuals(actuals, order_by))
+
+
+def fill_actuals(predictions: DataFrame, observed: DataFrame) -> DataFrame:
+    """``backfill_actuals`` from one observation per key, as ``first_actuals`` gives them."""
     keys = ["station_id", "target_time"]
-    actuals = actuals.withColumn("actual_value", null_if_nan(F.col("actual_value").cast("double")))
     predictions = predictions.withColumn("actual_value", null_if_nan(F.col("actual_value").cast("double")))
-    observed = first_per_key(actuals.where(F.col("actual_value").isNotNull()), keys, order_by)
-    observed = observed.select(*keys, F.col("actual_value").alias("_observed"))
-    joined = predictions.join(observed, keys, "left")
+    joined = predictions.join(observed.withColumnRenamed("actual_value", "_observed"), keys, "left")
     return joined.select(
         *[c for c in predictions.columns if c != "actual_value"],
         F.coalesce("actual_value", "_observed").alias("actual_value"),

@@ -25,6 +25,15 @@ def append(rows: DataFrame, path: str, partition_by: list[str], base: int | None
     return _commit(rows, path, partition_by, base, lambda live, new: live)
 
 
+def append_some(rows: DataFrame, path: str, partition_by: list[str], base: int | None) -> int:
+    """``append`` that publishes nothing if there are no rows; returns how many there are, counted where they were written."""
+    commit, written = _write(rows, path, partition_by)
+    count = written.count()
+    if count:
+        _list(rows, written, path, partition_by, base, commit, lambda live, new: live)
+    return count
+
+
 def replace(rows: DataFrame, path: str, partition_by: list[str], base: int | None) -> int:
     """The version after ``base``: partitions that occur in ``rows`` consist of ``rows`` alone, others stay."""
     return _commit(rows, path, partition_by, base, lambda live, new: _matching(live, new, partition_by, "left_anti"))
@@ -80,10 +89,25 @@ def _matching(left: DataFrame, right: DataFrame, columns: list[str], how: str) -
 
 
 def _commit(rows: DataFrame, path: str, partition_by: list[str], base: int | None, keeps) -> int:
-    spark, commit = rows.sparkSession, uuid.uuid4().hex
+    commit, written = _write(rows, path, partition_by)
+    return _list(rows, written, path, partition_by, base, commit, keeps)
+
+
+def _write(rows: DataFrame, path: str, partition_by: list[str]) -> tuple[str, DataFrame]:
+    """Id of a new commit and a scan of its data; no version names it yet."""
+    commit = uuid.uuid4().hex
     folder = f"{path}/data/commit={commit}"
-    (rows.write.partitionBy(*partition_by) if partition_by else rows.write).parquet(folder)
-    written = spark.read.schema(rows.schema).parquet(folder)
+    if partition_by:
+        # Rebalancing gathers a partition into few files, instead of one per task, and splits one that is much larger.
+        rows.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(folder)
+    else:
+        rows.write.parquet(folder)
+    return commit, rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
+def _list(rows: DataFrame, written: DataFrame, path: str, partition_by: list[str], base: int | None, commit: str, keeps) -> int:
+    """Publishes the version after ``base`` with a written commit."""
+    spark = rows.sparkSession
     new = written.select(*partition_by).distinct() if partition_by else spark.range(1).select()
     new = new.withColumn("commit", F.lit(commit))
     kept = None if base is None else keeps(_manifest(spark, path, base, partition_by, rows.schema), new)
