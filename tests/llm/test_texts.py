@@ -8,6 +8,7 @@ import cases
 import corpus_pipeline
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -84,6 +85,29 @@ def test_word_ids_equal_the_tokenizer():
         assert got == _ids(texts)
 
 
+def test_unknown_words_are_encoded_together():
+    from types import SimpleNamespace
+
+    for plain in (True, False):
+        encoder = packing.WordIds(public_tokenizers.path(packing.TOKENIZER), plain=plain)
+        tool, asked = encoder.tokenizer, []
+
+        def fast(units, **options):
+            asked.extend(units)
+            return tool.encode_batch_fast(units, **options)
+
+        encoder.tokenizer = SimpleNamespace(encode=lambda u, **o: fast([u], **o)[0], encode_batch_fast=fast)
+        texts = [None, "", " ", *[f"ab{'c' * i}##{i} <|endoftext|>x{i}" for i in range(50)], "x\u0301## \u0301#,", "a\u3000b\xa0Ç#", *ODD]
+        # Together unless one holds the mark that stands between them.
+        for extra, most in (([], 10), (["\0", "a\0 #\0#", "b \0\0c"], 100)):
+            asked.clear()
+            got = list(encoder.encode(pa.array([*texts, *extra])[1:]))
+            assert [np.frombuffer(b, "<u4").tolist() for b in got] == [
+                tool.encode(t or "", add_special_tokens=False).ids for t in [*texts, *extra][1:]
+            ]
+            assert len(asked) <= most
+
+
 def test_added_tokens_are_one_id_as_loaded(spark, tmp_path):
     from tokenizers import Tokenizer
 

@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,21 +38,23 @@ END_ID = 0
 TOKENIZER = "word_bpe_49k.json"
 
 #: Bytes of known words per generation, and of the texts of one step.
-CACHE_BYTES, STEP_BYTES = 64 << 20, 1 << 20
+CACHE_BYTES, STEP_BYTES = 64 << 20, 4 << 20
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 # --- tokens -----------------------------------------------------------------------------------------------------
 
-#: What the tokenizer's normalizer takes as white space, and str.split() also splits at.
-_ODD_SPACES = re.compile("[\x1c-\x1f]")
+#: What the tokenizer's normalizer takes as white space.
 _SPACES = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+#: A unit that stands between others where they are encoded in one call; a unit that holds it is encoded alone.
+_MARK = "\0"
 
 
 class WordIds:
     """Token ids of texts by way of their words, as little-endian bytes.
 
-    The tokenizer never joins across white space, so a text's ids are those of its words in a row. A word of letters
+    The tokenizer never joins across white space, so a text's ids are those of its words in a row. Words are cut at ASCII white
+    space and looked up once per step, both by Arrow; one that holds other white space is the words around that in a row. A word of letters
     with punctuation behind it is the two in a row as well, and case is dropped. Known words are kept in two
     generations of about ``limit`` bytes each; the older is forgotten when the younger is full.
 
@@ -67,28 +70,29 @@ class WordIds:
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, number in self.tokenizer.get_vocab().items():
             self.ends[number] = token.endswith("</w>")
+        mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else None
         self.limit = limit
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.bytes = 0
 
-    @staticmethod
-    def words(text: str) -> list[str]:
-        return [w for w in _SPACES.split(text) if w] if _ODD_SPACES.search(text) else text.split()
-
-    @staticmethod
-    def _parts(word: str) -> tuple[str, ...]:
+    @classmethod
+    def _parts(cls, word: str) -> tuple[str, ...]:
         """Units that the tokenizer splits a word into, where that is certain; else the word itself."""
         core = word.rstrip(".,!?;:")
         if core.isalpha() and "Σ" not in core:
             return (core.lower(), word[len(core) :]) if len(core) < len(word) else (core.lower(),)
+        if not word.isascii() and _SPACES.search(word):
+            return tuple(u for w in _SPACES.split(word) if w for u in cls._parts(w))
         return (word,)
 
     def _learn(self, units: list[str]) -> None:
         letters = [u for u in units if u.isalpha()]
         if letters:
             # Each is one unit, so ids with an end-of-word mark tell them apart.
-            ids = np.array(self.tokenizer.encode(" ".join(letters), add_special_tokens=False).ids, np.uint32)
+            (e,) = self.tokenizer.encode_batch_fast([" ".join(letters)], add_special_tokens=False)
+            ids = np.array(e.ids, np.uint32)
             cuts = (np.flatnonzero(self.ends[ids]) + 1) * 4
             raw = ids.astype("<u4").tobytes()
             if len(cuts) == len(letters):
@@ -100,6 +104,17 @@ class WordIds:
                 units = letters + [u for u in units if not u.isalpha()]
                 letters = []
         rest = [u for u in units if not u.isalpha()] if letters else units
+        if rest and self.mark is not None:
+            # One call is much cheaper than one per unit; a mark of its own behind each tells them apart.
+            (e,) = self.tokenizer.encode_batch_fast([f" {_MARK} ".join([*rest, ""])], add_special_tokens=False)
+            ids = np.array(e.ids, "<u4")
+            cuts = np.flatnonzero(ids == self.mark)
+            if len(cuts) == len(rest):
+                raw, begin = ids.tobytes(), 0
+                for unit, end in zip(rest, (cuts * 4).tolist()):
+                    self.young[unit] = raw[begin:end]
+                    begin = end + 4
+                return
         for unit, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
             self.young[unit] = np.array(e.ids, "<u4").tobytes()
 
@@ -124,16 +139,24 @@ class WordIds:
             if parts != (word,):
                 self.young[word] = b"".join([self.young[u] for u in parts])
 
-    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        split = [self.words(t) if t else [] for t in texts]
+    def encode(self, texts: list[str | None] | pa.Array) -> Iterator[bytes]:
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
+        split = pc.ascii_split_whitespace(pc.fill_null(column, ""))
+        words = split.flatten().dictionary_encode()
+        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
         if self.bytes > self.limit:
             self.old, self.young, self.bytes = self.young, {}, 0
         before = len(self.young)
-        self._fill({w for words in split for w in words} - self.young.keys())
+        self._fill(set(distinct) - self.young.keys())
         self.bytes += cached_bytes(self.young, len(self.young) - before)
-        known = self.young
-        for words in split:
-            yield b"".join([known[w] for w in words])
+        known = pa.array(map(self.young.__getitem__, distinct), pa.large_binary(), size=len(distinct))
+        _, offsets, ids = known.take(words.indices).buffers()
+        # A text's ids lie between those of its first word and those of the next text's.
+        first = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())])
+        ends = np.frombuffer(offsets, np.int64)[first] if len(words) else first
+        ids = memoryview(ids) if ids is not None else memoryview(b"")
+        for start, end in zip(ends[:-1].tolist(), ends[1:].tolist()):
+            yield bytes(ids[start:end])
 
 
 _encoders: dict[tuple[str, bool], WordIds] = {}
@@ -159,7 +182,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = No
         for batch in batches:
             for part in batches_of(batch, "text", STEP_BYTES):
                 rows = []
-                encoded = encoder.encode(part.column("text").to_pylist())
+                encoded = encoder.encode(part.column("text"))
                 for doc_id, raw in zip(part.column("doc_id").to_pylist(), encoded):
                     raw += end
                     for k in range(0, len(raw), 4 * capacity):
