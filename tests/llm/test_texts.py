@@ -108,6 +108,36 @@ def test_unknown_words_are_encoded_together():
             assert len(asked) <= most
 
 
+def test_units_stay_known_in_little_memory():
+    from string import ascii_lowercase
+    from types import SimpleNamespace
+
+    encoder = packing.WordIds(public_tokenizers.path(packing.TOKENIZER), limit=2 << 20)
+    tool, asked = encoder.tokenizer, []
+
+    def fast(units, **options):
+        asked.extend(units)
+        return tool.encode_batch_fast(units, **options)
+
+    encoder.tokenizer = SimpleNamespace(encode_batch_fast=fast)
+    words = [f"{a}{b}{c}x{c}{b}{a}" for a in ascii_lowercase for b in ascii_lowercase for c in ascii_lowercase]
+    steps = [words[k : k + 2_500] for k in range(0, len(words), 2_500)]
+    for step in steps:
+        list(encoder.encode([" ".join(step)]))
+    assert {*" ".join(asked).split()} >= {*words}
+    asked.clear()
+    for step in steps:
+        list(encoder.encode([" ".join(step).title().replace(" ", ", ")]))
+    assert len(asked) == 1  # the comma
+
+
+def test_punctuation_joins_marks_that_normalizing_makes():
+    texts = ["x\u0958.,", "\u09dc! \u0958", "\ufb1d?; a\ufb4e.", "x\u0130., \u0130", "\u0958\xa0\u0958., \u0958x.,"]
+    for plain in (True, False):
+        got = list(packing.WordIds(public_tokenizers.path(packing.TOKENIZER), plain=plain).encode(texts))
+        assert [np.frombuffer(b, "<u4").tolist() + [0] for b in got] == _ids(texts)
+
+
 def test_added_tokens_are_one_id_as_loaded(spark, tmp_path):
     from tokenizers import Tokenizer
 

@@ -18,7 +18,6 @@ Repeated rows are packed as often as they occur. An empty table gives an empty r
 
 from __future__ import annotations
 
-import re
 import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
@@ -30,33 +29,52 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidedock.llm.tables import cached_bytes, stage
+from tidedock.llm.tables import stage
 from tidedock.llm.textbytes import batches_of, trimmed
 
 CAPACITY = 2048
 END_ID = 0
 TOKENIZER = "word_bpe_49k.json"
 
-#: Bytes of known words per generation, and of the texts of one step.
-CACHE_BYTES, STEP_BYTES = 64 << 20, 4 << 20
+#: Bytes of known units per generation, and of the texts of one step.
+CACHE_BYTES, STEP_BYTES = 24 << 20, 16 << 20
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 # --- tokens -----------------------------------------------------------------------------------------------------
 
 #: What the tokenizer's normalizer takes as white space.
-_SPACES = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+_SPACES = "[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+#: Letters of which the normalizer makes a letter and a mark; the mark joins punctuation behind it.
+_MARKED = (
+    "[\u0130\u0958-\u095f\u09dc-\u09dd\u09df\u0a33\u0a36\u0a59-\u0a5b\u0a5e"
+    "\u0b5c-\u0b5d\u0f43\u0f4d\u0f52\u0f57\u0f5c\u0f69\ufb1d\ufb1f\ufb2a-\ufb36\ufb38-\ufb3c\ufb3e\ufb40-\ufb41\ufb43-\ufb44\ufb46-\ufb4e]"
+)
 #: A unit that stands between others where they are encoded in one call; a unit that holds it is encoded alone.
 _MARK = "\0"
 
 
+def _known(units: pa.Array | None = None, ids: pa.Array | None = None) -> pa.Table:
+    columns = [pa.array([], pa.large_string()) if units is None else units, pa.array([], pa.large_binary()) if ids is None else ids]
+    return pa.table(columns, names=["unit", "ids"])
+
+
+def _runs(ids: pa.Array, firsts: np.ndarray) -> pa.Array:
+    """Runs of ``ids`` in a row; a run begins at its entry of ``firsts`` and ends where the next one begins."""
+    _, offsets, data = ids.buffers()
+    ends = np.frombuffer(offsets, np.int64)[firsts + ids.offset] if len(ids) else np.zeros(len(firsts), np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), len(firsts) - 1, [None, pa.py_buffer(ends), data or pa.py_buffer(b"")])
+
+
 class WordIds:
     """Token ids of texts by way of their words, as little-endian bytes.
 
     The tokenizer never joins across white space, so a text's ids are those of its words in a row. Words are cut at ASCII white
-    space and looked up once per step, both by Arrow; one that holds other white space is the words around that in a row. A word of letters
-    with punctuation behind it is the two in a row as well, and case is dropped. Known words are kept in two
-    generations of about ``limit`` bytes each; the older is forgotten when the younger is full.
+    space; one that holds other white space is the words around that in a row. A word of letters with punctuation behind it is
+    the two in a row as well, and case is dropped. What is left are the units. All of this is done by Arrow, over the
+    distinct words of a step; only units not known yet are handled one by one. Known units are Arrow columns too, in two
+    generations of about ``limit`` bytes each; the older is forgotten when the younger is full. A step looks its units up
+    by a hash table over both, so it should hold many texts.
 
     With ``plain`` the tokenizer's added tokens are text like any other; without, as the tokenizer does when loaded, each is one
     id wherever it occurs. They hold no white space, so an occurrence lies in one word.
@@ -73,21 +91,10 @@ class WordIds:
         mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 else None
         self.limit = limit
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.young, self.old = _known(), _known()
         self.bytes = 0
 
-    @classmethod
-    def _parts(cls, word: str) -> tuple[str, ...]:
-        """Units that the tokenizer splits a word into, where that is certain; else the word itself."""
-        core = word.rstrip(".,!?;:")
-        if core.isalpha() and "Σ" not in core:
-            return (core.lower(), word[len(core) :]) if len(core) < len(word) else (core.lower(),)
-        if not word.isascii() and _SPACES.search(word):
-            return tuple(u for w in _SPACES.split(word) if w for u in cls._parts(w))
-        return (word,)
-
-    def _learn(self, units: list[str]) -> None:
+    def _learn(self, units: list[str], found: dict[str, bytes]) -> None:
         letters = [u for u in units if u.isalpha()]
         if letters:
             # Each is one unit, so ids with an end-of-word mark tell them apart.
@@ -98,7 +105,7 @@ class WordIds:
             if len(cuts) == len(letters):
                 begin = 0
                 for unit, end in zip(letters, cuts.tolist()):
-                    self.young[unit] = raw[begin:end]
+                    found[unit] = raw[begin:end]
                     begin = end
             else:
                 units = letters + [u for u in units if not u.isalpha()]
@@ -112,51 +119,66 @@ class WordIds:
             if len(cuts) == len(rest):
                 raw, begin = ids.tobytes(), 0
                 for unit, end in zip(rest, (cuts * 4).tolist()):
-                    self.young[unit] = raw[begin:end]
+                    found[unit] = raw[begin:end]
                     begin = end + 4
                 return
         for unit, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            self.young[unit] = np.array(e.ids, "<u4").tobytes()
-
-    def _fill(self, words: set[str]) -> None:
-        """Afterwards ``young`` holds every one of ``words``."""
-        unknown = {}
-        for word in words:
-            if word in self.old:
-                self.young[word] = self.old[word]
-            else:
-                unknown[word] = self._parts(word)
-        units = {u for parts in unknown.values() for u in parts if u not in self.young}
-        for unit in list(units):
-            if unit in self.old:
-                self.young[unit] = self.old[unit]
-                units.discard(unit)
-        if units:
-            todo = list(units)
-            for i in range(0, len(todo), 2000):
-                self._learn(todo[i : i + 2000])
-        for word, parts in unknown.items():
-            if parts != (word,):
-                self.young[word] = b"".join([self.young[u] for u in parts])
+            found[unit] = np.array(e.ids, "<u4").tobytes()
+
+    def _unit_ids(self, units: pa.Array) -> pa.Array:
+        """Ids of distinct units, which ``young`` holds afterwards."""
+        if self.bytes > self.limit:
+            self.old, self.young, self.bytes = self.young, _known(), 0
+        known = pa.concat_tables([self.young, self.old]).combine_chunks()
+        at = pc.index_in(units, value_set=known["unit"])
+        todo = units.filter(pc.is_null(at)).to_pylist()
+        found: dict[str, bytes] = {}
+        for i in range(0, len(todo), 2000):
+            self._learn(todo[i : i + 2000], found)
+        learned = pa.array([found[u] for u in todo], pa.large_binary())
+        place = pc.fill_null(at, -1).to_numpy().astype(np.int64)
+        place[place < 0] = len(known) + np.arange(len(todo))
+        ids = pa.concat_arrays([*known["ids"].chunks, learned]).take(pa.array(place))
+        fresh = pa.array(place >= len(self.young))
+        added = _known(units.filter(fresh), ids.filter(fresh))
+        self.young = pa.concat_tables([self.young, added]).combine_chunks()
+        self.bytes += added.nbytes
+        return ids
+
+    def _word_ids(self, words: pa.Array) -> pa.Array:
+        """Ids of words without ASCII white space."""
+        others = words.filter(pc.invert(pc.string_is_ascii(words)))
+        if pc.any(pc.match_substring_regex(others, _SPACES)).as_py():
+            inner = pc.split_pattern_regex(words, _SPACES)
+            firsts = np.concatenate([[0], np.cumsum(pc.list_value_length(inner).to_numpy())])
+            return _runs(self._core_ids(inner.flatten()), firsts)
+        return self._core_ids(words)
+
+    def _core_ids(self, words: pa.Array) -> pa.Array:
+        """Ids of words without white space."""
+        core = pc.utf8_rtrim(words, ".,!?;:")
+        simple = pc.and_not(pc.utf8_is_alpha(core), pc.match_substring_regex(core, _MARKED))
+        _, offsets, data = words.buffers()
+        starts = np.frombuffer(offsets, np.int64)[words.offset : words.offset + len(words) + 1]
+        # Core and punctuation of each word by turns, over the same bytes; other words are all core.
+        turns = np.repeat(starts, 2)[:-1]
+        turns[1::2] += np.where(simple, pc.binary_length(core), np.diff(starts))
+        halves = pa.Array.from_buffers(pa.large_string(), 2 * len(words), [None, pa.py_buffer(turns), data])
+        lower = pc.if_else(pa.array(np.repeat(simple, 2)), pc.utf8_lower(halves), halves)
+        units = lower.dictionary_encode()
+        return _runs(self._unit_ids(units.dictionary).take(units.indices), 2 * np.arange(len(words) + 1))
 
     def encode(self, texts: list[str | None] | pa.Array) -> Iterator[bytes]:
         column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
         split = pc.ascii_split_whitespace(pc.fill_null(column, ""))
         words = split.flatten().dictionary_encode()
-        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
-        if self.bytes > self.limit:
-            self.old, self.young, self.bytes = self.young, {}, 0
-        before = len(self.young)
-        self._fill(set(distinct) - self.young.keys())
-        self.bytes += cached_bytes(self.young, len(self.young) - before)
-        known = pa.array(map(self.young.__getitem__, distinct), pa.large_binary(), size=len(distinct))
-        _, offsets, ids = known.take(words.indices).buffers()
-        # A text's ids lie between those of its first word and those of the next text's.
-        first = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())])
-        ends = np.frombuffer(offsets, np.int64)[first] if len(words) else first
-        ids = memoryview(ids) if ids is not None else memoryview(b"")
-        for start, end in zip(ends[:-1].tolist(), ends[1:].tolist()):
-            yield bytes(ids[start:end])
+        firsts = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())])
+        if not len(words):
+            yield from [b""] * len(column)
+            return
+        known = self._word_ids(words.dictionary.cast(pa.large_string()))
+        for ids in _runs(known.take(words.indices), firsts):
+            yield ids.as_py()
 
 
 _encoders: dict[tuple[str, bool], WordIds] = {}
@@ -180,7 +202,9 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = No
         encoder = _encoder(tokenizer, plain)
         end = END_ID.to_bytes(4, "little")
         for batch in batches:
-            for part in batches_of(batch, "text", STEP_BYTES):
+            # Steps of about equal size: a small rest would cost a look-up of its own.
+            size = batch.column("text").nbytes
+            for part in batches_of(batch, "text", int(1.1 * size / (size // STEP_BYTES + 1)) + 1):
                 rows = []
                 encoded = encoder.encode(part.column("text"))
                 for doc_id, raw in zip(part.column("doc_id").to_pylist(), encoded):
