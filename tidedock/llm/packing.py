@@ -37,7 +37,7 @@ END_ID = 0
 TOKENIZER = "word_bpe_49k.json"
 
 #: Bytes of known units per generation, and of the texts of one step.
-CACHE_BYTES, STEP_BYTES = 24 << 20, 16 << 20
+CACHE_BYTES, STEP_BYTES = 24 << 20, 8 << 20
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -129,16 +129,17 @@ class WordIds:
         """Ids of distinct units, which ``young`` holds afterwards."""
         if self.bytes > self.limit:
             self.old, self.young, self.bytes = self.young, _known(), 0
-        known = pa.concat_tables([self.young, self.old]).combine_chunks()
+        known = pa.concat_tables([self.young, self.old])
         at = pc.index_in(units, value_set=known["unit"])
-        todo = units.filter(pc.is_null(at)).to_pylist()
-        found: dict[str, bytes] = {}
+        todo = units.filter(pc.is_null(at))
+        learned = []
         for i in range(0, len(todo), 2000):
-            self._learn(todo[i : i + 2000], found)
-        learned = pa.array([found[u] for u in todo], pa.large_binary())
+            block, found = todo.slice(i, 2000).to_pylist(), {}
+            self._learn(block, found)
+            learned.append(pa.array([found[u] for u in block], pa.large_binary()))
         place = pc.fill_null(at, -1).to_numpy().astype(np.int64)
         place[place < 0] = len(known) + np.arange(len(todo))
-        ids = pa.concat_arrays([*known["ids"].chunks, learned]).take(pa.array(place))
+        ids = pa.concat_arrays([*known["ids"].chunks, *learned]).take(pa.array(place))
         fresh = pa.array(place >= len(self.young))
         added = _known(units.filter(fresh), ids.filter(fresh))
         self.young = pa.concat_tables([self.young, added]).combine_chunks()
