@@ -1,3 +1,4 @@
+import os
 import random
 
 import numpy as np
@@ -5,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidedock import schemas
-from tidedock.operators import boosting, features, metrics, models, split
+from tidedock.operators import boosting, crew, features, metrics, models, split
 from tidedock.plans.training import train_and_compare
 from tidedock.sources import tables
 from tidedock.staging import stage
@@ -154,6 +155,86 @@ def test_a_pass_adds_up_the_smaller_siblings_in_at_most_one_task_a_core(spark, s
         assert tree.value[leaf] == pytest.approx(0.05 * (rows["y"][at == leaf] - model.base).mean())
 
 
+def test_rounds_cost_jobs_per_written_state_and_not_per_level(spark, splits):
+    train = _part(splits, "train")
+    spark.sparkContext.setJobGroup("rounds", "rounds")
+    model = models.fit_boosted(train, None, "xgb", maxIter=40)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("rounds")
+    spark.sparkContext.setJobGroup("", "")
+    assert len(model.trees) == 40 and 0 < len(jobs) < 40
+
+
+def test_rounds_of_one_task_are_those_of_passes(splits, monkeypatch):
+    train, val, test = (_part(splits, s) for s in ("train", "val", "test"))
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 200)
+    monkeypatch.setattr(boosting, "SAVE_EVERY", 4)
+    options = {"maxIter": 7, "maxDepth": 3, "stepSize": 0.3, "subsamplingRate": 0.7, "columnShare": 0.6, "regLambda": 1.0}
+    ahead = models.fit_boosted(train, val, **options)
+    monkeypatch.setattr(boosting, "HELD_ROWS", 0)
+    passes = models.fit_boosted(train, val, **options)
+    assert len(ahead.trees) == len(passes.trees) and np.allclose(ahead.errors, passes.errors)
+    for x, y in zip(ahead.trees, passes.trees):
+        assert x.feature.tolist() == y.feature.tolist() and x.bin.tolist() == y.bin.tolist() and x.n.tolist() == y.n.tolist()
+        assert np.allclose(x.value, y.value)
+    assert _mae(models.score(ahead, test)) == pytest.approx(_mae(models.score(passes, test)))
+
+
+@pytest.mark.parametrize("row_share", [1.0, 0.6])
+def test_processes_of_a_crew_add_up_what_brute_force_does(row_share):
+    rng, widths = np.random.default_rng(5), [3, 60, 1, 200, 9]
+    sizes = [9_000, 1, 30_000, 12_345]
+    blocks = [
+        (i, np.array([rng.integers(0, w, n) for w in widths], np.uint8), rng.normal(size=n), rng.normal(size=n))
+        for i, n in enumerate(sizes)
+    ]
+    chosen = [np.random.default_rng([42, 7, i]).random(n) < row_share for i, n in enumerate(sizes)]
+    team = crew.Crew(blocks, blocks[:1], widths, 200, 4, 3, row_share, 42)
+    children = list(team.children)
+    assert team.size == 3 and len(children) == 2
+    splits = [(0, 1, 20, 1, 2), (2, 3, 77, 3, 4)]
+
+    def node(bins):
+        return np.where(bins[1] <= 20, 1, np.where(bins[3] <= 77, 3, 4))
+
+    def expected(asked):
+        out = np.zeros((2, len(asked), 5, 200))
+        for (_, bins, y, f), taken in zip(blocks, chosen):
+            for k, at in enumerate(asked):
+                here = (taken if at == 0 else taken & (node(bins) == at))
+                for feature, column in enumerate(bins):
+                    np.add.at(out[0, k, feature], column[here], 1)
+                    np.add.at(out[1, k, feature], column[here], (y - f)[here])
+        return out
+
+    assert np.allclose(team.level(7, [], [0]), expected([0]))
+    assert np.allclose(team.level(7, splits, [3, 1]), expected([3, 1]))
+    value = np.array([0, 0.5, 0, -1.0, 2.0])
+    error = team.finish([], splits, {1: 0.5, 3: -1.0, 4: 2.0})
+    assert error == pytest.approx(np.abs(blocks[0][2] - blocks[0][3] - value[node(blocks[0][1])]).sum())
+    after = {(held, b[0]): f.copy() for held, b, f in team.predictions()}
+    assert len(after) == 5 and all(np.allclose(after[False, b[0]], b[3] + value[node(b[1])]) for b in blocks)
+    team.close()
+    for child in children:
+        with pytest.raises(ProcessLookupError):
+            os.kill(child, 0)
+
+
+def test_packs_hold_every_feature_once_within_their_cells():
+    widths = [32, 33, 32, 32, 57, 36, 25, 8, 3, 2, 11, 256]
+    found = crew.packs(widths, 1_000)
+    assert sorted(sum(found, [])) == list(range(12)) and len(found) < 12
+    assert all(np.prod([widths[f] for f in members]) <= 1_000 for members in found)
+
+
+def test_missing_values_go_right_when_scored(spark):
+    rows = [(float(i % 10), float(i % 10 > 4)) for i in range(100)]
+    df = spark.createDataFrame(rows, "x double, y double").select(*[F.col("x").alias(c) for c in schemas.FEATURE_COLS], "y")
+    model = models.fit_boosted(df, None, maxIter=3, maxDepth=2, minInstancesPerNode=1)
+    gone = df.limit(1).select(*[F.lit(None).cast("double").alias(c) for c in schemas.FEATURE_COLS], "y")
+    high = df.where("bikes_lag_1 = 9").limit(1)
+    assert models.score(model, gone).first().prediction == pytest.approx(models.score(model, high).first().prediction)
+
+
 def test_boosting_without_rows(splits):
     none = _part(splits, "train").limit(0)
     model = models.fit_boosted(none, none, maxIter=2)
