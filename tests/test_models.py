@@ -179,6 +179,19 @@ def test_rounds_of_one_task_are_those_of_passes(splits, monkeypatch):
     assert _mae(models.score(ahead, test)) == pytest.approx(_mae(models.score(passes, test)))
 
 
+def test_one_task_goes_on_from_what_passes_have_written(splits, tmp_path, monkeypatch):
+    train, val = _part(splits, "train"), _part(splits, "val")
+    monkeypatch.setattr(boosting, "SAVE_EVERY", 3)
+    path, options = str(tmp_path / "state"), {"maxDepth": 2, "stepSize": 0.3}
+    whole = models.fit_boosted(train, val, maxIter=8, **options)
+    monkeypatch.setattr(boosting, "HELD_ROWS", 0)
+    models.fit_boosted(train, val, maxIter=4, path=path, **options)
+    monkeypatch.undo()
+    again = models.fit_boosted(train, val, maxIter=8, path=path, **options)
+    assert np.allclose(again.errors, whole.errors) and len(again.errors) == 8
+    assert [t.feature.tolist() for t in again.trees] == [t.feature.tolist() for t in whole.trees]
+
+
 @pytest.mark.parametrize("row_share", [1.0, 0.6])
 def test_processes_of_a_crew_add_up_what_brute_force_does(row_share):
     rng, widths = np.random.default_rng(5), [3, 60, 1, 200, 9]
